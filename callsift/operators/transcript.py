@@ -235,7 +235,9 @@ def read_chunks(
         "start_turn",
         "end_turn",
         F.col("n_turns").alias("total_turns"),
-        F.explode(F.sequence("start_turn", "end_turn")).alias("pos"),
+        F.explode(
+            F.sequence(F.col("start_turn").cast("long"), F.col("end_turn").cast("long"))
+        ).alias("pos"),
     )
     return wanted.join(redact_turns(turns, entities), ["call_id", "pos"])
 
