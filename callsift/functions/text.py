@@ -29,6 +29,11 @@ STAGES = [
 _MAY_HOLD = r"(?U)[\d@]"
 
 
+def sql_text(value: str) -> str:
+    """A string as a Spark SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def redact_structured(text: Column) -> Column:
     """SSNs, last-four SSNs, phones, accounts and e-mails replaced by tokens."""
     redacted = text

@@ -9,143 +9,158 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
+from callsift.functions.text import sql_text
 
 _INT_FIELDS = ["turn_index", "start_turn", "end_turn"]
 _TEXT_FIELDS = ["violation_type", "violation_severity", "policy_hypothesis"]
 
 
-# --- Validation: the first failing rule names the error ----------------------
-
-
-def read_params_of(df: DataFrame) -> dict[str, Column]:
-    return {
-        "start": df["start_turn"],
-        "end": df["end_turn"],
-        "last": df["n_turns"] - 1,
-    }
-
-
-def _read_rules(params: dict[str, Column] | None) -> list[tuple[Column, Column, Column]]:
-    """(condition, message, message used as feedback) per rule, in order."""
-    p = params or {
-        "start": F.col("start_turn"),
-        "end": F.col("end_turn"),
-        "last": F.col("n_turns") - 1,
-    }
-    start, end, last = p["start"], p["end"], p["last"]
-    size = end - start + 1
-    missing = F.lit(fv.MSG_READ_MISSING)
-    past_end = F.format_string(fv.MSG_READ_PAST_END, end, last)
-    reversed_range = F.format_string(fv.MSG_READ_REVERSED, start, end)
-    return [
-        (start.isNull() | end.isNull(), missing, missing),
-        (
-            start < 0,
-            F.format_string(fv.MSG_READ_NEGATIVE, start, last),
-            F.format_string(fv.MSG_READ_NEGATIVE_SHORT, start),
-        ),
-        (end > last, past_end, past_end),
-        (start > end, reversed_range, reversed_range),
-        (
-            size > fv.MAX_CHUNK_TURNS,
-            F.format_string(fv.MSG_READ_TOO_LARGE, size),
-            F.format_string(fv.MSG_READ_TOO_LARGE_SHORT, size),
-        ),
-    ]
-
-
-def _first_match(rules: list[tuple[Column, Column]]) -> Column:
-    return F.coalesce(*[F.when(condition, value) for condition, value in rules])
-
-
-def read_error(params: dict[str, Column] | None = None) -> Column:
-    return _first_match([(c, full) for c, full, _ in _read_rules(params)])
-
-
-def read_feedback(params: dict[str, Column] | None = None) -> Column:
-    return _first_match([(c, short) for c, _, short in _read_rules(params)])
-
-
-def analyze_error() -> Column:
-    index, last = F.col("turn_index"), F.col("n_turns") - 1
-    return _first_match(
-        [
-            (index.isNull(), F.lit(fv.MSG_TURN_MISSING)),
-            (
-                (index < 0) | (index > last),
-                F.format_string(fv.MSG_TURN_RANGE, index, last),
-            ),
-        ]
+# --- Validation -----------------------------------------------------------------
+
+_READ, _ANALYZE, _FLAG = "read_transcript_chunk", "analyze_turn", "flag_violation"
+_LAST = "n_turns - 1"
+_SIZE = "end_turn - start_turn + 1"
+_TYPES = ", ".join(sql_text(t) for t in fv.VIOLATION_TYPES)
+_TYPE_SET = sql_text("{" + ", ".join(f"'{t}'" for t in fv.VIOLATION_TYPES) + "}")
+
+# Per action in the order of testing; the first rule that holds names the error:
+# (code, action, condition, message, its arguments, shorter message as feedback,
+# its arguments).
+RULES = [
+    (1, _READ, "start_turn IS NULL OR end_turn IS NULL", fv.MSG_READ_MISSING, [], "", []),
+    (
+        2,
+        _READ,
+        "start_turn < 0",
+        fv.MSG_READ_NEGATIVE,
+        ["start_turn", _LAST],
+        fv.MSG_READ_NEGATIVE_SHORT,
+        ["start_turn"],
+    ),
+    (3, _READ, f"end_turn > {_LAST}", fv.MSG_READ_PAST_END, ["end_turn", _LAST], "", []),
+    (
+        4,
+        _READ,
+        "start_turn > end_turn",
+        fv.MSG_READ_REVERSED,
+        ["start_turn", "end_turn"],
+        "",
+        [],
+    ),
+    (
+        5,
+        _READ,
+        f"{_SIZE} > {fv.MAX_CHUNK_TURNS}",
+        fv.MSG_READ_TOO_LARGE,
+        [_SIZE],
+        fv.MSG_READ_TOO_LARGE_SHORT,
+        [_SIZE],
+    ),
+    (6, _ANALYZE, "turn_index IS NULL", fv.MSG_TURN_MISSING, [], "", []),
+    (
+        7,
+        _ANALYZE,
+        f"turn_index < 0 OR turn_index > {_LAST}",
+        fv.MSG_TURN_RANGE,
+        ["turn_index", _LAST],
+        "",
+        [],
+    ),
+    (8, _FLAG, "coalesce(violation_type, '') = ''", fv.MSG_FLAG_MISSING, [], "", []),
+    (
+        9,
+        _FLAG,
+        f"violation_type NOT IN ({_TYPES})",
+        fv.MSG_FLAG_TYPE,
+        ["violation_type", _TYPE_SET],
+        "",
+        [],
+    ),
+    (
+        10,
+        _FLAG,
+        "violation_severity NOT IN ('high', 'medium', 'low')",
+        fv.MSG_FLAG_SEVERITY,
+        [],
+        "",
+        [],
+    ),
+]
+
+
+def _code_case(action: str) -> str:
+    tests = [f"WHEN {rule[2]} THEN {rule[0]}" for rule in RULES if rule[1] == action]
+    return "CASE " + " ".join(tests) + " END"
+
+
+def rule_code(action: str) -> Column:
+    """Code of the first rule a row of this action breaks, null if none."""
+    return F.expr(_code_case(action))
+
+
+def with_error_code(actions: DataFrame) -> DataFrame:
+    """Add ``error_code``; rows stay narrow until a message is asked for."""
+    per_action = [f"WHEN '{a}' THEN {_code_case(a)}" for a in (_READ, _ANALYZE, _FLAG)]
+    return actions.withColumn(
+        "error_code", F.expr(f"CASE action_type {' '.join(per_action)} END")
     )
 
 
-def flag_error() -> Column:
-    kind, severity = F.col("violation_type"), F.col("violation_severity")
-    valid = "{" + ", ".join(f"'{t}'" for t in fv.VIOLATION_TYPES) + "}"
-    return _first_match(
-        [
-            (kind.isNull() | (kind == ""), F.lit(fv.MSG_FLAG_MISSING)),
-            (
-                ~kind.isin(fv.VIOLATION_TYPES),
-                F.format_string(fv.MSG_FLAG_TYPE, kind, F.lit(valid)),
-            ),
-            (~severity.isin(fv.SEVERITIES), F.lit(fv.MSG_FLAG_SEVERITY)),
-        ]
-    )
+def error_text(action: str | None = None, short: bool = False) -> Column:
+    """Message of ``error_code``, in the shorter form where feedback uses one.
+
+    With ``action`` only its own rules are considered, for rows that hold no
+    other parameters.
+    """
+    cases = []
+    for code, rule_action, _, message, args, brief, brief_args in RULES:
+        if action not in (None, rule_action):
+            continue
+        if short and brief:
+            message, args = brief, brief_args
+        text = sql_text(message)
+        if args:
+            text = f"format_string({', '.join([text, *args])})"
+        cases.append(f"WHEN {code} THEN {text}")
+    return F.expr(f"CASE error_code {' '.join(cases)} END")
 
 
 def validate_flags(actions: DataFrame) -> DataFrame:
     """Flag actions with ``error``; a missing severity is recorded as low."""
-    flags = actions.where(F.col("action_type") == "flag_violation")
-    return flags.withColumns(
+    flags = actions.where(F.col("action_type") == _FLAG)
+    return with_error_code(flags).withColumns(
         {
-            "error": flag_error(),
+            "error": error_text(_FLAG),
             "severity": F.coalesce("violation_severity", F.lit("low")),
         }
     )
 
 
-def with_errors(actions: DataFrame) -> DataFrame:
-    action = F.col("action_type")
-    return actions.withColumn(
-        "error",
-        F.when(action == "read_transcript_chunk", read_error())
-        .when(action == "analyze_turn", analyze_error())
-        .when(action == "flag_violation", flag_error()),
-    )
+# --- Prices -------------------------------------------------------------------
 
 
-# --- Prices -------------------------------------------------------------------
+def _by_action(values: dict[str, int], default: int) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {value}" for name, value in values.items())
+    return f"CASE action_type {cases} ELSE {default} END"
 
 
-def action_cost() -> Column:
-    """Price in budget units of an action row that carries ``error``."""
-    action = F.col("action_type")
-    read = (
-        F.when(F.col("error").isNotNull(), F.lit(0))
-        .otherwise(
-            (F.col("end_turn") - F.col("start_turn") + 1)
-            * fv.ACTION_COST["read_transcript_chunk"]
-        )
-    )
-    price = F.when(action == "read_transcript_chunk", read)
-    for name, cost in fv.ACTION_COST.items():
-        if name != "read_transcript_chunk":
-            price = price.when(action == name, F.lit(cost))
-    return price.otherwise(F.lit(fv.UNKNOWN_ACTION_COST)).cast("long")
+def price_actions(actions: DataFrame) -> DataFrame:
+    """Add ``error_code`` and ``cost``: an invalid read is free, all else charged."""
+    per_turn = fv.ACTION_COST[_READ]
+    flat = {name: cost for name, cost in fv.ACTION_COST.items() if name != _READ}
+    cost = f"""CASE WHEN action_type = '{_READ}'
+        THEN IF(error_code IS NULL, {per_turn} * ({_SIZE}), 0)
+        ELSE {_by_action(flat, fv.UNKNOWN_ACTION_COST)} END"""
+    return with_error_code(actions).withColumn("cost", F.expr(f"CAST({cost} AS BIGINT)"))
 
 
 def reward_cents() -> Column:
     """Reward of an executed action in hundredths, before any grade."""
-    action = F.col("action_type")
-    reward = F.when(F.col("error").isNotNull(), F.lit(fv.INVALID_REWARD_CENTS))
-    for name, cents in fv.REWARD_CENTS.items():
-        reward = reward.when(action == name, F.lit(cents))
-    return reward.otherwise(F.lit(fv.UNKNOWN_REWARD_CENTS)).cast("long")
-
-
-def price_actions(actions: DataFrame) -> DataFrame:
-    return with_errors(actions).withColumn("cost", action_cost())
+    plain = _by_action(fv.REWARD_CENTS, fv.UNKNOWN_REWARD_CENTS)
+    invalid = fv.INVALID_REWARD_CENTS
+    return F.expr(
+        f"CAST(IF(error_code IS NOT NULL, {invalid}, {plain}) AS BIGINT)"
+    )
 
 
 # --- Tool arguments as JSON ---------------------------------------------------
@@ -181,7 +196,7 @@ def coerce_tool_args(calls: DataFrame) -> DataFrame:
 
 
 def parse_completions(completions: DataFrame) -> DataFrame:
-    """(completion_id, text) to one row per valid tool call, in text order.
+    """(completion_id, text, …) to one row per valid tool call, in text order.
 
     A call is dropped as a whole if it names an unknown parameter or gives a
     parameter a value its type cannot take.
@@ -193,10 +208,11 @@ def parse_completions(completions: DataFrame) -> DataFrame:
         F.regexp_extract_all(text, pattern, 1).alias("name"),
         F.regexp_extract_all(text, pattern, 2).alias("params"),
     )
+    kept = [c for c in completions.columns if c != "text"]
     found = completions.select(
-        "completion_id", F.posexplode(calls).alias("nth", "call")
+        *kept, F.posexplode(calls).alias("nth", "call")
     ).select(
-        "completion_id",
+        *kept,
         "nth",
         F.col("call.name").alias("action_type"),
         F.split(F.col("call.params"), ",").alias("params"),
@@ -220,7 +236,7 @@ def parse_completions(completions: DataFrame) -> DataFrame:
         )["value"]
 
     raw = keyed.where(~unknown).select(
-        "completion_id",
+        *kept,
         "nth",
         "action_type",
         *[given(f).alias(f) for f in fv.ACTION_FIELDS],
@@ -232,7 +248,7 @@ def parse_completions(completions: DataFrame) -> DataFrame:
     for field, value in typed.items():
         fits = fits & (F.col(field).isNull() | value.isNotNull())
     return raw.where(fits).select(
-        "completion_id",
+        *kept,
         "nth",
         "action_type",
         *[typed[f].alias(f) for f in fv.ACTION_FIELDS],

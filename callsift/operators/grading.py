@@ -11,18 +11,64 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
 from callsift.functions.numeric import round_half_even
+from callsift.operators.replay import ENDING_COLUMNS
+
+
+def _by_severity(values: dict[str, int], default: int) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {value}" for name, value in values.items())
+    return f"CASE severity {cases} ELSE {default} END"
+
+
+_WEIGHT = _by_severity(fv.SEVERITY_WEIGHT, fv.DEFAULT_SEVERITY_WEIGHT)
+_PENALTY = _by_severity(fv.FALSE_POSITIVE_CENTS, fv.DEFAULT_FALSE_POSITIVE_CENTS)
+
+# Per (episode, type). Severities are compared by hash, so that every buffer has
+# a fixed width and the grouping stays in generated code.
+_TYPE_SUMS = {
+    "n_gt": "count_if(real)",
+    "n_flag": "count_if(NOT real)",
+    "n_high": "count_if(real AND severity = 'high')",
+    "n_medium": "count_if(real AND severity = 'medium')",
+    "n_low": "count_if(real AND severity = 'low')",
+    "gt_weight": f"coalesce(sum(IF(real, {_WEIGHT}, 0)), 0)",
+    "claim_cents": f"coalesce(sum(IF(NOT real, {_PENALTY}, 0)), 0)",
+    "gt_mark": "max_by(xxhash64(severity), IF(real, pos, NULL))",
+    "flag_mark": "max_by(xxhash64(severity), IF(NOT real, pos, NULL))",
+    "hit_weight": f"max_by({_WEIGHT}, IF(real, pos, NULL))",
+}
+_TYPE_COUNTS = {
+    "tp": "least(n_gt, n_flag)",
+    "fp": "n_flag - least(n_gt, n_flag)",
+    "fn": "n_gt - least(n_gt, n_flag)",
+    "tp_weight": "least(n_gt, n_flag) * coalesce(hit_weight, 0)",
+    "severity_matches": "IF(gt_mark = flag_mark, least(n_gt, n_flag), 0)",
+    "absent_flags": "IF(n_gt = 0, n_flag, 0)",
+    "penalty_cents": "IF(n_gt = 0, claim_cents, 0)",
+    "missed_rows": "IF(n_flag = 0, n_gt, 0)",
+    "high_type": "IF(n_high > 0, 1, 0)",
+    "high_caught": "IF(n_high > 0 AND n_flag > 0, 1, 0)",
+}
+_SUMMED = ["n_gt", "n_flag", "n_high", "n_medium", "n_low", "gt_weight", *_TYPE_COUNTS]
+
+
+def _claims(rows: DataFrame, real: bool, *more: str) -> DataFrame:
+    return rows.select(
+        "episode_id",
+        "type",
+        F.col("pos").cast("long").alias("pos"),
+        F.coalesce("severity", F.lit("low")).alias("severity"),
+        F.lit(real).alias("real"),
+        *more,
+    )
 
 
-def _by_severity(severity: Column, values: dict[str, int], default: int) -> Column:
-    choice = None
-    for name, value in values.items():
-        match = severity == name
-        choice = F.when(match, value) if choice is None else choice.when(match, value)
-    return choice.otherwise(F.lit(default))
-
-
-def _weight(severity: Column) -> Column:
-    return _by_severity(severity, fv.SEVERITY_WEIGHT, fv.DEFAULT_SEVERITY_WEIGHT)
+def _per_type(rows: DataFrame, carried: list[str]) -> DataFrame:
+    sums = [F.expr(f"{sql} AS {name}") for name, sql in _TYPE_SUMS.items()]
+    kept = [F.max(c).alias(c) for c in carried]
+    grouped = rows.groupBy("episode_id", "type").agg(*sums, *kept)
+    return grouped.selectExpr(
+        "*", *[f"CAST({sql} AS BIGINT) AS {name}" for name, sql in _TYPE_COUNTS.items()]
+    )
 
 
 def grade_match(gt: DataFrame, flags: DataFrame) -> DataFrame:
@@ -31,69 +77,11 @@ def grade_match(gt: DataFrame, flags: DataFrame) -> DataFrame:
     Both sides go through one grouping with map-side sums, so an episode with
     very many flags reaches the reducers as at most a few rows per task.
     """
-    severity = F.coalesce("severity", F.lit("low")).alias("severity")
-    truth = gt.select("episode_id", "type", "pos", severity, F.lit(True).alias("real"))
-    claims = flags.select(
-        "episode_id", "type", "pos", severity, F.lit(False).alias("real")
-    )
-    real, sev = F.col("real"), F.col("severity")
-    penalty = _by_severity(
-        sev, fv.FALSE_POSITIVE_CENTS, fv.DEFAULT_FALSE_POSITIVE_CENTS
-    )
-    per_type = (
-        truth.unionByName(claims)
-        .groupBy("episode_id", "type")
-        .agg(
-            F.count_if(real).alias("n_gt"),
-            F.count_if(~real).alias("n_flag"),
-            F.count_if(real & (sev == "high")).alias("n_high"),
-            F.count_if(real & (sev == "medium")).alias("n_medium"),
-            F.count_if(real & (sev == "low")).alias("n_low"),
-            F.coalesce(F.sum(F.when(real, _weight(sev))), F.lit(0)).alias("gt_weight"),
-            F.coalesce(F.sum(F.when(~real, penalty)), F.lit(0)).alias("claim_cents"),
-            F.max_by("severity", F.when(real, F.col("pos"))).alias("gt_severity"),
-            F.max_by("severity", F.when(~real, F.col("pos"))).alias("flag_severity"),
-        )
-    )
-    tp = F.least("n_gt", "n_flag")
-    same = F.col("gt_severity") == F.col("flag_severity")
-    absent = F.col("n_gt") == 0
-    return per_type.withColumns(
-        {
-            "tp": tp,
-            "fp": F.col("n_flag") - tp,
-            "fn": F.col("n_gt") - tp,
-            "tp_weight": tp * _weight(F.col("gt_severity")),
-            "severity_matches": F.when(same, tp).otherwise(F.lit(0)),
-            "absent_flags": F.when(absent, F.col("n_flag")).otherwise(F.lit(0)),
-            "penalty_cents": F.when(absent, F.col("claim_cents")).otherwise(F.lit(0)),
-            "missed_rows": F.when(F.col("n_flag") == 0, F.col("n_gt")).otherwise(
-                F.lit(0)
-            ),
-            "high_type": (F.col("n_high") > 0).cast("int"),
-            "high_caught": ((F.col("n_high") > 0) & (F.col("n_flag") > 0)).cast("int"),
-        }
-    )
+    return _per_type(_claims(gt, True).unionByName(_claims(flags, False)), [])
 
 
-_SUMMED = [
-    "n_gt",
-    "n_flag",
-    "n_high",
-    "n_medium",
-    "n_low",
-    "tp",
-    "fp",
-    "fn",
-    "gt_weight",
-    "tp_weight",
-    "severity_matches",
-    "absent_flags",
-    "penalty_cents",
-    "missed_rows",
-    "high_type",
-    "high_caught",
-]
+def _missed_high() -> Column:
+    return (F.col("high_type") > 0) & (F.col("high_caught") == 0)
 
 
 def grade_counts(episodes: DataFrame, gt: DataFrame, flags: DataFrame) -> DataFrame:
@@ -104,8 +92,31 @@ def grade_counts(episodes: DataFrame, gt: DataFrame, flags: DataFrame) -> DataFr
         .agg(*[F.sum(c).alias(c) for c in _SUMMED])
     )
     joined = episodes.join(sums, "episode_id", "left").fillna(0, _SUMMED)
-    missed_high = (F.col("high_type") > 0) & (F.col("high_caught") == 0)
-    return joined.withColumn("missed_high", missed_high)
+    return joined.withColumn("missed_high", _missed_high())
+
+
+def audit_counts(audit: DataFrame, gt: DataFrame) -> DataFrame:
+    """Episode totals straight from the rows of a replay, read once.
+
+    The ending of an episode rides along as a row of its own, so neither the
+    replay nor a join has to be repeated for it.
+    """
+    claims = _claims(audit, False, *ENDING_COLUMNS).withColumn(
+        "real", F.expr("IF(type IS NULL, NULL, false)")
+    )
+    rows = claims.unionByName(_claims(gt, True), allowMissingColumns=True)
+    totals = (
+        _per_type(rows, ENDING_COLUMNS)
+        .groupBy("episode_id")
+        .agg(
+            *[F.sum(c).alias(c) for c in _SUMMED],
+            *[F.max(c).alias(c) for c in ENDING_COLUMNS],
+        )
+    )
+    # Labelled calls that were never audited have no ending and no grade.
+    return totals.where(F.col("verdict").isNotNull()).withColumn(
+        "missed_high", _missed_high()
+    )
 
 
 def weighted_f1() -> Column:
@@ -125,7 +136,15 @@ def weighted_f1() -> Column:
 
 
 def grade_episodes(episodes: DataFrame, gt: DataFrame, flags: DataFrame) -> DataFrame:
-    """Counts, score components, the unrounded ``total`` and ``final_score``."""
+    return score(grade_counts(episodes, gt, flags))
+
+
+def score(counts: DataFrame) -> DataFrame:
+    """Score components, the unrounded ``total`` and ``final_score``.
+
+    ``counts`` comes from one of the two functions above and must carry
+    ``gt_compliance``.
+    """
     right = F.col("verdict") == F.col("gt_compliance")
     share = F.when(
         F.col("total_budget") > 0,
@@ -143,8 +162,7 @@ def grade_episodes(episodes: DataFrame, gt: DataFrame, flags: DataFrame) -> Data
     ).otherwise(F.col("raw_total"))
     clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), capped))
     return (
-        grade_counts(episodes, gt, flags)
-        .withColumns(
+        counts.withColumns(
             {
                 "f1": weighted_f1(),
                 "verdict_score": F.when(right, F.lit(fv.VERDICT_POINTS)).otherwise(

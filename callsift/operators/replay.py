@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
 from callsift.functions.numeric import percent
-from callsift.operators.actions import price_actions, read_feedback, reward_cents
+from callsift.operators.actions import error_text, price_actions, reward_cents
 from callsift.operators.scan import ordered_groups
 
 def total_budget() -> Column:
@@ -49,12 +49,14 @@ def replay(
     calls: DataFrame | None = None,
     force_submit: bool = True,
     order: tuple[str, ...] = ("seq",),
+    short_episodes: bool = False,
     target_rows: int | None = None,
 ) -> DataFrame:
     """One row per counted step, with budget, counters and ``done``.
 
     ``order`` names the columns that order an episode; the first one must be a
-    whole number, along which very long episodes are cut.
+    whole number, along which very long episodes are cut. ``short_episodes``
+    tells that there are none, so that nothing has to be counted.
 
     ``calls`` (episode_id, n_turns) may be left out if the actions carry
     ``n_turns`` themselves.
@@ -72,6 +74,7 @@ def replay(
         [F.col(c).asc_nulls_last() for c in order],
         F.col(order[0]),
         target_rows,
+        count=not short_episodes,
     )
     submits = F.col("action_type") == "submit_report"
     too_dear = ~submits & (F.col("spent") > F.col("total_budget"))
@@ -117,7 +120,7 @@ def _ones(action: str) -> Column:
 
 
 def _recorded_flag() -> Column:
-    return (F.col("recorded_action") == "flag_violation") & F.col("error").isNull()
+    return (F.col("recorded_action") == "flag_violation") & F.col("error_code").isNull()
 
 
 # --- Views over the steps -----------------------------------------------------
@@ -139,35 +142,60 @@ def checklist(steps: DataFrame) -> DataFrame:
     )
 
 
-def flags_of(steps: DataFrame) -> DataFrame:
-    """Recorded violations in the order they were flagged."""
-    return steps.where(_recorded_flag()).select(
+def audit_rows(steps: DataFrame) -> DataFrame:
+    """What grading needs of a replay: its recorded flags and its last step.
+
+    Flag rows carry ``type``, last-step rows carry the ending; the other columns
+    are null. Both kinds come from one pass over the steps.
+    """
+    flag = {
+        "type": F.col("violation_type"),
+        "pos": F.col("violations_flagged") - 1,
+        "turn_index": F.col("turn_index"),
+        "severity": F.coalesce("violation_severity", F.lit("low")),
+    }
+    ending = {
+        "verdict": F.col("verdict"),
+        "budget_remaining": F.col("remaining"),
+        "total_budget": F.col("total_budget"),
+        "exhausted": F.col("exhausted"),
+        "forced": F.col("forced"),
+        "steps": F.col("step"),
+    }
+    is_flag = _recorded_flag()
+    return steps.where(is_flag | F.col("done")).select(
         "episode_id",
-        (F.col("violations_flagged") - 1).alias("pos"),
-        F.col("violation_type").alias("type"),
-        "turn_index",
-        F.coalesce("violation_severity", F.lit("low")).alias("severity"),
+        *[F.when(is_flag, c).alias(n) for n, c in flag.items()],
+        *[F.when(F.col("done"), c).alias(n) for n, c in ending.items()],
     )
 
 
-def endings_of(steps: DataFrame) -> DataFrame:
-    """One row per finished episode: verdict and what is left of the budget."""
-    return steps.where("done").select(
-        "episode_id",
-        "verdict",
-        F.col("remaining").alias("budget_remaining"),
-        "total_budget",
-        "exhausted",
-        "forced",
-        F.col("step").alias("steps"),
-        "paid_cents",
+ENDING_COLUMNS = [
+    "verdict",
+    "budget_remaining",
+    "total_budget",
+    "exhausted",
+    "forced",
+    "steps",
+]
+
+
+def flags_of(audit: DataFrame) -> DataFrame:
+    """Recorded violations with their place in the order of flagging."""
+    return audit.where(F.col("type").isNotNull()).select(
+        "episode_id", "pos", "type", "turn_index", "severity"
     )
 
 
+def endings_of(audit: DataFrame) -> DataFrame:
+    """One row per finished episode: verdict and what is left of the budget."""
+    return audit.where(F.col("verdict").isNotNull()).select("episode_id", *ENDING_COLUMNS)
+
+
 def feedback() -> Column:
     """The feedback line of a step."""
     action = F.col("action_type")
-    failed = F.col("error").isNotNull()
+    failed = F.col("error_code").isNotNull()
     is_read = action == "read_transcript_chunk"
     done_texts = {
         "get_call_metadata": F.lit(fv.FEEDBACK_METADATA),
@@ -185,8 +213,7 @@ def feedback() -> Column:
             F.col("exhausted"),
             F.format_string(fv.FEEDBACK_EXHAUSTED, F.col("remaining"), F.col("cost")),
         )
-        .when(is_read & failed, F.format_string(fv.FEEDBACK_ERROR, read_feedback()))
-        .when(failed, F.format_string(fv.FEEDBACK_ERROR, F.col("error")))
+        .when(failed, F.format_string(fv.FEEDBACK_ERROR, error_text(short=True)))
     )
     for name, done_text in done_texts.items():
         text = text.when(action == name, done_text)
@@ -204,7 +231,7 @@ def feedback() -> Column:
 
 
 def rewarded_steps(steps: DataFrame, grades: DataFrame) -> DataFrame:
-    """Steps with ``reward``, ``cumulative_reward`` and ``feedback``.
+    """Steps with ``reward``, ``cumulative_reward``, ``error`` and ``feedback``.
 
     The last step earns the unrounded grade, less a fixed penalty if the budget
     ran out. Earlier rewards are summed as whole hundredths.
@@ -223,6 +250,7 @@ def rewarded_steps(steps: DataFrame, grades: DataFrame) -> DataFrame:
         {
             "cumulative_reward": before_last
             + F.when(F.col("done"), F.col("reward")).otherwise(F.lit(0.0)),
+            "error": error_text(),
             "feedback": feedback(),
         }
     )
@@ -265,7 +293,7 @@ def episode_state(steps: DataFrame, page_steps: int = PAGE_STEPS) -> DataFrame:
 
 def budget_exhausted(steps: DataFrame) -> DataFrame:
     """Spending per episode and how it ended."""
-    return endings_of(steps).select(
+    return endings_of(audit_rows(steps)).select(
         "episode_id",
         "steps",
         "total_budget",

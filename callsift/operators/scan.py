@@ -17,6 +17,7 @@ from callsift.sources.shared_dir import checkpoint_root
 
 TARGET_ROWS = 2_000_000
 BROADCAST_ROWS = 100_000
+ONE_TASK_BYTES = 128 * 1024 * 1024
 _CHUNK = "_chunk"
 _ORDER = "_order_key"
 _FANOUT = 4096
@@ -103,19 +104,22 @@ def ordered_groups(
     order: list[Column],
     order_key: Column,
     target_rows: int | None = None,
+    count: bool = True,
 ) -> OrderedGroups:
     """Groups ready for running sums.
 
     ``order_key`` is a whole number that never falls along ``order``; rows where
     it is null come last. One counting pass over ``keys`` finds the large groups;
-    without any, the plan is a plain window.
+    without any, the plan is a plain window. Input that one task could read
+    alone, or whose groups are known to be short, is not counted.
     """
     target = target_rows or TARGET_ROWS
     keyed = df.withColumn(_ORDER, order_key.cast("long")).withColumn(
         _CHUNK, F.lit(0).cast("long")
     )
     chunks = 0
-    for level in range(_MAX_SPLITS):
+    small = target_rows is None and _estimated_bytes(df) <= ONE_TASK_BYTES
+    for level in range(_MAX_SPLITS if count and not small else 0):
         cells = _large_cells(keyed, keys, target, first=level == 0)
         found = cells.agg(F.count("*"), F.sum("_pieces")).first()
         if not found[0]:
@@ -129,6 +133,12 @@ def ordered_groups(
     return OrderedGroups(keyed, keys, order, chunks)
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate, from file sizes; it tends to be too high."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(stats.sizeInBytes())
+
+
 def _large_cells(
     df: DataFrame, keys: list[str], target: int, first: bool
 ) -> DataFrame:

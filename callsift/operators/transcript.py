@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from callsift import fixed_values as fv
 from callsift.functions import text as tx
 from callsift.functions.numeric import round_half_even
-from callsift.operators.actions import read_error, read_params_of
+from callsift.operators.actions import error_text, rule_code
 from callsift.sources.dims import rubric_dim
 
 # Turns of a long call are windowed in parts of this many.
@@ -215,9 +215,15 @@ def turn_position(turns: DataFrame) -> DataFrame:
 
 def validate_reads(requests: DataFrame, lengths: DataFrame) -> DataFrame:
     """``requests`` (request_id, call_id, start_turn, end_turn) with ``error``."""
-    joined = requests.join(lengths, "call_id")
-    error = read_error(read_params_of(joined))
-    return joined.withColumns({"error": error, "is_valid": error.isNull()})
+    checked = requests.join(lengths, "call_id").withColumn(
+        "error_code", rule_code("read_transcript_chunk")
+    )
+    return checked.withColumns(
+        {
+            "error": error_text("read_transcript_chunk"),
+            "is_valid": F.col("error_code").isNull(),
+        }
+    ).drop("error_code")
 
 
 def read_chunks(
@@ -261,16 +267,16 @@ def analyze_turns(
     requests: DataFrame, turns: DataFrame, entities: DataFrame | None = None
 ) -> DataFrame:
     """Context, signals and rubric for (request_id, call_id, turn_index, policy)."""
-    asked = F.col("asked_index")
-    last = F.col("n_turns") - 1
-    error = F.when(asked.isNull(), F.lit(fv.MSG_TURN_MISSING)).when(
-        (asked < 0) | (asked > last), F.format_string(fv.MSG_TURN_RANGE, asked, last)
-    )
     checked = (
-        requests.withColumnRenamed("turn_index", "asked_index")
-        .join(call_lengths(turns), "call_id")
-        .withColumn("error", error)
-        .withColumn("pos", F.when(error.isNull(), asked))
+        requests.join(call_lengths(turns), "call_id")
+        .withColumn("error_code", rule_code("analyze_turn"))
+        .withColumns(
+            {
+                "error": error_text("analyze_turn"),
+                "pos": F.expr("IF(error_code IS NULL, turn_index, NULL)"),
+            }
+        )
+        .withColumnRenamed("turn_index", "asked_index")
     )
     context = turn_context(redact_turns(turns, entities))
     return rubric_lookup(checked.join(context, ["call_id", "pos"], "left"))

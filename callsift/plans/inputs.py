@@ -186,74 +186,64 @@ def actions(spark: SparkSession, folder: str, before: str | None = None) -> Data
 
 def as_actions(events: DataFrame) -> DataFrame:
     """The action of each event, for tables and streams alike."""
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    return events.select(
-        F.col("user_id").alias("episode_id"),
-        _micros("ts").alias("at"),
+    fields = events.selectExpr(
+        "user_id AS episode_id",
+        f"{_MICROS} AS at",
         "event_id",
-        (F.lit(20) + F.col("user_id") % 30).cast("int").alias("n_turns"),
+        "CAST(20 + user_id % 30 AS INT) AS n_turns",
         "event_type",
-        k.alias("k"),
-    ).select(
-        "episode_id",
-        *ORDER,
-        "n_turns",
-        *_action_columns(),
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
     )
+    return fields.selectExpr("episode_id", *ORDER, "n_turns", *_ACTION_COLUMNS)
+
+
+# Microseconds since 1970 of a wall-clock time, in any session time zone.
+_MICROS = """(datediff(CAST(ts AS DATE), DATE '1970-01-01') * 86400L
+    + hour(ts) * 3600 + minute(ts) * 60) * 1000000L
+    + CAST(extract(SECOND FROM ts) * 1000000 AS BIGINT)"""
+
+
+def _pick_sql(values: list[str | None], index: str) -> str:
+    items = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return f"get(array({items}), CAST({index} AS INT))"
+
+
+_ACTION_COLUMNS = [
+    """CASE WHEN event_type = 'view' THEN 'read_transcript_chunk'
+        WHEN event_type = 'click' THEN 'analyze_turn'
+        WHEN event_type = 'signup' AND k % 2 = 0 THEN 'get_call_metadata'
+        WHEN event_type = 'signup' THEN 'get_sentiment_timeline'
+        WHEN event_type = 'error' THEN 'flag_violation'
+        WHEN k % 10 = 0 THEN 'submit_report' WHEN k % 10 = 1 THEN 'noop'
+        ELSE 'get_transcript_length' END AS action_type""",
+    """CASE WHEN event_type = 'click' THEN k
+        WHEN event_type = 'error' AND event_id % 3 > 0 THEN k % n_turns END
+        AS turn_index""",
+    """CASE WHEN event_type <> 'view' OR event_id % 13 = 0 THEN NULL
+        WHEN event_id % 13 = 1 THEN -1 ELSE k % n_turns END AS start_turn""",
+    """CASE WHEN event_type = 'view'
+        THEN CAST(k % n_turns + event_id % 7 - 1 AS INT) END AS end_turn""",
+    f"""CASE WHEN event_type = 'error'
+        THEN {_pick_sql(FLAG_TYPES, "k % 7")} END AS violation_type""",
+    f"""CASE WHEN event_type = 'error'
+        THEN {_pick_sql([*fv.SEVERITIES, None], "event_id % 4")} END
+        AS violation_severity""",
+    """CASE WHEN event_type = 'purchase' AND k % 10 = 0 AND event_id % 3 > 0
+        THEN k % 20 = 0 END AS compliance_pass""",
+    f"""CASE WHEN event_type = 'click' AND k % 2 = 0
+        THEN {_pick_sql(FLAG_TYPES, "k % 7")} END AS policy_hypothesis""",
+]
 
 
-def _micros(column: str) -> Column:
-    """Microseconds since 1970 of a wall-clock time, in any session time zone."""
-    days = F.datediff(F.to_date(column), F.lit("1970-01-01").cast("date")).cast("long")
-    seconds = days * 86_400 + F.hour(column) * 3_600 + F.minute(column) * 60
-    within = F.extract(F.lit("SECOND"), F.col(column)) * 1_000_000
-    return seconds * 1_000_000 + within.cast("long")
-
-
-def _action_columns() -> list[Column]:
-    event, k, n = F.col("event_type"), F.col("k"), F.col("n_turns")
-    eid = F.col("event_id")
-    none = F.lit(None)
-    at = (k % n).cast("int")
-    name = (
-        F.when(event == "view", "read_transcript_chunk")
-        .when(event == "click", "analyze_turn")
-        .when((event == "signup") & (k % 2 == 0), "get_call_metadata")
-        .when(event == "signup", "get_sentiment_timeline")
-        .when(event == "error", "flag_violation")
-        .when(k % 10 == 0, "submit_report")
-        .when(k % 10 == 1, "noop")
-        .otherwise("get_transcript_length")
-    )
-    start = F.when(eid % 13 == 0, none.cast("int")).when(eid % 13 == 1, -1).otherwise(at)
-    purchase = event == "purchase"
-    return [
-        name.alias("action_type"),
-        F.when(event == "click", k)
-        .when((event == "error") & (eid % 3 > 0), at)
-        .alias("turn_index"),
-        F.when(event == "view", start).alias("start_turn"),
-        F.when(event == "view", (at + eid % 7 - 1).cast("int")).alias("end_turn"),
-        F.when(event == "error", pick(FLAG_TYPES, k % 7)).alias("violation_type"),
-        F.when(event == "error", pick([*fv.SEVERITIES, None], eid % 4)).alias(
-            "violation_severity"
-        ),
-        F.when(purchase & (k % 10 == 0) & (eid % 3 > 0), k % 20 == 0).alias(
-            "compliance_pass"
-        ),
-        F.when((event == "click") & (k % 2 == 0), pick(FLAG_TYPES, k % 7)).alias(
-            "policy_hypothesis"
-        ),
-    ]
-
-
-def truth(ids: DataFrame) -> DataFrame:
-    """Labelled violations of episodes: ``ids`` has one column ``episode_id``."""
-    eid, i = F.col("episode_id"), F.col("pos")
+def truth(ids: DataFrame, label: Column | None = None) -> DataFrame:
+    """Labelled violations of ``episode_id``, by ``label`` if several share labels."""
+    eid, i = F.col("label"), F.col("pos")
+    labelled = ids.withColumn("label", F.col("episode_id") if label is None else label)
     return (
-        ids.where(eid % 4 > 0)
+        labelled.where(eid % 4 > 0)
         .select(
             "episode_id",
+            "label",
             F.explode(F.sequence(F.lit(0), (eid % 4 - 1).cast("int"))).alias("pos"),
         )
         .select(

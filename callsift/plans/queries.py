@@ -14,7 +14,7 @@ from callsift.operators import dashboard, grading, report, screens, transcript
 from callsift.operators import replay as rp
 from callsift.plans import inputs
 from callsift.sources import corpus, dims, results, runlog
-from callsift.sources.shared_dir import new_folder
+from callsift.sources.shared_dir import new_folder, written
 from callsift.streaming import meter, redact_stream, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,28 +37,37 @@ def _truth(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.truth(inputs.episode_ids(spark, folder))
 
 
-def _episodes(steps: DataFrame) -> DataFrame:
-    return rp.endings_of(steps).withColumn("gt_compliance", inputs.truth_compliance())
+def _audit(spark: SparkSession, folder: str) -> DataFrame:
+    return rp.audit_rows(_steps(spark, folder))
 
 
-def _graded(spark: SparkSession, folder: str) -> DataFrame:
-    steps = _steps(spark, folder)
-    return grading.grade_episodes(
-        _episodes(steps), _truth(spark, folder), rp.flags_of(steps)
+def _grade(audit: DataFrame, gt: DataFrame) -> DataFrame:
+    counts = grading.audit_counts(audit, gt)
+    return grading.score(
+        counts.withColumn("gt_compliance", inputs.truth_compliance())
     )
 
 
+def _graded(spark: SparkSession, folder: str) -> DataFrame:
+    return _grade(_audit(spark, folder), _truth(spark, folder))
+
+
 def _findings(spark: SparkSession, folder: str) -> DataFrame:
-    return report.report_findings(
-        _truth(spark, folder), rp.flags_of(_steps(spark, folder))
-    )
+    audit = written(_audit(spark, folder), "audit")
+    return report.report_findings(_truth(spark, folder), rp.flags_of(audit))
+
+
+def _graded_and_findings(
+    spark: SparkSession, folder: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both from one replay, whose flags and endings are written once."""
+    audit, gt = written(_audit(spark, folder), "audit"), _truth(spark, folder)
+    return _grade(audit, gt), report.report_findings(gt, rp.flags_of(audit))
 
 
 def _rewarded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     steps = _steps(spark, folder)
-    grades = grading.grade_episodes(
-        _episodes(steps), _truth(spark, folder), rp.flags_of(steps)
-    )
+    grades = written(_grade(rp.audit_rows(steps), _truth(spark, folder)), "grades")
     return rp.rewarded_steps(steps, grades), grades
 
 
@@ -135,7 +144,7 @@ def sink_run_results(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _written_runs(spark: SparkSession, folder: str) -> str:
-    graded = _graded(spark, folder)
+    graded = written(_graded(spark, folder), "graded")
     nested = grading.grade_breakdown(graded)
     rows = inputs.as_runs(graded.select("episode_id", "final_score"))
     task = F.concat(F.lit("call_"), F.col("episode_id").cast("string"))
@@ -347,7 +356,7 @@ def pii_census(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def action_costs(spark: SparkSession, folder: str) -> DataFrame:
     return act.price_actions(inputs.actions(spark, folder)).select(
-        "event_id", "action_type", "error", "cost"
+        "event_id", "action_type", act.error_text().alias("error"), "cost"
     )
 
 
@@ -415,7 +424,7 @@ def forced_submission(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def grade_match(spark: SparkSession, folder: str) -> DataFrame:
-    flags = rp.flags_of(_steps(spark, folder))
+    flags = rp.flags_of(_audit(spark, folder))
     return grading.grade_match(_truth(spark, folder), flags).select(
         "episode_id", "type", "n_gt", "n_flag", "tp", "fp", "fn"
     )
@@ -453,25 +462,16 @@ def grade_breakdown(spark: SparkSession, folder: str) -> DataFrame:
 def score_completions(spark: SparkSession, folder: str) -> DataFrame:
     """Tool calls parsed from completion texts, replayed and graded."""
     texts = inputs.completions(spark, folder)
-    # The labels belong to the task a completion answers.
-    labels = F.col("task").alias("label_episode")
-    episodes = texts.select(F.col("completion_id").alias("episode_id"), "n_turns", labels)
-    parsed = act.parse_completions(texts.select("completion_id", "text"))
+    # Labels belong to the task a completion answers.
+    label = F.col("episode_id") % 12
+    episodes = texts.select(F.col("completion_id").alias("episode_id"), "n_turns")
+    parsed = act.parse_completions(texts.select("completion_id", "text", "n_turns"))
     log = parsed.withColumnsRenamed({"completion_id": "episode_id", "nth": "seq"})
-    steps = rp.replay(log, calls=episodes)
-    truth = inputs.truth(
-        texts.select(F.col("task").alias("episode_id")).distinct()
-    ).withColumnRenamed("episode_id", "label_episode")
-    gt = episodes.select("episode_id", "label_episode").join(
-        F.broadcast(truth), "label_episode"
-    )
-    endings = rp.endings_of(steps).join(
-        episodes.select(
-            "episode_id", (F.col("label_episode") % 4 == 0).alias("gt_compliance")
-        ),
-        "episode_id",
-    )
-    graded = grading.grade_episodes(endings, gt, rp.flags_of(steps))
+    # The calls of a completion come from one row, so no episode can be large.
+    steps = rp.replay(log, calls=episodes, short_episodes=True)
+    gt = inputs.truth(episodes.select("episode_id"), label)
+    counts = grading.audit_counts(rp.audit_rows(steps), gt)
+    graded = grading.score(counts.withColumn("gt_compliance", label % 4 == 0))
     return graded.select(
         F.col("episode_id").alias("completion_id"), "steps", "tp", "fp", "final_score"
     )
@@ -498,9 +498,7 @@ def report_findings(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def report_recommendations(spark: SparkSession, folder: str) -> DataFrame:
-    advice = report.report_recommendations(
-        _graded(spark, folder), _findings(spark, folder)
-    )
+    advice = report.report_recommendations(*_graded_and_findings(spark, folder))
     return advice.withColumn("recommendations", F.array_join("recommendations", "|"))
 
 
@@ -521,7 +519,7 @@ def draft_reports(spark: SparkSession, folder: str) -> DataFrame:
     def shown(f: Column) -> Column:
         return F.concat_ws("/", f["finding"], f["severity"], f["status"], f["detail"])
 
-    reports = report.draft_reports(_graded(spark, folder), _findings(spark, folder))
+    reports = report.draft_reports(*_graded_and_findings(spark, folder))
     return reports.withColumns(
         {
             "findings": F.array_join(F.transform("findings", shown), "|"),
@@ -600,10 +598,9 @@ def success_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def model_run_summary(spark: SparkSession, folder: str) -> DataFrame:
-    runs = _runs(spark, folder)
-    return dashboard.model_run_summary(
-        runs.select("model").distinct(), inputs.RUNS + 1, dashboard.run_summary(runs)
-    )
+    summaries = written(dashboard.run_summary(_runs(spark, folder)), "summaries")
+    models = summaries.select("model").distinct()
+    return dashboard.model_run_summary(models, inputs.RUNS + 1, summaries)
 
 
 # --- Logs -------------------------------------------------------------------------
@@ -621,7 +618,7 @@ def parse_run_log(spark: SparkSession, folder: str) -> DataFrame:
 
     Sixteen episodes in a row share one log.
     """
-    lines = emit_run_log(spark, folder)
+    lines = written(emit_run_log(spark, folder), "log")
     lost = (F.col("episode_id") % 10 == 0) & (F.col("line_no") == 0)
     cut = (F.col("episode_id") % 3 == 0) & F.col("line").startswith("[STEP]")
     log = lines.where(~lost).select(

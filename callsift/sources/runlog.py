@@ -36,51 +36,56 @@ def emit_run_log(
     page_rewards: int = PAGE_REWARDS,
 ) -> DataFrame:
     """(episode_id, line_no, line) from rewarded steps: start, steps, end."""
-    reward = two_decimals(F.col("reward"))
+    page = F.floor((F.col("step") - 1) / F.lit(page_rewards)).alias("page")
+    written = steps.select(
+        "episode_id",
+        page,
+        "step",
+        "done",
+        "error",
+        two_decimals(F.col("reward")).alias("paid"),
+        action_text().alias("action"),
+        F.lower(F.col("done").cast("string")).alias("done_text"),
+    )
     step_line = F.format_string(
         fv.LOG_STEP,
         F.col("step"),
-        action_text(),
-        reward,
-        F.lower(F.col("done").cast("string")),
+        F.col("action"),
+        F.col("paid"),
+        F.col("done_text"),
         F.coalesce("error", F.lit("null")),
     )
-    starts = grades.select(
-        "episode_id",
-        F.lit(0).cast("long").alias("line_no"),
-        F.format_string(
-            fv.LOG_START, F.col("episode_id").cast("string"), F.lit(env), F.lit(model)
-        ).alias("line"),
-    )
-    middle = steps.select(
-        "episode_id", F.col("step").alias("line_no"), step_line.alias("line")
-    )
-    page = F.floor((F.col("step") - 1) / F.lit(page_rewards)).alias("page")
+    # One pass: a page of steps is grouped once and gives all its lines.
     pages = (
-        steps.join(grades.select("episode_id", "final_score"), "episode_id")
-        .groupBy("episode_id", page)
+        written.groupBy("episode_id", "page")
         .agg(
+            F.array_sort(
+                F.collect_list(F.struct("step", step_line.alias("line"), "paid"))
+            ).alias("listed"),
             F.max("step").alias("last_step"),
-            F.max(F.when(F.col("done"), F.col("final_score"))).alias("final_score"),
-            F.array_sort(F.collect_list(F.struct("step", reward.alias("text")))).alias(
-                "rewards"
-            ),
+            F.max("done").alias("ends"),
         )
-        .withColumn("joined", F.array_join(F.transform("rewards", lambda r: r["text"]), ","))
+        .join(grades.select("episode_id", "final_score"), "episode_id")
     )
+    rewards = F.array_join(F.transform("listed", lambda s: s["paid"]), ",")
     success = F.lower((F.col("final_score") >= fv.SUCCESS_SCORE).cast("string"))
-    ends = pages.select(
-        "episode_id",
+    start = F.format_string(
+        fv.LOG_START, F.col("episode_id").cast("string"), F.lit(env), F.lit(model)
+    )
+    end = F.when(
+        F.col("ends"), F.format_string(fv.LOG_END, success, "last_step", rewards)
+    ).otherwise(F.format_string("[REWARDS] page=%d rewards=%s", "page", rewards))
+
+    def entry(number: Column, line: Column) -> Column:
+        return F.struct(number.cast("long").alias("line_no"), line.alias("line"))
+
+    lines = F.concat(
+        F.when(F.col("page") == 0, F.array(entry(F.lit(0), start))).otherwise(F.array()),
+        F.transform("listed", lambda s: entry(s["step"], s["line"])),
         # After all step lines; pages keep their order.
-        (F.lit(2**62) + F.col("page")).alias("line_no"),
-        F.when(
-            F.col("final_score").isNull(),
-            F.format_string("[REWARDS] page=%d rewards=%s", "page", "joined"),
-        )
-        .otherwise(F.format_string(fv.LOG_END, success, "last_step", "joined"))
-        .alias("line"),
+        F.array(entry(F.lit(2**62) + F.col("page"), end)),
     )
-    return starts.unionByName(middle).unionByName(ends)
+    return pages.select("episode_id", F.inline(lines))
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:

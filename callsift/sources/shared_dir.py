@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -24,3 +24,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is created or removed."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder.
+
+    For small results that several branches of a query read: they are computed
+    once, survive lost executors, and their size is known to the optimizer.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
