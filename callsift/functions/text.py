@@ -42,14 +42,9 @@ def redact_structured(text: Column) -> Column:
     return F.when(text.rlike(_MAY_HOLD), redacted).otherwise(text)
 
 
-def count_structured(text: Column) -> dict[str, Column]:
-    """Matches per kind, each counted on the text as the chain has left it."""
-    counts = {}
-    current = text
-    for kind, pattern, token in STAGES:
-        counts[kind] = F.regexp_count(current, F.lit(pattern))
-        current = F.regexp_replace(current, pattern, token)
-    return counts
+def redactable(text: Column) -> Column:
+    """The text if it can hold structured data at all, else null."""
+    return F.when(text.rlike(_MAY_HOLD), text)
 
 
 def redact_names(text: Column, names: Column) -> Column:

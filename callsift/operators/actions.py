@@ -201,77 +201,74 @@ def parse_completions(completions: DataFrame) -> DataFrame:
     A call is dropped as a whole if it names an unknown parameter or gives a
     parameter a value its type cannot take.
     """
-    text = F.col("text")
-    blanks = F.lit(" \t\n\r\f\v")
-    pattern = F.lit("(?U)" + fv.TOOL_CALL)
-    calls = F.arrays_zip(
-        F.regexp_extract_all(text, pattern, 1).alias("name"),
-        F.regexp_extract_all(text, pattern, 2).alias("params"),
-    )
     kept = [c for c in completions.columns if c != "text"]
-    found = completions.select(
-        *kept, F.posexplode(calls).alias("nth", "call")
-    ).select(
+    found = F.regexp_extract_all(F.col("text"), F.lit(_CALL), 0)
+    calls = completions.select(*kept, F.posexplode(found).alias("nth", "call"))
+    name = F.substring_index("call", "(", 1)
+    named = calls.select(
         *kept,
         "nth",
-        F.col("call.name").alias("action_type"),
-        F.split(F.col("call.params"), ",").alias("params"),
-    )
-    pairs = F.transform(
-        F.filter("params", lambda p: F.contains(p, F.lit("="))),
-        lambda p: F.struct(
-            F.btrim(F.split(p, "=", 2)[0], blanks).alias("key"),
-            F.btrim(F.btrim(F.split(p, "=", 2)[1], blanks), F.lit("\"'")).alias(
-                "value"
-            ),
-        ),
+        name.alias("action_type"),
+        F.expr(
+            "substring(call, length(substring_index(call, '(', 1)) + 2, "
+            "length(call) - length(substring_index(call, '(', 1)) - 2)"
+        ).alias("params"),
     )
-    keyed = found.withColumn("pairs", pairs)
-    unknown = F.exists("pairs", lambda p: ~p["key"].isin(fv.ACTION_FIELDS))
-
-    def given(field: str) -> Column:
-        # A repeated parameter takes its last value.
-        return F.try_element_at(
-            F.filter("pairs", lambda p: p["key"] == F.lit(field)), F.lit(-1)
-        )["value"]
-
-    raw = keyed.where(~unknown).select(
-        *kept,
-        "nth",
-        "action_type",
-        *[given(f).alias(f) for f in fv.ACTION_FIELDS],
+    raw = named.where(~F.col("params").rlike(_BAD_PARAM)).select(
+        *kept, "nth", "action_type", *[_param(f).alias(f) for f in fv.ACTION_FIELDS]
     )
     typed = {f: _typed_int(F.col(f)) for f in _INT_FIELDS}
-    typed["compliance_pass"] = _typed_bool(F.col("compliance_pass"))
-    typed |= {f: _typed_text(F.col(f)) for f in _TEXT_FIELDS}
-    fits = F.lit(True)
-    for field, value in typed.items():
-        fits = fits & (F.col(field).isNull() | value.isNotNull())
-    return raw.where(fits).select(
+    typed["compliance_pass"] = F.lower("compliance_pass").rlike(_YES)
+    return raw.select(
         *kept,
         "nth",
         "action_type",
-        *[typed[f].alias(f) for f in fv.ACTION_FIELDS],
+        *[typed.get(f, F.col(f)).alias(f) for f in fv.ACTION_FIELDS],
     )
 
 
-def _typed_int(raw: Column) -> Column:
-    switch = F.when(F.lower(raw) == "true", 1).when(F.lower(raw) == "false", 0)
-    number = F.when(
-        raw.rlike(r"^[+-]?[0-9]+(\.0+)?$"), F.split(raw, r"\.")[0].try_cast("int")
-    )
-    return F.coalesce(switch, number)
+# The tool-call pattern, told not to retry inside a word it has already read.
+_CALL = "(?U)\\b" + fv.TOOL_CALL.replace(r"(\w+)", r"(\w++)")
+_YES = "^(true|t|yes|y|on|0*1)$"
+
 
+def _bad_param() -> str:
+    """One pattern for a parameter list that must be dropped.
 
-def _typed_bool(raw: Column) -> Column:
-    word = F.lower(raw)
-    return (
-        F.when(word.isin("true", "t", "yes", "y", "on") | raw.rlike("^0*1$"), True)
-        .when(word.isin("false", "f", "no", "n", "off") | raw.rlike("^0+$"), False)
+    It finds a piece with an unknown name, or the last piece of a known name
+    whose value does not fit. Being a single test on the raw text, the filter
+    can run before any parameter is taken apart.
+    """
+    quotes = "[\"']*"
+    known = "|".join(fv.ACTION_FIELDS)
+    ints, texts = "|".join(_INT_FIELDS), "|".join(_TEXT_FIELDS)
+    switch = "(?i:true|false)"
+    number = rf"(?:[+-]?[0-9]+(?:\.0+)?|{switch})"
+    verdict = "(?i:true|t|yes|y|on|0*1|false|f|no|n|off|0+)"
+    end = r"\s*(?:,|$)"
+    fitting = (
+        rf"(?:{ints})\s*=\s*{quotes}{number}{quotes}{end}"
+        rf"|compliance_pass\s*=\s*{quotes}{verdict}{quotes}{end}"
+        # Bare digits and true/false are numbers and switches, not text.
+        rf"|(?:{texts})\s*=(?!\s*{quotes}(?:[0-9]+|{switch}){quotes}{end})"
     )
+    last_known = rf"({known})\s*=(?!.*,\s*\1\s*=)"
+    unknown = rf"(?!(?:{known})\s*=)[^,=]*="
+    return rf"(?sU)(?:^|,)\s*+(?!{fitting})(?:{last_known}|{unknown})"
+
+
+_BAD_PARAM = _bad_param()
 
 
-def _typed_text(raw: Column) -> Column:
-    """Bare digits and true/false are numbers and switches, not text."""
-    not_text = raw.rlike("^[0-9]+$") | F.lower(raw).isin("true", "false")
-    return F.when(~not_text, raw)
+def _param(field: str) -> Column:
+    """Text given for one parameter; a repeated one takes its last value."""
+    pattern = rf"(?sU)^(?:.*,)?\s*{field}\s*=([^,]*)"
+    value = F.regexp_extract("params", pattern, 1)
+    blanks, quotes = F.lit(" \t\n\r\f\v"), F.lit("\"'")
+    given = F.contains(F.col("params"), F.lit(field)) & F.col("params").rlike(pattern)
+    return F.when(given, F.btrim(F.btrim(value, blanks), quotes))
+
+
+def _typed_int(raw: Column) -> Column:
+    switch = F.when(F.lower(raw) == "true", 1).when(F.lower(raw) == "false", 0)
+    return F.coalesce(switch, F.substring_index(raw, ".", 1).try_cast("int"))

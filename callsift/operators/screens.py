@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
+from callsift.functions import text as tx
 from callsift.operators.transcript import turn_context
 
 
@@ -88,12 +89,21 @@ def screen_rubric(turns: DataFrame) -> DataFrame:
 
 
 def pii_census(texts: DataFrame, by: list[str]) -> DataFrame:
-    """PII matches per kind and group over a ``text`` column."""
-    from callsift.functions.text import count_structured
+    """PII matches per kind and group over a ``text`` column.
 
-    counts = count_structured(F.col("text"))
-    return (
-        texts.select(*by, *[c.alias(kind) for kind, c in counts.items()])
-        .groupBy(*by)
-        .agg(*[F.sum(kind).cast("long").alias(kind) for kind in counts])
-    )
+    Each kind is counted on the text as the kinds before it have left it, one
+    projection per kind, so that no replacement runs twice.
+    """
+    staged = texts.select(*by, tx.redactable(F.col("text")).alias("left"))
+    for kind, pattern, token in tx.STAGES:
+        staged = staged.withColumns(
+            {
+                kind: F.regexp_count("left", F.lit(pattern)),
+                "left": F.regexp_replace("left", pattern, token),
+            }
+        )
+    counts = [
+        F.coalesce(F.sum(kind), F.lit(0)).cast("long").alias(kind)
+        for kind, _, _ in tx.STAGES
+    ]
+    return staged.groupBy(*by).agg(*counts)
