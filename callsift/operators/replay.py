@@ -123,6 +123,10 @@ def _recorded_flag() -> Column:
     return (F.col("recorded_action") == "flag_violation") & F.col("error_code").isNull()
 
 
+# Lists of a long episode are delivered in pages of this many entries.
+PAGE_STEPS = 10_000
+
+
 # --- Views over the steps -----------------------------------------------------
 
 
@@ -230,14 +234,26 @@ def feedback() -> Column:
     return F.concat(text, F.coalesce(warning, F.lit("")))
 
 
-def rewarded_steps(steps: DataFrame, grades: DataFrame) -> DataFrame:
+def rewarded_steps(
+    steps: DataFrame, grades: DataFrame, page_steps: int = PAGE_STEPS
+) -> DataFrame:
     """Steps with ``reward``, ``cumulative_reward``, ``error`` and ``feedback``.
 
     The last step earns the unrounded grade, less a fixed penalty if the budget
-    ran out. Earlier rewards are summed as whole hundredths.
+    ran out. Earlier rewards are summed as whole hundredths. The grade is joined
+    by episode and page, so the steps of a long episode stay spread out, and the
+    pages are ready for a log.
     """
-    joined = steps.join(
-        grades.select("episode_id", F.col("total").alias("grade")), "episode_id", "left"
+    page = F.floor((F.col("step") - 1) / F.lit(page_steps))
+    last_page = F.floor((F.col("steps") - 1) / F.lit(page_steps))
+    paged_grades = grades.select(
+        "episode_id",
+        last_page.alias("page"),
+        F.col("total").alias("grade"),
+        "final_score",
+    )
+    joined = steps.withColumn("page", page).join(
+        paged_grades, ["episode_id", "page"], "left"
     )
     last = F.when(
         F.col("exhausted"), F.col("grade") - F.lit(fv.EXHAUSTED_PENALTY)
@@ -256,10 +272,6 @@ def rewarded_steps(steps: DataFrame, grades: DataFrame) -> DataFrame:
     )
 
 
-# Lists of a long episode are delivered in pages of this many entries.
-PAGE_STEPS = 10_000
-
-
 def episode_state(steps: DataFrame, page_steps: int = PAGE_STEPS) -> DataFrame:
     """Snapshot per episode: counters at its last step, and ordered lists.
 

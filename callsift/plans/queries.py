@@ -65,10 +65,10 @@ def _graded_and_findings(
     return _grade(audit, gt), report.report_findings(gt, rp.flags_of(audit))
 
 
-def _rewarded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _rewarded(spark: SparkSession, folder: str) -> DataFrame:
     steps = _steps(spark, folder)
     grades = written(_grade(rp.audit_rows(steps), _truth(spark, folder)), "grades")
-    return rp.rewarded_steps(steps, grades), grades
+    return rp.rewarded_steps(steps, grades)
 
 
 def _calls(spark: SparkSession, folder: str) -> DataFrame:
@@ -369,8 +369,7 @@ def validate_flags(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def replay_steps(spark: SparkSession, folder: str) -> DataFrame:
-    steps, _ = _rewarded(spark, folder)
-    return steps.select(
+    return _rewarded(spark, folder).select(
         "episode_id",
         "step",
         "event_id",
@@ -608,8 +607,7 @@ def model_run_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def emit_run_log(spark: SparkSession, folder: str) -> DataFrame:
-    steps, grades = _rewarded(spark, folder)
-    return runlog.emit_run_log(steps, grades, inputs.ENV, inputs.MODEL)
+    return runlog.emit_run_log(_rewarded(spark, folder), inputs.ENV, inputs.MODEL)
 
 
 @query

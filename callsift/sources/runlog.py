@@ -7,9 +7,6 @@ from callsift import fixed_values as fv
 from callsift.functions.numeric import two_decimals
 from callsift.operators.scan import ordered_groups
 
-# Rewards per line; only an episode with more steps needs a second line.
-PAGE_REWARDS = 10_000
-
 
 def action_text() -> Column:
     """``name(param=value,…)`` with the parameters a step was given."""
@@ -28,21 +25,19 @@ def action_text() -> Column:
     return F.concat(F.col("action_type"), F.lit("("), params, F.lit(")"))
 
 
-def emit_run_log(
-    steps: DataFrame,
-    grades: DataFrame,
-    env: str,
-    model: str,
-    page_rewards: int = PAGE_REWARDS,
-) -> DataFrame:
-    """(episode_id, line_no, line) from rewarded steps: start, steps, end."""
-    page = F.floor((F.col("step") - 1) / F.lit(page_rewards)).alias("page")
+def emit_run_log(steps: DataFrame, env: str, model: str) -> DataFrame:
+    """(episode_id, line_no, line) from rewarded steps: start, steps, end.
+
+    Rewards of an end line come by page: only an episode longer than one page
+    has further reward lines ahead of its end line.
+    """
     written = steps.select(
         "episode_id",
-        page,
+        "page",
         "step",
         "done",
         "error",
+        "final_score",
         two_decimals(F.col("reward")).alias("paid"),
         action_text().alias("action"),
         F.lower(F.col("done").cast("string")).alias("done_text"),
@@ -64,8 +59,8 @@ def emit_run_log(
             ).alias("listed"),
             F.max("step").alias("last_step"),
             F.max("done").alias("ends"),
+            F.max("final_score").alias("final_score"),
         )
-        .join(grades.select("episode_id", "final_score"), "episode_id")
     )
     rewards = F.array_join(F.transform("listed", lambda s: s["paid"]), ",")
     success = F.lower((F.col("final_score") >= fv.SUCCESS_SCORE).cast("string"))

@@ -133,7 +133,9 @@ def test_low_budget_warnings_and_texts(spark):
     ]
     rows = [(e, s, a, t, None, None, None, None, None, None, 1) for e, s, a, t in log]
     steps = rp.replay(spark.createDataFrame(rows, ACTION))
-    grades = steps.select("episode_id").distinct().withColumn("total", F.lit(0.5))
+    grades = rp.endings_of(rp.audit_rows(steps)).withColumns(
+        {"total": F.lit(0.5), "final_score": F.lit(0.5)}
+    )
     got = rp.rewarded_steps(steps, grades).orderBy("step").collect()
     assert [g.remaining for g in got] == [43, 33, 23, 13, 8, 7, 5, 3, 2, 1, 1]
     assert got[2].error == "turn_index 9 out of range [0, 0]."

@@ -116,8 +116,8 @@ def _log(spark, small, **more):
     ids = inputs.episode_ids(spark, small)
     counts = grading.audit_counts(rp.audit_rows(steps), inputs.truth(ids))
     grades = grading.score(counts.withColumn("gt_compliance", inputs.truth_compliance()))
-    rewarded = rp.rewarded_steps(steps, grades)
-    return rewarded, runlog.emit_run_log(rewarded, grades, "env", "m", **more)
+    rewarded = rp.rewarded_steps(steps, grades, **more)
+    return rewarded, runlog.emit_run_log(rewarded, "env", "m")
 
 
 def test_log_survives_text_files(spark, small, tmp_path):
@@ -144,7 +144,7 @@ def test_log_survives_text_files(spark, small, tmp_path):
 
 def test_long_episodes_spread_their_rewards_over_lines(spark, small):
     _, whole = _log(spark, small)
-    _, paged = _log(spark, small, page_rewards=4)
+    _, paged = _log(spark, small, page_steps=4)
     rest = lambda line: line.split("rewards=")[1]
 
     def rewards(df):
