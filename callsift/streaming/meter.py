@@ -9,6 +9,7 @@ out marked ``late`` and changes nothing.
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,74 +35,63 @@ class BudgetMeter(StatefulProcessor):
     def handleInputRows(  # noqa: N802 - name set by Spark
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
     ) -> Iterator[pd.DataFrame]:
-        if self._state.exists():
-            spent, steps, ended, major, minor = self._state.get()
-        else:
-            spent, steps, ended, major, minor = 0, 0, False, None, None
+        state = self._state.get()
+        spent, steps, ended, last_major, last_minor = state or (0, 0, False, None, None)
         # One episode's share of one micro-batch; the source limits its size.
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["major", "minor"], kind="stable")
-        late = pd.Series(False, index=batch.index)
-        if major is not None:
-            late = (batch["major"] < major) | (
-                (batch["major"] == major) & (batch["minor"] <= minor)
-            )
-        if late.any():
-            yield self._late(key, batch[late])
-        fresh = batch[~late]
-        if ended or fresh.empty:
+        parts = list(rows)
+        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        batch = batch.iloc[np.lexsort((batch["minor"], batch["major"]))]
+        if last_major is not None:
+            major, minor = batch["major"].to_numpy(), batch["minor"].to_numpy()
+            late = (major < last_major) | ((major == last_major) & (minor <= last_minor))
+            if late.any():
+                yield _output(key, batch[late], late=True)
+                batch = batch[~late]
+        if ended or batch.empty:
             return
-        total = spent + fresh["cost"].cumsum()
-        submits = fresh["action_type"] == "submit_report"
-        too_dear = ~submits & (total > fresh["total_budget"])
+        cost, budget = batch["cost"].to_numpy(), batch["total_budget"].to_numpy()
+        submits = (batch["action_type"] == "submit_report").to_numpy()
+        total = spent + np.cumsum(cost)
+        too_dear = ~submits & (total > budget)
         closing = submits | too_dear
-        counted = closing.cumsum() - closing == 0
-        out = fresh[counted]
-        used = (total - fresh["cost"].where(too_dear, 0))[counted]
-        out = pd.DataFrame(
-            {
-                "episode_id": key[0],
-                "major": out["major"],
-                "minor": out["minor"],
-                "action_type": out["action_type"],
-                "step": range(steps + 1, steps + 1 + len(out)),
-                "remaining": out["total_budget"] - used,
-                "exhausted": too_dear[counted],
-                "done": closing[counted],
-                "late": False,
-            }
+        # Up to and including the first row that closes the episode.
+        ended = bool(closing.any())
+        n = int(closing.argmax()) + 1 if ended else len(batch)
+        used = total[:n] - np.where(too_dear[:n], cost[:n], 0)
+        yield _output(
+            key,
+            batch.iloc[:n],
+            step=np.arange(steps + 1, steps + n + 1),
+            remaining=budget[:n] - used,
+            exhausted=too_dear[:n],
+            done=closing[:n],
         )
-        last = out.iloc[-1]
+        last = batch.iloc[-1]
         self._state.update(
-            (
-                int(used.iloc[-1]),
-                int(last["step"]),
-                bool(last["done"]),
-                int(fresh["major"].iloc[-1]),
-                int(fresh["minor"].iloc[-1]),
-            )
-        )
-        yield out
-
-    def _late(self, key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "episode_id": key[0],
-                "major": rows["major"],
-                "minor": rows["minor"],
-                "action_type": rows["action_type"],
-                "step": pd.array([pd.NA] * len(rows), dtype="Int64"),
-                "remaining": pd.array([pd.NA] * len(rows), dtype="Int64"),
-                "exhausted": False,
-                "done": False,
-                "late": True,
-            }
+            (int(used[-1]), steps + n, ended, int(last["major"]), int(last["minor"]))
         )
 
     def close(self) -> None:
         pass
 
 
+def _output(key: tuple, rows: pd.DataFrame, late: bool = False, **found) -> pd.DataFrame:
+    unknown = pd.array([None] * len(rows), dtype="Int64")
+    return pd.DataFrame(
+        {
+            "episode_id": key[0],
+            "major": rows["major"].to_numpy(),
+            "minor": rows["minor"].to_numpy(),
+            "action_type": rows["action_type"].to_numpy(),
+            "step": found.get("step", unknown),
+            "remaining": found.get("remaining", unknown),
+            "exhausted": found.get("exhausted", False),
+            "done": found.get("done", False),
+            "late": late,
+        }
+    )
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """State outside the JVM heap, with incremental checkpoints."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)

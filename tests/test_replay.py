@@ -165,3 +165,24 @@ def test_stream_meter_equals_batch_over_many_batches(spark, small, tmp_path):
     assert sorted(got.where(~F.col("late")).select(columns).collect()) == sorted(
         batch.select(columns).collect()
     )
+
+
+def test_stream_meter_sets_late_rows_apart(spark, tmp_path):
+    source = str(tmp_path / "late")
+    schema = ACTION.replace("seq long", "seq long, tie long")
+    row = lambda seq, name: (1, seq, 0, name, *[None] * 7, 10)
+    for i, batch in enumerate(
+        [[row(5, "get_call_metadata")], [row(4, "analyze_turn"), row(6, "noop")]]
+    ):
+        spark.createDataFrame(batch, schema).coalesce(1).write.parquet(f"{source}/{i}")
+    stream = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", 1)
+        .option("recursiveFileLookup", "true")
+        .parquet(source)
+    )
+    metered = meter.meter_stream(stream, "seq", "tie")
+    got = spark.read.parquet(sinks.drain_to_parquet(metered, "late")).orderBy("major")
+    assert [(r.major, r.step, r.remaining, r.late) for r in got.collect()] == [
+        (4, None, None, True), (5, 1, 75, False), (6, 2, 70, False),
+    ]
