@@ -119,20 +119,42 @@ def audit_counts(audit: DataFrame, gt: DataFrame) -> DataFrame:
     )
 
 
-def weighted_f1() -> Column:
-    """Severity-weighted F1; a wrong flag weighs one in precision."""
-    hit = F.col("tp_weight").cast("double")
-    claimed = (F.col("tp_weight") + F.col("fp")).cast("double")
-    truth = F.col("gt_weight").cast("double")
-    precision, recall = hit / claimed, hit / truth
-    return (
-        F.when(
-            F.col("n_flag") == 0,
-            F.when(F.col("gt_weight") == 0, F.lit(1.0)).otherwise(F.lit(0.0)),
-        )
-        .when((F.col("gt_weight") == 0) | (F.col("tp_weight") == 0), F.lit(0.0))
-        .otherwise(F.lit(2.0) * precision * recall / (precision + recall))
-    )
+_PRECISION = "(CAST(tp_weight AS DOUBLE) / CAST(tp_weight + fp AS DOUBLE))"
+_RECALL = "(CAST(tp_weight AS DOUBLE) / CAST(gt_weight AS DOUBLE))"
+# Severity-weighted F1; a wrong flag weighs one in precision.
+_F1 = f"""CASE
+    WHEN n_flag = 0 THEN IF(gt_weight = 0, 1D, 0D)
+    WHEN gt_weight = 0 OR tp_weight = 0 THEN 0D
+    ELSE 2D * {_PRECISION} * {_RECALL} / ({_PRECISION} + {_RECALL}) END"""
+_SHARE = "CAST(budget_remaining AS DOUBLE) / CAST(total_budget AS DOUBLE)"
+
+# Each group of columns builds on the one before.
+_SCORE_STEPS = [
+    {
+        "f1": _F1,
+        "verdict_score": f"IF(verdict = gt_compliance, {fv.VERDICT_POINTS}D, 0D)",
+        "efficiency_score": (
+            f"{fv.EFFICIENCY_POINTS}D * IF(total_budget > 0, {_SHARE}, 0D)"
+        ),
+        "calibration_bonus": (
+            f"{fv.CALIBRATION_POINTS}D * CAST(severity_matches AS DOUBLE)"
+        ),
+        "fp_penalty": "CAST(penalty_cents AS DOUBLE) / 100D",
+    },
+    {"violation_score": f"{fv.VIOLATION_POINTS}D * f1"},
+    {
+        "raw_total": "verdict_score + violation_score + efficiency_score "
+        "+ calibration_bonus - fp_penalty"
+    },
+    {
+        "clamped": "greatest(0D, least(1D, "
+        f"IF(missed_high, least(raw_total, {fv.AUTO_FAIL_CAP}D), raw_total)))"
+    },
+    {
+        "total": f"CASE clamped WHEN 1D THEN {fv.PERFECT_SCORE_SHOWN_AS}D "
+        f"WHEN 0D THEN {fv.ZERO_SCORE_SHOWN_AS}D ELSE clamped END"
+    },
+]
 
 
 def grade_episodes(episodes: DataFrame, gt: DataFrame, flags: DataFrame) -> DataFrame:
@@ -145,54 +167,17 @@ def score(counts: DataFrame) -> DataFrame:
     ``counts`` comes from one of the two functions above and must carry
     ``gt_compliance``.
     """
-    right = F.col("verdict") == F.col("gt_compliance")
-    share = F.when(
-        F.col("total_budget") > 0,
-        F.col("budget_remaining").cast("double") / F.col("total_budget").cast("double"),
-    ).otherwise(F.lit(0.0))
-    raw = (
-        F.col("verdict_score")
-        + F.col("violation_score")
-        + F.col("efficiency_score")
-        + F.col("calibration_bonus")
-        - F.col("fp_penalty")
-    )
-    capped = F.when(
-        F.col("missed_high"), F.least(F.col("raw_total"), F.lit(fv.AUTO_FAIL_CAP))
-    ).otherwise(F.col("raw_total"))
-    clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), capped))
-    return (
-        counts.withColumns(
-            {
-                "f1": weighted_f1(),
-                "verdict_score": F.when(right, F.lit(fv.VERDICT_POINTS)).otherwise(
-                    F.lit(0.0)
-                ),
-                "efficiency_score": F.lit(fv.EFFICIENCY_POINTS) * share,
-                "calibration_bonus": F.lit(fv.CALIBRATION_POINTS)
-                * F.col("severity_matches").cast("double"),
-                "fp_penalty": F.col("penalty_cents").cast("double") / F.lit(100.0),
-            }
-        )
-        .withColumn("violation_score", F.lit(fv.VIOLATION_POINTS) * F.col("f1"))
-        .withColumn("raw_total", raw)
-        .withColumn("clamped", clamped)
-        .withColumn(
-            "total",
-            F.when(F.col("clamped") == 1.0, F.lit(fv.PERFECT_SCORE_SHOWN_AS))
-            .when(F.col("clamped") == 0.0, F.lit(fv.ZERO_SCORE_SHOWN_AS))
-            .otherwise(F.col("clamped")),
-        )
-        .withColumn("final_score", round_half_even(F.col("total"), 3))
-        .drop("clamped")
-    )
+    scored = counts
+    for columns in _SCORE_STEPS:
+        scored = scored.withColumns({n: F.expr(sql) for n, sql in columns.items()})
+    return scored.withColumn("final_score", round_half_even("total", 3)).drop("clamped")
 
 
 def grade_breakdown(graded: DataFrame) -> DataFrame:
     """The two nested blocks of a graded result: ``breakdown`` and ``details``."""
 
     def shown(column: str, alias: str) -> Column:
-        return round_half_even(F.col(column), 3).alias(alias)
+        return round_half_even(column, 3).alias(alias)
 
     breakdown = F.struct(
         shown("verdict_score", "compliance_correct"),

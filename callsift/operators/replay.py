@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
 from callsift.functions.numeric import percent
+from callsift.functions.text import sql_text
 from callsift.operators.actions import error_text, price_actions, reward_cents
 from callsift.operators.scan import ordered_groups
 
@@ -140,7 +141,7 @@ def checklist(steps: DataFrame) -> DataFrame:
         "turns_analyzed",
         "violations_flagged",
         F.col("done").alias("report_submitted"),
-        percent(F.col("remaining"), F.col("total_budget")).alias("budget_remaining_pct"),
+        percent("remaining", "total_budget").alias("budget_remaining_pct"),
         F.col("remaining").alias("budget_remaining_units"),
         "total_budget",
     )
@@ -196,42 +197,37 @@ def endings_of(audit: DataFrame) -> DataFrame:
     return audit.where(F.col("verdict").isNotNull()).select("episode_id", *ENDING_COLUMNS)
 
 
+_DONE_TEXT = {
+    "get_call_metadata": sql_text(fv.FEEDBACK_METADATA),
+    "get_sentiment_timeline": sql_text(fv.FEEDBACK_SENTIMENT),
+    "get_transcript_length": sql_text(fv.FEEDBACK_LENGTH),
+    "read_transcript_chunk": (
+        f"format_string({sql_text(fv.FEEDBACK_READ)}, start_turn, end_turn)"
+    ),
+    "analyze_turn": f"format_string({sql_text(fv.FEEDBACK_ANALYZE)}, turn_index)",
+    "flag_violation": sql_text(fv.FEEDBACK_FLAG),
+    "submit_report": sql_text(fv.FEEDBACK_SUBMIT),
+}
+
+
 def feedback() -> Column:
-    """The feedback line of a step."""
-    action = F.col("action_type")
-    failed = F.col("error_code").isNotNull()
-    is_read = action == "read_transcript_chunk"
-    done_texts = {
-        "get_call_metadata": F.lit(fv.FEEDBACK_METADATA),
-        "get_sentiment_timeline": F.lit(fv.FEEDBACK_SENTIMENT),
-        "get_transcript_length": F.lit(fv.FEEDBACK_LENGTH),
-        "read_transcript_chunk": F.format_string(
-            fv.FEEDBACK_READ, F.col("start_turn"), F.col("end_turn")
-        ),
-        "analyze_turn": F.format_string(fv.FEEDBACK_ANALYZE, F.col("turn_index")),
-        "flag_violation": F.lit(fv.FEEDBACK_FLAG),
-        "submit_report": F.lit(fv.FEEDBACK_SUBMIT),
-    }
-    text = (
-        F.when(
-            F.col("exhausted"),
-            F.format_string(fv.FEEDBACK_EXHAUSTED, F.col("remaining"), F.col("cost")),
-        )
-        .when(failed, F.format_string(fv.FEEDBACK_ERROR, error_text(short=True)))
-    )
-    for name, done_text in done_texts.items():
-        text = text.when(action == name, done_text)
-    text = text.otherwise(F.format_string(fv.FEEDBACK_UNKNOWN, action))
-    low = (
-        ~F.col("done")
-        & ~(is_read & failed)
-        & (F.col("remaining") < fv.LOW_BUDGET_BELOW)
-    )
-    can_flag = F.col("remaining") >= fv.ACTION_COST["flag_violation"]
-    warning = F.when(low & can_flag, fv.WARNING_FLAG_ONLY).when(
-        low, fv.WARNING_SUBMIT_NOW
-    )
-    return F.concat(text, F.coalesce(warning, F.lit("")))
+    """The feedback line of a step that carries ``short_error``."""
+    done_cases = " ".join(f"WHEN '{a}' THEN {text}" for a, text in _DONE_TEXT.items())
+    text = f"""CASE
+        WHEN exhausted
+            THEN format_string({sql_text(fv.FEEDBACK_EXHAUSTED)}, remaining, cost)
+        WHEN error_code IS NOT NULL
+            THEN format_string({sql_text(fv.FEEDBACK_ERROR)}, short_error)
+        ELSE CASE action_type {done_cases}
+            ELSE format_string({sql_text(fv.FEEDBACK_UNKNOWN)}, action_type) END END"""
+    # Invalid reads are turned away before the budget is looked at.
+    warning = f"""CASE
+        WHEN done OR remaining >= {fv.LOW_BUDGET_BELOW}
+            OR (action_type = 'read_transcript_chunk' AND error_code IS NOT NULL) THEN ''
+        WHEN remaining >= {fv.ACTION_COST["flag_violation"]}
+            THEN {sql_text(fv.WARNING_FLAG_ONLY)}
+        ELSE {sql_text(fv.WARNING_SUBMIT_NOW)} END"""
+    return F.expr(f"concat({text}, {warning})")
 
 
 def rewarded_steps(
@@ -255,20 +251,23 @@ def rewarded_steps(
     joined = steps.withColumn("page", page).join(
         paged_grades, ["episode_id", "page"], "left"
     )
-    last = F.when(
-        F.col("exhausted"), F.col("grade") - F.lit(fv.EXHAUSTED_PENALTY)
-    ).otherwise(F.col("grade"))
-    own = F.when(F.col("done"), last).otherwise(
-        F.col("reward_cents").cast("double") / F.lit(100.0)
-    )
-    before_last = F.col("paid_cents").cast("double") / F.lit(100.0)
-    return joined.withColumn("reward", own).withColumns(
-        {
-            "cumulative_reward": before_last
-            + F.when(F.col("done"), F.col("reward")).otherwise(F.lit(0.0)),
-            "error": error_text(),
-            "feedback": feedback(),
-        }
+    reward = f"""CASE WHEN NOT done THEN reward_cents / 100D
+        WHEN exhausted THEN grade - {fv.EXHAUSTED_PENALTY}D ELSE grade END"""
+    return (
+        joined.withColumns(
+            {
+                "reward": F.expr(reward),
+                "error": error_text(),
+                "short_error": error_text(short=True),
+            }
+        )
+        .withColumns(
+            {
+                "cumulative_reward": F.expr("paid_cents / 100D + IF(done, reward, 0D)"),
+                "feedback": feedback(),
+            }
+        )
+        .drop("short_error")
     )
 
 

@@ -188,7 +188,7 @@ def turn_context(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
         neighbour(-1, "ts_start", "after_ts_start"),
         neighbour(-3, "pos", "_third_after"),
     ).where(F.col("_part") == F.col("_own"))
-    gap = round_half_even(F.col("ts_start") - F.col("before_ts_end"), 1)
+    gap = round_half_even("(ts_start - before_ts_end)", 1)
     place = (
         F.when(F.col("pos") <= 2, "opening")
         .when(F.col("_third_after").isNull(), "closing")

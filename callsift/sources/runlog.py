@@ -38,7 +38,7 @@ def emit_run_log(steps: DataFrame, env: str, model: str) -> DataFrame:
         "done",
         "error",
         "final_score",
-        two_decimals(F.col("reward")).alias("paid"),
+        two_decimals("reward").alias("paid"),
         action_text().alias("action"),
         F.lower(F.col("done").cast("string")).alias("done_text"),
     )
