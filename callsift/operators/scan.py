@@ -120,13 +120,13 @@ def ordered_groups(
     chunks = 0
     small = target_rows is None and _estimated_bytes(df) <= ONE_TASK_BYTES
     for level in range(_MAX_SPLITS if count and not small else 0):
-        cells = _large_cells(keyed, keys, target, first=level == 0)
+        checkpoint_root(df.sparkSession)
+        # Kept in the shared folder, so that later passes do not count again.
+        cells = _large_cells(keyed, keys, target, first=level == 0).checkpoint()
         found = cells.agg(F.count("*"), F.sum("_pieces")).first()
         if not found[0]:
             break
-        # Materialised once, so that later passes do not count again.
-        checkpoint_root(df.sparkSession)
-        keyed = _split(keyed, keys, cells.checkpoint(), found[0], first=level == 0)
+        keyed = _split(keyed, keys, cells, found[0], first=level == 0)
         chunks += found[1] + found[0]
     if chunks:
         keyed = keyed.repartition(*keys, _CHUNK)

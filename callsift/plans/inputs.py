@@ -180,7 +180,7 @@ def actions(spark: SparkSession, folder: str, before: str | None = None) -> Data
     """One audit action per event; a user's events are one episode."""
     events = table(spark, folder, "events")
     if before:
-        events = events.where(F.col("ts") < F.lit(before).cast("timestamp"))
+        events = events.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
     return as_actions(events)
 
 

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 from callsift.operators import grading
 from callsift.operators import replay as rp
 from callsift.plans import inputs
-from callsift.sources import corpus, results, runlog
+from callsift.sources import corpus, results, runlog, shared_dir
+
+
+def test_written_tables_go_to_the_configured_folder(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir.new_folder(spark, "x").startswith(folder + "/x-")
+    kept = shared_dir.written(spark.range(3), "numbers")
+    assert folder in kept.inputFiles()[0] and kept.count() == 3
 
 
 def _call(name, turns, **more):
@@ -162,9 +169,9 @@ def test_long_episodes_spread_their_rewards_over_lines(spark, small):
 CONSOLE = """noise before
 [STEP] step=1 action=get_call_metadata() reward=0.05 done=false error=null
 [STEP] step=2 action=submit_report(compliance_pass=False) reward=-0.10 done=true error=nul
-[END] success=true steps=2 score=0.898 rewards=0.05,-0.10
-[START] task=call_002 env=e model=a/b
-[STEP] step=1 action=read_transcript_chunk(start_turn=6,end_turn=8) reward=-0.02 done=false error=Turn 8 doesn't exist.
+[END] success=true steps=2 score=0.512 rewards=0.05,-0.10
+[START] task=case_77 env=e model=a/b
+[STEP] step=1 action=read_transcript_chunk(start_turn=3,end_turn=9) reward=-0.02 done=false error=Turn 9 doesn't exist.
 [STEP] step=2 action=flag_violation(violation_type=x) reward=0.00 done=false e
 [END] success=false steps=2 rewards=-0.02,0.00"""
 
@@ -175,13 +182,13 @@ def test_console_log_with_lost_start_and_cut_lines(spark, tmp_path):
     rows = parsed.orderBy("pos").collect()
     assert [(r.kind, r.episode, r.task) for r in rows] == [
         ("", 0, None), ("STEP", 0, None), ("STEP", 0, None), ("END", 0, None),
-        ("START", 1, "call_002"), ("STEP", 1, "call_002"), ("STEP", 1, "call_002"),
-        ("END", 1, "call_002"),
+        ("START", 1, "case_77"), ("STEP", 1, "case_77"), ("STEP", 1, "case_77"),
+        ("END", 1, "case_77"),
     ]
     assert rows[0]._corrupt == "noise before"
     assert (rows[2].done, rows[2].error, rows[2].reward) == (True, None, -0.1)
-    assert (rows[3].score, rows[7].score, rows[7].success) == (0.898, None, False)
-    assert rows[5].error == "Turn 8 doesn't exist."
+    assert (rows[3].score, rows[7].score, rows[7].success) == (0.512, None, False)
+    assert rows[5].error == "Turn 9 doesn't exist."
     assert (rows[6].action, rows[6].done, rows[6].error) == (
         "flag_violation(violation_type=x)", False, None,
     )
