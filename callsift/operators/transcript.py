@@ -175,7 +175,13 @@ def turn_context(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     def neighbour(shift: int, column: str, alias: str) -> Column:
         return F.lag(column, shift).over(frame).alias(alias)
 
-    spread = turns.withColumn("_own", own).withColumn("_part", F.explode(homes))
+    # Spelled out, because input that is already split by call alone would do for
+    # the window and leave a very long call in one task.
+    spread = (
+        turns.withColumn("_own", own)
+        .withColumn("_part", F.explode(homes))
+        .repartition("call_id", "_part")
+    )
     seen = spread.select(
         "*",
         neighbour(1, "turn_index", "before_turn_index"),

@@ -903,10 +903,10 @@ def oracle_sql() -> dict[str, str]:
         FROM turns GROUP BY call_id""",
         "turns",
     )
-    sql["redact_documents"] = f"""SELECT 'documents' AS origin, doc_id AS id,
+    sql["redact_structured"] = f"""SELECT 'documents' AS origin, doc_id AS id,
         {_redact("text")} AS text FROM documents
         UNION ALL SELECT 'pages', page_id, {_redact("html")} FROM pages"""
-    sql["redact_calls"] = _sql(
+    sql["redact_names"] = _sql(
         "SELECT call_id, pos, text FROM clean_turns", "clean_turns"
     )
     sql["extract_entities"] = _sql(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
-from callsift.functions.text import redact_structured
+from callsift.functions import text as tx
 from callsift.operators import actions as act
 from callsift.operators import dashboard, grading, report, screens, transcript
 from callsift.operators import replay as rp
@@ -309,7 +309,7 @@ def screen_rubric(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def redact_documents(spark: SparkSession, folder: str) -> DataFrame:
+def redact_structured(spark: SparkSession, folder: str) -> DataFrame:
     """Structured redaction of whole documents and whole pages."""
     documents = inputs.table(spark, folder, "documents").select(
         F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), "text"
@@ -320,12 +320,12 @@ def redact_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.col("html").alias("text"),
     )
     return documents.unionByName(pages).withColumn(
-        "text", redact_structured(F.col("text"))
+        "text", tx.redact_structured(F.col("text"))
     )
 
 
 @query
-def redact_calls(spark: SparkSession, folder: str) -> DataFrame:
+def redact_names(spark: SparkSession, folder: str) -> DataFrame:
     """Structured and name redaction of every turn."""
     return transcript.redact_turns(inputs.turns(spark, folder)).select(
         "call_id", "pos", "text"
@@ -549,7 +549,7 @@ def document_confusion(spark: SparkSession, folder: str) -> DataFrame:
         "source",
         (F.col("toxic") == 1).alias("toxic"),
         (F.col("quality") == 0).alias("low_quality"),
-        (redact_structured(F.col("text")) != F.col("text")).alias("saw_toxic"),
+        (tx.redact_structured(F.col("text")) != F.col("text")).alias("saw_toxic"),
         (F.col("n_chars") < 500).alias("saw_low_quality"),
     )
 

@@ -14,10 +14,10 @@ def _plan(df):
 
 
 LAZY = [
-    "turns_base", "read_chunks", "turn_context", "analyze_turns", "redact_calls",
+    "turns_base", "read_chunks", "turn_context", "analyze_turns", "redact_names",
     "screen_rubric", "budget_exhausted", "grade_episodes", "grade_match",
     "score_completions", "parse_completions", "tier_dashboard", "review_queue",
-    "document_confusion", "redact_documents", "pii_census",
+    "document_confusion", "redact_structured", "pii_census",
 ]
 
 
@@ -28,6 +28,11 @@ def test_no_cross_products_and_no_python(spark, small, name):
         assert banned not in plan
 
 
+def test_context_spreads_long_calls(spark, small):
+    plan = _plan(driver.queries()["analyze_turns"](spark, small))
+    assert re.search(r"Exchange hashpartitioning\(call_id#\w+, _part#\w+", plan)
+
+
 def test_replay_moves_the_actions_once(spark, small):
     steps = rp.replay(inputs.actions(spark, small), order=inputs.ORDER)
     plan = _plan(rp.budget_exhausted(steps))
