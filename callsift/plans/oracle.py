@@ -813,6 +813,21 @@ def oracle_sql() -> dict[str, str]:
         FROM acts GROUP BY action_type""",
         "acts",
     )
+    severities = ", ".join(
+        f"({_q(s)}, {fv.SEVERITY_WEIGHT[s]}, {fv.FALSE_POSITIVE_CENTS[s]})"
+        for s in fv.SEVERITIES
+    )
+    sql["dim_severity"] = _sql(
+        f"""SELECT severity, weight, penalty_cents, count(event_id) AS flags
+        FROM (VALUES {severities}) d(severity, weight, penalty_cents) LEFT JOIN errors
+        ON action_type = 'flag_violation' AND error IS NULL
+        AND coalesce(violation_severity, 'low') = severity GROUP BY ALL""",
+        "errors",
+    )
+    tasks = ", ".join(f"({_q(t)}, {_q(d)})" for t, d in fv.TASKS)
+    sql["dim_tasks"] = f"""SELECT task_id, difficulty, count(event_id) AS completions
+        FROM (VALUES {tasks}) d(task_id, difficulty) LEFT JOIN events
+        ON printf('call_%03d', event_id % 12 + 1) = task_id GROUP BY ALL"""
     sql["call_metadata"] = _sql(
         """SELECT call_id, difficulty, department, call_reason, call_duration_seconds,
         'Call about a ' || call_reason AS call_summary, n_turns AS total_turns FROM calls""",

@@ -196,6 +196,32 @@ def dim_costs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def dim_severity(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight and penalty per severity with how often it was claimed."""
+    claimed = (
+        act.validate_flags(inputs.actions(spark, folder))
+        .where(F.col("error").isNull())
+        .groupBy("severity")
+        .agg(F.count("*").alias("flags"))
+    )
+    return (
+        dims.severity_dim(spark)
+        .join(claimed, "severity", "left")
+        .fillna(0, ["flags"])
+    )
+
+
+@query
+def dim_tasks(spark: SparkSession, folder: str) -> DataFrame:
+    """Tasks and their difficulty with the completions that answer them."""
+    answered = inputs.completions(spark, folder).groupBy(
+        F.format_string("call_%03d", F.col("task") + 1).alias("task_id")
+    )
+    counts = answered.agg(F.count("*").alias("completions"))
+    return dims.task_dim(spark).join(counts, "task_id", "left").fillna(0, ["completions"])
+
+
 # --- Calls ----------------------------------------------------------------------
 
 
