@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
-from callsift.functions.numeric import percent
 
 PAGE_ROWS = 1_000
 

@@ -1053,7 +1053,10 @@ def oracle_sql() -> dict[str, str]:
     both = f"""SELECT lang, source, toxic = 1 AS t, quality = 0 AS q,
         {_redact("text")} <> text AS st, n_chars < 500 AS sq
         FROM labels JOIN documents USING (doc_id)"""
-    statuses = "CASE WHEN {t} AND {s} THEN 'DETECTED' WHEN {t} THEN 'MISSED' ELSE 'FALSE POSITIVE' END"
+    statuses = (
+        "CASE WHEN {t} AND {s} THEN 'DETECTED' WHEN {t} THEN 'MISSED' "
+        "ELSE 'FALSE POSITIVE' END"
+    )
     sql["document_confusion"] = _confusion(
         "lang, source",
         f"""(SELECT lang, source, 'Toxic' AS finding,

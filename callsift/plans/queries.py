@@ -580,16 +580,15 @@ def document_confusion(spark: SparkSession, folder: str) -> DataFrame:
     )
 
     def rows(toxic: str, low: str) -> DataFrame:
-        hits = F.filter(
-            F.array(
-                F.when(F.col(toxic), F.struct(F.lit("toxic").alias("type"), F.lit("high").alias("severity"))),
-                F.when(F.col(low), F.struct(F.lit("low_quality").alias("type"), F.lit("medium").alias("severity"))),
-            ),
-            lambda h: h.isNotNull(),
+        hits = F.expr(
+            f"""filter(array(
+                IF({toxic}, struct('toxic' AS type, 'high' AS severity), NULL),
+                IF({low}, struct('low_quality' AS type, 'medium' AS severity), NULL)
+            ), hit -> hit IS NOT NULL)"""
         )
-        listed = both.select("episode_id", "lang", "source", F.posexplode(hits).alias("pos", "hit"))
+        listed = both.select("episode_id", F.posexplode(hits).alias("pos", "hit"))
         return listed.select(
-            "episode_id", "lang", "source", "pos", "hit.*", F.lit(None).cast("string").alias("description")
+            "episode_id", "pos", "hit.*", F.lit(None).cast("string").alias("description")
         )
 
     gt, flags = rows("toxic", "low_quality"), rows("saw_toxic", "saw_low_quality")

@@ -93,7 +93,7 @@ def _output(key: tuple, rows: pd.DataFrame, late: bool = False, **found) -> pd.D
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """State outside the JVM heap, with incremental checkpoints."""
+    """State outside the JVM heap; set for all later streams of the session."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
 
 

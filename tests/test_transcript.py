@@ -1,6 +1,9 @@
 import random
 
+from pyspark.sql import functions as F
+
 from callsift.operators import screens, transcript
+from callsift.plans import inputs
 
 TURN = (
     "call_id long, pos long, turn_index int, speaker string, text string, "
@@ -140,3 +143,31 @@ def test_unknown_policy(spark):
     )
     assert got[3].compliance_rubric_error is None and got[3].policy is None
     assert got[4].compliance_rubric_error is None
+
+
+def test_a_call_with_a_third_of_all_turns_is_cut_without_a_trace(
+    spark, small, monkeypatch
+):
+    whole_table = inputs.table
+
+    def skewed(session, folder, name):
+        df = whole_table(session, folder, name)
+        if name != "conversations":
+            return df
+        moved = F.col("conv_id") % 3 == 0
+        return df.select(
+            F.when(moved, F.lit(0)).otherwise(F.col("conv_id")).alias("conv_id"),
+            F.when(moved, F.pmod(F.xxhash64("text"), F.lit(2**31 - 1)))
+            .otherwise(F.col("turn"))
+            .alias("turn"),
+            "role",
+            "text",
+        )
+
+    monkeypatch.setattr(inputs, "table", skewed)
+    plain, cut = inputs.turns(spark, small), inputs.turns(spark, small, target_rows=5)
+    assert sorted(plain.collect()) == sorted(cut.collect())
+    key = repr
+    assert sorted(transcript.turn_context(plain).collect(), key=key) == sorted(
+        transcript.turn_context(cut, part_turns=4).collect(), key=key
+    )
