@@ -215,6 +215,18 @@ def _alone(chunk: str) -> str | None:
     return chunk if chunk[0] == "\n" else core if chunk[0] == "\0" else " " + chunk
 
 
+class _Known(dict):
+    """Ids of chunks; a chunk that is not known is noted and stands for itself."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: set[str] = set()
+
+    def __missing__(self, chunk: str) -> str:
+        self.new.add(chunk)
+        return chunk
+
+
 class Pieces:
     """Ids of whole texts, put together from those of their pre-tokens.
 
@@ -225,7 +237,7 @@ class Pieces:
         self._find = regex.compile(pattern).findall
         self._merge, self._cached = merge, cached
         self._pieces: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        self._chunks = _Known()
 
     def _learn(self, found: list[list[str]]) -> None:
         new = list({x for some in found for x in some}.difference(self._pieces))
@@ -249,25 +261,27 @@ class Pieces:
             self._pieces.clear()
         if len(self._chunks) > self._cached:
             self._chunks.clear()
-        split = [_chunks(x) if x and "\0" not in x else [] for x in texts]
-        new: set[str] = set()
-        for chunks in split:
-            new |= set(chunks).difference(self._chunks)
-        alone = [(chunk, text) for chunk in new if (text := _alone(chunk)) is not None]
+        known = self._chunks.__getitem__
+        found = [list(map(known, _chunks(x))) if x and "\0" not in x else [] for x in texts]
+        alone = [(chunk, text) for chunk in self._chunks.new if (text := _alone(chunk)) is not None]
+        self._chunks.new = set()
         pieces = [self._find(text) for _, text in alone]
         self._learn(pieces)
         of = self._pieces.__getitem__
-        for (chunk, _), found in zip(alone, pieces, strict=True):
-            self._chunks[chunk] = of(found[0]) if len(found) == 1 else b"".join(map(of, found))
-        return [self._text(x, chunks) for x, chunks in zip(texts, split, strict=True)]
-
-    def _text(self, text: str, chunks: list[str]) -> bytes:
-        if chunks:
-            try:
-                return b"".join(map(self._chunks.__getitem__, chunks))
-            except KeyError:  # a chunk that doesn't stand alone
-                pass
-        pieces = self._find(text)
+        for (chunk, _), some in zip(alone, pieces, strict=True):
+            self._chunks[chunk] = of(some[0]) if len(some) == 1 else b"".join(map(of, some))
+        return [self._text(x, some) for x, some in zip(texts, found, strict=True)]
+
+    def _text(self, text: str, found: list[bytes | str]) -> bytes:
+        """Joins what was found; a string stands for a chunk that was new then."""
+        try:
+            if found or not text:
+                return b"".join(found)
+        except TypeError:
+            found = [x if x.__class__ is bytes else self._chunks.get(x) for x in found]
+            if None not in found:
+                return b"".join(found)
+        pieces = self._find(text)  # some chunk doesn't stand alone
         self._learn([pieces])
         return b"".join(map(self._pieces.__getitem__, pieces))
 

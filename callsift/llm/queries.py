@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import byte_bpe, decision_list, doc_stats, mixing, quality_qda, sharding, warc
+from callsift.llm import byte_bpe, decision_list, doc_stats, mixing, quality_qda, scaled_sketch, sharding, token_file, warc
 from callsift.sources.shared_dir import new_folder, written
 
 #: Sources are mixed by their number of rows to this power.
@@ -127,6 +127,54 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, labels, "op8-stats")
 
 
+def op9_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _text().alias("text"))
+    kept = docs.select("*", scaled_sketch.sketch(F.col("text")).alias("sketch"))
+    pairs = scaled_sketch.with_next(kept, "doc_id", ["text", "sketch"])
+    edited = pairs.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        "sketch",
+        "next_sketch",
+        scaled_sketch.half_replaced(F.col("text"), F.col("next_text")).alias("edited"),
+    )
+    sketched = edited.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        "sketch",
+        "next_sketch",
+        scaled_sketch.sketch(F.col("edited")).alias("edited_sketch"),
+    )
+    return sketched.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        scaled_sketch.fingerprint(F.col("sketch")).alias("fingerprint"),
+        scaled_sketch.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        scaled_sketch.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        scaled_sketch.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+#: Ids that a token file holds, about.
+FILE_TOKENS = 8 << 20
+
+
+def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in rank-coded files, read back."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = _table(spark, sf_dir, "documents")
+    ids = token_file.encode("text", path, public_tokenizers.PATTERN, 0)
+    encoded = written(docs.select("doc_id", ids.alias("ids"), F.octet_length(_text()).alias("bytes")), "op10-ids")
+    size = encoded.agg(F.sum("bytes").alias("bytes")).first()["bytes"] or 0
+    folder = new_folder(spark, "op10-files")
+    token_file.write(encoded, "doc_id", "ids", folder, max(1, -(-size // FILE_TOKENS)))
+    back = token_file.starts(token_file.read(spark, folder).withColumn("crc", F.crc32("ids")).drop("ids"))
+    return back.select("doc_id", "start", "n_tokens", F.col("crc").alias("ids_crc32"))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -136,5 +184,7 @@ REGISTRY = {
         op6_shards,
         op7_byte_bpe,
         op8_quality_rules,
+        op9_scaled_sketch,
+        op10_token_file,
     )
 }
