@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import byte_bpe, decision_list, doc_stats, mixing, quality_qda, scaled_sketch, sharding, token_file, warc
+from callsift.llm import byte_bpe, decision_list, doc_stats, mixing, quality_qda, scaled_sketch, sharding, suffix_dedup, token_file, warc
 from callsift.sources.shared_dir import new_folder, written
 
 #: Sources are mixed by their number of rows to this power.
@@ -71,6 +71,20 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that stand elsewhere too."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = suffix_dedup.remove_repeats(docs, "doc_id", "text", written)
+    size = F.octet_length(_text()).cast("long")
+    return left.select(
+        "doc_id",
+        size.alias("n_bytes"),
+        (size - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of eight shards of equal row counts, in random order."""
     docs = _table(spark, sf_dir, "documents").select(
@@ -181,6 +195,7 @@ REGISTRY = {
         op1_mix_sources,
         op2_warc,
         op3_quality,
+        op5_suffix_dedup,
         op6_shards,
         op7_byte_bpe,
         op8_quality_rules,
