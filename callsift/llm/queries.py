@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import byte_bpe, decision_list, doc_stats, mixing, quality_qda, scaled_sketch, sharding, suffix_dedup, token_file, warc
+from callsift.llm import byte_bpe, decision_list, doc_stats, jaccard_join, mixing, quality_qda, scaled_sketch, sharding, suffix_dedup, token_file, warc
 from callsift.sources.shared_dir import new_folder, written
 
 #: Sources are mixed by their number of rows to this power.
@@ -71,6 +71,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest id among those it is linked with."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.link(docs, "doc_id", "text", written).withColumnRenamed("id", "doc_id")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages that stand elsewhere too."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -116,12 +122,18 @@ def base_failed() -> F.Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """Statistics and verdict of each document, with rules learned from the labels."""
+def learned_rules(docs: DataFrame, labels: DataFrame, name: str) -> tuple[list[decision_list.Rule], DataFrame]:
+    """Rules learned from labelled documents that pass the base rules, and all statistics."""
     shares = doc_stats.shares()
     stats = _described(docs, name).select("*", *[v.alias(k) for k, v in shares.items()])
     known = stats.where(~base_failed()).join(labels.select("doc_id", "quality"), "doc_id")
-    rules = decision_list.learn(known, ["n_words", *shares], "quality", "doc_id")
+    return decision_list.learn(known, ["n_words", *shares], "quality", "doc_id"), stats
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document judged by the base rules and a learned decision list."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    rules, stats = learned_rules(docs, labels, "op8-stats")
     return stats.select(
         "doc_id",
         "n_words",
@@ -135,12 +147,6 @@ def quality_rules(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     )
 
 
-def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document judged by the base rules and a learned decision list."""
-    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    return quality_rules(docs, labels, "op8-stats")
-
-
 def op9_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document, of its edited text, and their likeness."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", _text().alias("text"))
@@ -195,6 +201,7 @@ REGISTRY = {
         op1_mix_sources,
         op2_warc,
         op3_quality,
+        op4_jaccard_join,
         op5_suffix_dedup,
         op6_shards,
         op7_byte_bpe,

@@ -31,7 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsift.llm import texts as T
@@ -445,3 +445,14 @@ def remove_repeats(docs: DataFrame, key: str, text: str, save, length: int = LEN
 
     out = joined_.select(*[F.col(f"a.`{c}`") for c in names], cut(F.coalesce(F.col(f"a.`{text}`"), F.lit("")), F.col("b.spans")).alias("_cut"))
     return out.select(*[F.col(f"`{c}`") for c in names], "_cut.kept", "_cut.removed")
+
+
+def as_text(kept: Column | str) -> Column:
+    """Bytes as text; characters that a cut has left incomplete are dropped, null is empty."""
+
+    @F.arrow_udf("string")
+    def decoded(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for some in parts:
+            yield pa.array([(x or b"").decode("utf-8", "ignore") for x in some.to_pylist()], pa.string())
+
+    return decoded(kept)
