@@ -10,10 +10,12 @@ the filters are intersected before a pair is verified.
 * The first order puts rare tokens first, so that tokens of frequent passages hardly
   ever reach a prefix. Its counts cover all documents and are kept in a table of
   fixed size by hash; any order gives the same links.
+* Tokens of a prefix that no other class has bound what a class can share, and so the
+  sizes of its partners; rows of a token without a partner in reach are dropped.
 * The other orders are by seeded hashes. Their prefixes are short arrays beside each
   class, checked before the sets themselves are intersected.
-* Links are wanted as connected components. A few rounds test the classes of a token
-  against one hub each; what is then in one component needs no more tests. In the end
+* Links are wanted as connected components. First the classes of a token are tested
+  against a few hubs; what is then in one component needs no more tests. In the end
   every pair that could still join two components is tested, so no link between
   components is missed, and a large group of near copies costs a few tests a class
   instead of one a pair.
@@ -29,7 +31,8 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callsift.llm import texts as T
@@ -38,7 +41,8 @@ WIDTH = 5
 SIMILARITY = 0.75
 #: Seeds of the orders beside the first.
 ORDERS = (0x51ED270B, 0x2545F491)
-HUB_ROUNDS = 3
+#: Hubs of a token that its classes are tested against first.
+HUBS = 3
 #: The table of token counts has so many cells, in blocks of ``_BLOCK``.
 CELLS = 1 << 21
 _BLOCK = 1 << 11
@@ -64,7 +68,7 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     """A row (id, n, cls) for each document, and rows (block, counts) of token counts."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.int64)
+        counts, small = np.zeros(CELLS, np.int64), zstandard.ZstdCompressor()
         kind = None
         names = ["id", "n", "cls", "block", "counts"]
         for batch in batches:
@@ -85,7 +89,7 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
         blocks = counts.astype("<i8").reshape(-1, _BLOCK)
         used = np.flatnonzero(blocks.any(axis=1))
         none = pa.nulls(len(used))
-        packed = [np.minimum(blocks[k], 2**31 - 1).astype("<i4").tobytes() for k in used]
+        packed = [small.compress(np.minimum(blocks[k], 2**31 - 1).astype("<i4").tobytes()) for k in used]
         yield pa.RecordBatch.from_arrays(
             [none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())],
             names,
@@ -100,11 +104,11 @@ def token_counts(described: DataFrame) -> np.ndarray:
     """How many sets have a token of each cell: a table of fixed size."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, total = None, np.zeros(_BLOCK, np.int64)
+        block, total, large = None, np.zeros(_BLOCK, np.int64), zstandard.ZstdDecompressor()
         for batch in batches:
             for k, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 block = k
-                total += np.frombuffer(raw, "<i4")
+                total += np.frombuffer(large.decompress(raw), "<i4")
         if block is not None:
             packed = np.minimum(total, 2**31 - 1).astype("<i4").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed], pa.binary())], ["block", "counts"])
@@ -118,7 +122,9 @@ def token_counts(described: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, text: str, counts: np.ndarray, t: Fraction) -> DataFrame:
-    """(token, cls, n): prefix tokens of each class under the first order.
+    """(token, cls, n, last): prefix tokens of each class under the first order.
+
+    ``last`` is the count of the last one, by which prefixes end sooner or later.
 
     A task leaves out classes it has seen already, so copies hardly repeat rows.
     """
@@ -128,7 +134,7 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray, t: Fraction) -> Dat
         counts, seen = shared.value, set()
         for batch in batches:
             for some in T.slices(batch, "text"):
-                token, cls, size = [np.empty(0, np.uint64)], [], []
+                token, cls, size, last = [np.empty(0, np.uint64)], [], [], []
                 for tokens in T.shingle_sets(some.column("text"), WIDTH):
                     if not len(tokens):
                         continue
@@ -139,7 +145,10 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray, t: Fraction) -> Dat
                         seen.clear()
                     seen.add(name)
                     p = prefix_length(len(tokens), t)
-                    token.append(tokens[np.lexsort((tokens, counts[_cells(tokens)]))[:p]])
+                    count = counts[_cells(tokens)]
+                    order = np.lexsort((tokens, count))[:p]
+                    token.append(tokens[order])
+                    last.append(count[order[-1]])
                     cls.append(name)
                     size.append(len(tokens))
                 each = [len(x) for x in token[1:]]
@@ -148,17 +157,18 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray, t: Fraction) -> Dat
                         pa.array(np.concatenate(token).view(np.int64)),
                         pa.array(np.repeat(np.array(cls, np.int64), each)),
                         pa.array(np.repeat(np.array(size, np.int64), each)),
+                        pa.array(np.repeat(np.array(last, np.int32), each)),
                     ],
-                    ["token", "cls", "n"],
+                    ["token", "cls", "n", "last"],
                 )
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(find, "token bigint, cls bigint, n bigint")
+    return docs.select(F.col(text).alias("text")).mapInArrow(find, "token bigint, cls bigint, n bigint, last int")
 
 
 def profiles(docs: DataFrame, t: Fraction) -> DataFrame:
     """(cls, tokens, p0, p1, ...): sets and their prefixes under the other orders.
 
-    ``docs`` has the columns cls and text. A prefix holds 32 bits of each token, which
+    ``docs`` has the columns cls and text; a class may come more than once. A prefix holds 32 bits of each token, which
     can only let more pairs pass.
     """
     names = [f"p{k}" for k in range(len(ORDERS))]
@@ -183,7 +193,45 @@ def profiles(docs: DataFrame, t: Fraction) -> DataFrame:
                 )
 
     schema = "cls bigint, tokens array<bigint>, " + ", ".join(f"{x} array<int>" for x in names)
-    return docs.select("cls", "text").mapInArrow(find, schema).dropDuplicates(["cls"])
+    return docs.select("cls", "text").mapInArrow(find, schema)
+
+
+def _in_reach(rows: DataFrame, t: Fraction) -> DataFrame:
+    """The rows (token, cls, n, last) whose token has a class that may be similar to theirs.
+
+    ``rows`` holds the prefix tokens that stand in two prefixes or more. Of two
+    classes, take that whose prefix ends first in the order: what it shares with the
+    other one among its prefix stands in both prefixes. So it shares n minus its
+    tokens that are in no other prefix at most, and as similar sets share t / (1 + t)
+    of their sizes together, that bounds the other's size (``most``). Sizes at a token
+    are summed up in bands of a few hundredths.
+    """
+    num, den = t.numerator, t.denominator
+    least = F.ceil(F.col("n") * num / den)
+    room = least - 1 + F.col("shared")  # n - prefix + shared
+    held = rows.groupBy("cls").agg(F.count("*").alias("shared"))
+    most = F.floor(room * (num + den) / num).cast("bigint") - F.col("n")
+    sized = rows.join(held, "cls").select("token", "cls", "n", "last", most.alias("most"))
+    band = F.floor(F.log(F.col("n").cast("double")) * 20).cast("int")
+    bands = sized.groupBy("token", band.alias("band")).agg(F.max("most").alias("reach"))
+    listed = bands.groupBy("token").agg(F.collect_list(F.struct("band", "reach")).alias("bands"))
+
+    def of(size: Column) -> Column:
+        return F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) * 20)
+
+    low, high = of(least), of(F.floor(F.col("n") * den / num) + 1)
+    within = of(F.least(F.col("most"), F.floor(F.col("n") * den / num)) + 1)
+    fits = F.exists(
+        "bands", lambda x: x["band"].between(low, within) | (x["band"].between(low, high) & (x["reach"] >= F.col("n")))
+    )
+    return sized.join(listed, "token").where(fits).select("token", "cls", "n", "last", "most")
+
+
+def _pair_fits(a: str, b: str, t: Fraction) -> Column:
+    """Whether sizes allow a pair; ``a`` and ``b`` are structs (n, last, most)."""
+    na, la, ma = (F.col(f"{a}.{x}") for x in ("n", "last", "most"))
+    nb, lb, mb = (F.col(f"{b}.{x}") for x in ("n", "last", "most"))
+    return _sizes_fit(na, nb, t) & (((la <= lb) & (nb <= ma)) | ((lb <= la) & (na <= mb)))
 
 
 def _sizes_fit(a: Column, b: Column, t: Fraction) -> Column:
@@ -237,22 +285,24 @@ def components(edges: DataFrame, save) -> DataFrame:
 
 
 def _relabelled(labels: DataFrame, links: DataFrame, save) -> DataFrame:
-    """(cls, n, copies, comp) after components that links join have become one."""
+    """(cls, size, copies, comp) after components that links join have become one."""
     a = labels.select(F.col("cls").alias("a"), F.col("comp").alias("ca"))
     b = labels.select(F.col("cls").alias("b"), F.col("comp").alias("cb"))
     edges = links.join(a, "a").join(b, "b").where("ca <> cb").select("ca", "cb")
     roots = components(edges, save).withColumnRenamed("node", "comp")
     joined = labels.join(roots, "comp", "left")
-    return save(joined.select("cls", "n", "copies", F.coalesce("root", "comp").alias("comp")), "labels")
+    return save(joined.select("cls", "size", "copies", F.coalesce("root", "comp").alias("comp")), "labels")
 
 
-def _hub_pairs(rows: DataFrame, turn: int, t: Fraction) -> DataFrame:
-    """Each class with the hub of each of its tokens, where they are still apart."""
-    weight = F.col("copies") if turn == 0 else F.xxhash64(F.lit(turn), "cls")
-    hub = F.max(F.struct(weight.alias("weight"), "cls", "n", "comp")).alias("hub")
-    hubs = rows.groupBy("token").agg(hub, F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    pairs = rows.join(hubs.select("token", "hub"), "token").where(F.col("comp") != F.col("hub.comp"))
-    return pairs.where(_sizes_fit(F.col("n"), F.col("hub.n"), t)).select(F.col("cls").alias("a"), F.col("hub.cls").alias("b")).distinct()
+def _hub_pairs(rows: DataFrame, t: Fraction) -> DataFrame:
+    """Each class with the hubs of each of its tokens: the most copied class and two others."""
+    weights = [F.col("copies"), *[F.xxhash64(F.lit(k), "cls") for k in range(1, HUBS)]]
+    hubs = rows.groupBy("token").agg(
+        F.array(*[F.max(F.struct(w.alias("weight"), "cls", "size")) for w in weights]).alias("hubs")
+    )
+    pairs = rows.join(hubs.select("token", F.explode("hubs").alias("hub")), "token")
+    pairs = pairs.withColumn("other", F.col("hub.size")).where((F.col("cls") != F.col("hub.cls")) & _pair_fits("size", "other", t))
+    return pairs.select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct()
 
 
 def _open_pairs(rows: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
@@ -263,11 +313,11 @@ def _open_pairs(rows: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
     """
     at = rows.groupBy("token", "comp").agg(F.count("*").alias("k"))
     main = at.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
-    apart = rows.join(main, "token").where(F.col("comp") != F.col("main.comp")).select("token", "cls", "n", "comp")
+    apart = rows.join(main, "token").where(F.col("comp") != F.col("main.comp")).select("token", "cls", "size", "comp")
     others = at.select("token", F.col("comp").alias("other"))
-    wanted = apart.join(others, "token").where("comp <> other").select(F.col("cls").alias("a"), F.col("n").alias("na"), "other").distinct()
-    members = labels.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("other"))
-    pairs = wanted.join(members, "other").where(_sizes_fit(F.col("na"), F.col("nb"), t))
+    wanted = apart.join(others, "token").where("comp <> other").select(F.col("cls").alias("a"), F.col("size").alias("sa"), "other")
+    members = labels.select(F.col("cls").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("other"))
+    pairs = wanted.distinct().join(members, "other").where(_pair_fits("sa", "sb", t))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -282,30 +332,31 @@ def link(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILAR
     described = save(classes(docs, key, text), "sets")
     sets = described.where("block is null").select("id", "n", "cls")
     rows = prefixes(docs, text, token_counts(described), t).repartition("token")
-    from pyspark.sql import Window
-
     token = Window.partitionBy("token")
-    rows = rows.groupBy("token", "cls", "n").agg(F.count("*").alias("_k"))
+    rows = rows.groupBy("token", "cls", "n", "last").agg(F.count("*").alias("_k"))
     rows = rows.withColumn("low", F.min("cls").over(token)).withColumn("high", F.max("cls").over(token))
-    rows = save(rows.where("low <> high").select("token", "cls", "n"), "shared-tokens")
+    rows = save(rows.where("low <> high").select("token", "cls", "n", "last"), "shared-tokens")
+    rows = save(_in_reach(rows, t), "near-tokens")
 
     grouped = sets.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    used = rows.groupBy("cls").agg(F.max("n").alias("n"))
-    labels = save(used.join(grouped, "cls").select("cls", "n", "copies", F.col("cls").alias("comp"), "id"), "labels")
-    wanted = labels.select("cls", F.col("id").alias("_id"))
+    size = F.struct("n", "last", "most")
+    used = rows.groupBy("cls").agg(F.max(size).alias("size")).join(grouped, "cls")
+    used = save(used.select("cls", "size", "copies", F.col("cls").alias("comp"), "id"), "labels")
+    labels = used.drop("id")
+    narrow = rows.select("token", "cls", size.alias("size"))
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    profile = save(profiles(texts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))), t), "profiles")
-    labels = labels.drop("id")
-    for turn in range(HUB_ROUNDS):
-        held = rows.join(labels.select("cls", "copies", "comp"), "cls")
-        found = save(verified(_hub_pairs(held, turn, t), profile, t), "links")
-        if found.isEmpty():
-            break
-        labels = _relabelled(labels, found, save)
-    held = rows.join(labels.select("cls", "copies", "comp"), "cls")
-    found = save(verified(_open_pairs(held, labels, t), profile, t), "links")
-    if not found.isEmpty():
-        labels = _relabelled(labels, found, save)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = save(pairs, "pairs")
+        named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+        wanted = named.join(used, "cls").select("cls", F.col("id").alias("_id"))
+        profile = save(profiles(texts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))), t), "profiles")
+        return save(verified(pairs, profile, t).distinct(), "links")
+
+    for pairs_of in (_hub_pairs, lambda rows, t: _open_pairs(rows, labels, t)):
+        found = linked(pairs_of(narrow.join(labels.select("cls", "copies", "comp"), "cls"), t))
+        if not found.isEmpty():
+            labels = _relabelled(labels, found, save)
 
     least = grouped.join(labels.select("cls", "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     roots = least.groupBy("comp").agg(F.min("id").alias("component_id"))
