@@ -41,8 +41,10 @@ WIDTH = 5
 SIMILARITY = 0.75
 #: Seeds of the orders beside the first.
 ORDERS = (0x51ED270B, 0x2545F491)
-#: Hubs of a token that its classes are tested against first.
-HUBS = 3
+#: Orders by hash that tokens take their hubs from.
+HUB_ORDERS = 8
+#: Rows (two numbers each) of a table that may be broadcast, once they are counted.
+BROADCAST_ROWS = 100_000
 #: The table of token counts has so many cells, in blocks of ``_BLOCK``.
 CELLS = 1 << 21
 _BLOCK = 1 << 11
@@ -239,11 +241,16 @@ def _sizes_fit(a: Column, b: Column, t: Fraction) -> Column:
     return F.least(a, b) * t.denominator >= F.greatest(a, b) * t.numerator
 
 
+def _counted(df: DataFrame) -> DataFrame:
+    """A table of a few numbers a row, to be broadcast where a count allows it."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def verified(pairs: DataFrame, profile: DataFrame, t: Fraction) -> DataFrame:
     """The pairs (a, b) that are similar: prefixes of all orders meet, then the sets do."""
     left = profile.select(F.col("cls").alias("a"), *[F.col(c).alias(f"a_{c}") for c in profile.columns if c != "cls"])
     right = profile.select(F.col("cls").alias("b"), *[F.col(c).alias(f"b_{c}") for c in profile.columns if c != "cls"])
-    both = pairs.join(left, "a").join(right, "b")
+    both = left.join(_counted(pairs), "a").join(right, "b")
     for k in range(len(ORDERS)):
         both = both.where(F.arrays_overlap(f"a_p{k}", f"b_p{k}"))
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -295,8 +302,13 @@ def _relabelled(labels: DataFrame, links: DataFrame, save) -> DataFrame:
 
 
 def _hub_pairs(rows: DataFrame, t: Fraction) -> DataFrame:
-    """Each class with the hubs of each of its tokens: the most copied class and two others."""
-    weights = [F.col("copies"), *[F.xxhash64(F.lit(k), "cls") for k in range(1, HUBS)]]
+    """Each class with the hubs of each of its tokens.
+
+    One is the class with the most copies, the other the first one in an order by
+    hash. Tokens use a few such orders, so the classes of a large group of near
+    copies, which share most tokens, meet a few hubs each.
+    """
+    weights = [F.col("copies"), F.xxhash64(F.pmod("token", F.lit(HUB_ORDERS)), "cls")]
     hubs = rows.groupBy("token").agg(
         F.array(*[F.max(F.struct(w.alias("weight"), "cls", "size")) for w in weights]).alias("hubs")
     )
@@ -308,14 +320,17 @@ def _hub_pairs(rows: DataFrame, t: Fraction) -> DataFrame:
 def _open_pairs(rows: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
     """Every pair of different components that share a token and may be similar.
 
-    Of the components at a token, classes of all but the largest one are paired with
-    the members of every other one.
+    Of two components at a token, the classes of one are paired with all members of
+    the other; the largest one at the token is always the other.
     """
     at = rows.groupBy("token", "comp").agg(F.count("*").alias("k"))
-    main = at.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
-    apart = rows.join(main, "token").where(F.col("comp") != F.col("main.comp")).select("token", "cls", "size", "comp")
-    others = at.select("token", F.col("comp").alias("other"))
-    wanted = apart.join(others, "token").where("comp <> other").select(F.col("cls").alias("a"), F.col("size").alias("sa"), "other")
+    main = at.groupBy("token").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"), F.count("*").alias("comps"))
+    main = main.where("comps > 1").select("token", "main")
+    apart = rows.join(main, "token").where("comp <> main").select("token", "cls", "size", "comp")
+    others = at.join(main, "token").select("token", F.col("comp").alias("other"), "main")
+    open_ = (F.col("other") == F.col("main")) | (F.col("comp") < F.col("other"))
+    wanted = apart.join(others, "token").where(open_ & (F.col("comp") != F.col("other")))
+    wanted = wanted.select(F.col("cls").alias("a"), F.col("size").alias("sa"), "other")
     members = labels.select(F.col("cls").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("other"))
     pairs = wanted.distinct().join(members, "other").where(_pair_fits("sa", "sb", t))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -349,7 +364,7 @@ def link(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILAR
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = save(pairs, "pairs")
         named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-        wanted = named.join(used, "cls").select("cls", F.col("id").alias("_id"))
+        wanted = _counted(save(named.join(used, "cls").select("cls", F.col("id").alias("_id")), "wanted"))
         profile = save(profiles(texts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))), t), "profiles")
         return save(verified(pairs, profile, t).distinct(), "links")
 
