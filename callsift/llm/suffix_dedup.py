@@ -26,6 +26,7 @@ Null and empty texts keep what they have. Equal documents remove each other.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -43,48 +44,64 @@ GROUP_RUNS = 4_000
 #: Suffixes of more bytes together are ordered by ranks, not by comparing them.
 _SORT_BYTES = 1 << 22
 _SLICE = 1 << 20
+_STEP = 1 << 16
 
 
 class Repeat(NamedTuple):
-    """A maximal repeat: its length and where its occurrences start."""
+    """A maximal repeat: its length, and the range of the suffix array that begins with it.
+
+    The range gives all occurrences without listing them, as the repeats of a
+    periodic text have too many in all.
+    """
 
     length: int
-    places: list[tuple[int, int]]
+    first: int
+    stop: int
 
 
-def suffix_array(texts: list[bytes], starts: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[int]]:
-    """Suffixes (text, start) in order, and the common prefixes of neighbours.
+class Suffixes(NamedTuple):
+    """Suffixes in order: text and start of each, and its common prefix with the one before."""
 
-    The prefix at k is that of suffixes k - 1 and k.
-    """
-    size = sum(len(texts[i]) - p for i, p in starts)
-    if size <= _SORT_BYTES:
-        places = sorted(starts, key=lambda at: texts[at[0]][at[1] :])
-    else:
-        rank = _ranks_of(texts)
-        places = sorted(starts, key=lambda at: rank[at[0]][at[1]])
-    common = [_common(texts[a], p, texts[b], q) for (a, p), (b, q) in zip(places[:-1], places[1:], strict=True)]
-    return places, [0, *common]
+    text: np.ndarray
+    start: np.ndarray
+    common: np.ndarray
 
 
-def _ranks_of(texts: list[bytes]) -> list[list[int]]:
-    """The order of all suffixes of all texts, by doubling the compared prefix."""
-    size = [len(x) for x in texts]
-    edge = np.append(0, np.cumsum(np.array(size) + 1))
+def suffix_array(texts: list[bytes], text: np.ndarray, start: np.ndarray) -> Suffixes:
+    """The enhanced suffix array of the suffixes that start at these places."""
+    size = np.array([len(x) for x in texts], np.int64)
+    if (size[text] - start).sum() <= _SORT_BYTES:
+        keys = [texts[i][p:] for i, p in zip(text.tolist(), start.tolist(), strict=True)]
+        order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
+    else:
+        edge, rank = _ranks_of(texts, size)
+        order = np.argsort(rank[edge[text] + start], kind="stable")
+    text, start = text[order], start[order]
+    common = np.zeros(len(order), np.int32)
+    for at in range(1, len(order), _STEP):
+        a, p = text[at - 1 : at + _STEP].tolist(), start[at - 1 : at + _STEP].tolist()
+        found = [_common(texts[a[k]], p[k], texts[a[k + 1]], p[k + 1]) for k in range(len(a) - 1)]
+        common[at : at + len(found)] = found
+    return Suffixes(text, start, common)
+
+
+def _ranks_of(texts: list[bytes], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text begins, and the order of all suffixes, by doubling the compared prefix."""
+    edge = np.append(0, np.cumsum(size + 1))
     codes = np.zeros(edge[-1], np.int64)  # 0 ends a text
     for x, at in zip(texts, edge[:-1].tolist(), strict=True):
         codes[at : at + len(x)] = np.frombuffer(x, np.uint8).astype(np.int64) + 1
+    left = np.repeat(edge[1:], np.diff(edge)) - np.arange(edge[-1])
     rank, step = np.unique(codes, return_inverse=True)[1], 1
-    while step < max(size, default=0) + 1:
+    while step < size.max(initial=0) + 1:
         after = np.zeros(len(rank), np.int64)
-        after[:-step] = rank[step:]
-        ahead = np.repeat(edge[1:], np.diff(edge)) - np.arange(edge[-1]) <= step
-        after[ahead] = -1
-        found = np.unique(rank * (len(rank) + 1) + after + 1, return_inverse=True)[1]
-        if found.max(initial=0) == rank.max(initial=0):
+        after[:-step] = rank[step:] + 1
+        after[left <= step] = 0
+        found = np.unique(rank * (len(rank) + 1) + after, return_inverse=True)[1]
+        if found.max() == rank.max():
             break
         rank, step = found, step * 2
-    return [rank[a : a + n].tolist() for a, n in zip(edge[:-1].tolist(), size, strict=True)]
+    return edge[:-1], rank
 
 
 def _common(x: bytes, p: int, y: bytes, q: int) -> int:
@@ -102,63 +119,60 @@ def _common(x: bytes, p: int, y: bytes, q: int) -> int:
     return low
 
 
-def maximal_repeats(texts: list[bytes], starts: list[tuple[int, int]], length: int) -> Iterator[Repeat]:
-    """Maximal repeats of at least ``length`` bytes among suffixes, with all occurrences.
+def maximal_repeats(texts: list[bytes], suffixes: Suffixes, length: int) -> Iterator[Repeat]:
+    """Maximal repeats of at least ``length`` bytes in a suffix array, inner ones first.
 
-    Intervals of the suffix array are closed from a stack when the common prefix
-    falls below theirs. An interval is left-diverse if two of its suffixes follow
-    different bytes, or one begins its text.
+    Intervals of the array are closed from a stack when the common prefix falls below
+    theirs. An interval is left-diverse if two of its suffixes follow different bytes,
+    or one begins its text.
     """
-    places, common = suffix_array(texts, starts)
     stack: list[tuple[int, int, set[int]]] = []  # prefix length, first suffix, left bytes
-    for k in range(1, len(places) + 1):
-        here = common[k] if k < len(places) else 0
-        i, p = places[k - 1]
-        first, left = k - 1, {texts[i][p - 1] if p else -1}
-        while stack and stack[-1][0] > here:
-            size, first, seen = stack.pop()
-            seen |= left
-            if len(seen) > 1 or -1 in seen:
-                yield Repeat(size, places[first:k])
-            left = seen
-        if stack and stack[-1][0] == here:
-            stack[-1][2].update(left)
-        elif here >= length:
-            stack.append((here, first, left))
-
-
-def _beginnings(texts: list[bytes], group: list[int], length: int) -> list[list[tuple[int, int]]]:
-    """For each group of texts the (text, start) at which a maximal repeat can begin.
-
-    These are windows that stand twice or more in the group and that don't always
-    follow the same window. Told by hashes, which never misses one; equality of the
-    bytes is the suffix array's matter. Texts are numbered within their group.
+    n = len(suffixes.text)
+    for block in range(0, n, _STEP):
+        some = slice(block, block + _STEP)
+        text, start = suffixes.text[some].tolist(), suffixes.start[some].tolist()
+        following = [*suffixes.common[block + 1 : block + _STEP + 1].tolist(), 0]
+        for k, (i, p) in enumerate(zip(text, start, strict=True), block):
+            here = following[k - block]
+            first, left = k, {texts[i][p - 1] if p else -1}
+            while stack and stack[-1][0] > here:
+                size, first, seen = stack.pop()
+                seen |= left
+                if len(seen) > 1 or -1 in seen:
+                    yield Repeat(size, first, k + 1)
+                left = seen
+            if stack and stack[-1][0] == here:
+                stack[-1][2].update(left)
+            elif here >= length:
+                stack.append((here, first, left))
+
+
+def _beginnings(texts: list[bytes], group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The (text, start) at which a maximal repeat can begin, in order.
+
+    These are windows that stand twice or more in their group of texts and that don't
+    always follow the same window. Told by hashes, which never misses one; equality of
+    the bytes is the suffix array's matter.
     """
-    data = np.frombuffer(b"".join(texts), np.uint8)
     size = np.array([len(x) for x in texts], np.int64)
     edge = np.cumsum(size) - size
     n = size - length + 1
     owner = np.repeat(np.arange(len(texts)), n)
     start = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-    where = np.array(group, np.int64)
-    value = T.Rolling(data).every(length)[edge[owner] + start]
-    value += T.mix(where.astype(np.uint64) + np.uint64(1))[owner]
+    value = T.Rolling(np.frombuffer(b"".join(texts), np.uint8)).every(length)[edge[owner] + start]
+    value += T.mix(group.astype(np.uint64) + np.uint64(1))[owner]
     order = np.argsort(value, kind="stable")
     ordered = value[order]
     first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    count = np.diff(np.append(first, len(order)))
     kind = np.empty(len(order), np.int64)
-    kind[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    kind[order] = np.repeat(np.arange(len(first)), count)
     before = np.append(-1, kind[:-1])
     before[start == 0] = -1
     low = np.minimum.reduceat(before[order], first)
     high = np.maximum.reduceat(before[order], first)
-    count = np.diff(np.append(first, len(order)))
     at = np.flatnonzero(((count > 1) & ((low != high) | (low < 0)))[kind])
-    out: list[list[tuple[int, int]]] = [[] for _ in range(group[-1] + 1)]
-    base = np.searchsorted(where, np.arange(group[-1] + 1))
-    for g, i, p in zip(where[owner[at]].tolist(), (owner[at] - base[where[owner[at]]]).tolist(), start[at].tolist(), strict=True):
-        out[g].append((i, p))
-    return out
+    return owner[at], start[at]
 
 
 def repeated_windows(groups: list[list[bytes]], length: int) -> list[list[list[tuple[int, int]]]]:
@@ -166,15 +180,44 @@ def repeated_windows(groups: list[list[bytes]], length: int) -> list[list[list[t
 
     Texts have ``length`` bytes at least.
     """
-    texts = [x for group in groups for x in group]
-    starts = _beginnings(texts, [g for g, group in enumerate(groups) for _ in group], length)
-    out = []
-    for group, some in zip(groups, starts, strict=True):
-        ranges: list[list[tuple[int, int]]] = [[] for _ in group]
-        for repeat in maximal_repeats(group, some, length) if len(some) > 1 else ():
-            for i, p in repeat.places:
-                ranges[i].append((p, p + repeat.length - length + 1))
-        out.append([joined(x) for x in ranges])
+    group = np.repeat(np.arange(len(groups)), [len(x) for x in groups])
+    text, start = _beginnings([x for some in groups for x in some], group, length)
+    bounds = np.searchsorted(group[text], np.arange(len(groups) + 1))
+    base = np.searchsorted(group, np.arange(len(groups)))
+    return [
+        _ranges(some, text[a:b] - first, start[a:b], length)
+        for some, a, b, first in zip(groups, bounds[:-1].tolist(), bounds[1:].tolist(), base.tolist(), strict=True)
+    ]
+
+
+def _ranges(texts: list[bytes], text: np.ndarray, start: np.ndarray, length: int) -> list[list[tuple[int, int]]]:
+    """Ranges of windows that repeats cover; each suffix counts with its longest repeat."""
+    if len(text) < 2:
+        return [[] for _ in texts]
+    suffixes = suffix_array(texts, text, start)
+    covered = np.zeros(len(text), np.int64)
+    skip = array("q", range(len(text) + 1))  # the next suffix from here without a repeat yet
+    for size, first, stop in maximal_repeats(texts, suffixes, length):
+        path, k = [], first
+        while k < stop:
+            if skip[k] == k:
+                covered[k] = size
+                skip[k] = k + 1
+            path.append(k)
+            k = skip[k]
+        for x in path:
+            skip[x] = k
+    found = np.flatnonzero(covered)
+    found = found[np.lexsort((suffixes.start[found], suffixes.text[found]))]
+    who, a = suffixes.text[found], suffixes.start[found]
+    b = a + covered[found] - length + 1
+    shift = who * (max(map(len, texts)) + 1)  # ranges of different texts lie apart
+    end = np.maximum.accumulate(b + shift)
+    new = np.flatnonzero(np.append(True, (a + shift)[1:] > end[:-1])) if len(found) else found
+    last = np.append(new[1:], len(found)) - 1
+    out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for i, p, q in zip(who[new].tolist(), a[new].tolist(), (end[last] - shift[last]).tolist(), strict=True):
+        out[i].append((p, q))
     return out
 
 
