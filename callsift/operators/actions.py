@@ -166,11 +166,14 @@ def reward_cents() -> Column:
 # --- Tool arguments as JSON ---------------------------------------------------
 
 
-def _whole_number(raw: Column) -> Column:
-    absent = raw.isin("", "null", "None")
-    switch = F.when(raw == "true", F.lit(1)).when(raw == "false", F.lit(0))
-    return F.when(
-        ~absent, F.coalesce(switch, raw.try_cast("double").try_cast("int"))
+def _whole_number(raw: Column, number: Column, switch: Column) -> Column:
+    """A whole number from a bare number, a bare switch or a string of digits."""
+    digits = F.when(raw.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(raw).try_cast("int"))
+    return (
+        F.when(raw.isin("", "null", "None"), None)
+        .when(number.isNotNull(), number.try_cast("int"))
+        .when(switch.isNotNull(), switch.cast("int"))
+        .otherwise(digits)
     )
 
 
@@ -181,7 +184,10 @@ def _switch(raw: Column) -> Column:
 def coerce_tool_args(calls: DataFrame) -> DataFrame:
     """(…, fn_name, args) to typed action columns; unusable values become null."""
     fields = F.from_json("args", "map<string,string>")
-    typed = {f: _whole_number(fields[f]) for f in _INT_FIELDS}
+    # Only bare values are read as numbers and switches; quoted ones stay strings.
+    numbers = F.from_json("args", ", ".join(f"{f} double" for f in _INT_FIELDS))
+    switches = F.from_json("args", ", ".join(f"{f} boolean" for f in _INT_FIELDS))
+    typed = {f: _whole_number(fields[f], numbers[f], switches[f]) for f in _INT_FIELDS}
     typed |= {f: fields[f] for f in _TEXT_FIELDS}
     typed["compliance_pass"] = _switch(fields["compliance_pass"])
     kept = [c for c in calls.columns if c not in ("fn_name", "args")]

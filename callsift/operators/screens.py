@@ -21,8 +21,8 @@ def screen_hold_gaps(
     silence is long; low if it is short and draws no complaint.
     """
     gap = F.col("silence_gap_before_seconds")
-    customer_now = F.when(F.col("speaker") != "agent", F.col("text"))
-    customer_next = F.when(F.col("after_speaker") != "agent", F.col("after_text"))
+    customer_now = F.when(F.col("speaker") == "customer", F.col("text"))
+    customer_next = F.when(F.col("after_speaker") == "customer", F.col("after_text"))
     reply = F.lower(F.coalesce(customer_now, customer_next, F.lit("")))
     confused = reply.rlike(fv.SCREEN_CONFUSED)
     long = gap >= fv.HOLD_GAP_SECONDS
@@ -50,7 +50,7 @@ def screen_rubric(turns: DataFrame) -> DataFrame:
     is shuffled.
     """
     agent = F.col("speaker") == "agent"
-    customer = ~agent
+    customer = F.col("speaker") == "customer"
     # The agent's first turn carries its disclosure bit in the lowest digit.
     opening = F.when(
         agent,

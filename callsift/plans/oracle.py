@@ -775,8 +775,8 @@ def _has(pattern: str) -> str:
     return f"regexp_matches(lower(text), {_q(pattern)})"
 
 
-_REPLY = """lower(CASE WHEN speaker <> 'agent' THEN text
-    WHEN after_speaker <> 'agent' THEN after_text ELSE '' END)"""
+_REPLY = """lower(CASE WHEN speaker = 'customer' THEN text
+    WHEN after_speaker = 'customer' THEN after_text ELSE '' END)"""
 _CONFUSED = f"regexp_matches({_REPLY}, {_q(fv.SCREEN_CONFUSED)})"
 _GAP = "silence_gap_before_seconds"
 
@@ -906,7 +906,7 @@ def oracle_sql() -> dict[str, str]:
     sql["screen_rubric"] = _sql(
         f"""SELECT call_id, NOT arg_min({_has(fv.SCREEN_DISCLOSURE)}, pos)
             FILTER (WHERE {agent}) AS disclosure_missing,
-        {_first_pos(f"speaker <> 'agent' AND {_has(fv.SCREEN_SUPERVISOR_REQUEST)}",
+        {_first_pos(f"speaker = 'customer' AND {_has(fv.SCREEN_SUPERVISOR_REQUEST)}",
                     "supervisor_request_pos")},
         {_first_pos(f"{agent} AND {_has(fv.SCREEN_DEFLECTION)}", "deflection_pos")},
         {_first_pos(f"{agent} AND {_has(fv.SCREEN_COMMITMENT)} "

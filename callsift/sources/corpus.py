@@ -1,7 +1,8 @@
 """Call corpora stored as JSON, and their flat tables.
 
 A record is one call with nested turns and truth. ``part`` numbers the records
-of a call too long for one record; a call in a single record leaves it out.
+of a call too long for one record and ``parts`` counts them; a call in a single
+record leaves both out.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 PART_TURNS = 1_000
 
 CALL_SCHEMA = """
-    id string, part int, difficulty string,
+    id string, part int, parts int, difficulty string,
     metadata struct<department string, call_reason string,
                     call_duration_seconds double, call_summary string>,
     turns array<struct<turn_index int, speaker string, text string,
@@ -29,8 +30,9 @@ CALL_SCHEMA = """
 def read_calls(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Records of a JSON array (``multiline``) or of JSON lines.
 
-    Of records with the same id the last one in file order is kept. Prefer JSON
-    lines for large corpora: only they can be split within a file.
+    Of records with the same id the last one in file order is kept, with the other
+    parts that it counts in ``parts``. Prefer JSON lines for large corpora: only they
+    can be split within a file.
     """
     raw = spark.read.schema(CALL_SCHEMA).json(path, multiLine=multiline)
     place = F.struct(
@@ -44,8 +46,14 @@ def read_calls(spark: SparkSession, path: str, multiline: bool = True) -> DataFr
         F.col("id"),
         F.coalesce("part", F.lit(0)).alias("part"),
     )
+    newest = placed.groupBy("id").agg(
+        F.coalesce(F.max_by("call.parts", "place"), F.lit(1)).alias("parts")
+    )
     last = placed.groupBy("id", "part").agg(F.max_by("call", "place").alias("call"))
-    return last.select("id", "part", *[f"call.{c}" for c in _FIELDS])
+    current = last.join(newest, "id").where(
+        F.col("part") < F.col("parts")
+    )
+    return current.select("id", "part", *[f"call.{c}" for c in _FIELDS])
 
 
 _FIELDS = ["difficulty", "metadata", "turns", "ground_truth"]
@@ -113,10 +121,16 @@ def nest_calls(turns: DataFrame, calls: DataFrame, gt: DataFrame) -> DataFrame:
     truth = gt.groupBy(F.col("episode_id").alias("call_id")).agg(
         F.array_sort(F.collect_list(violation)).alias("violations")
     )
-    joined = records.join(calls, "call_id").join(truth, "call_id", "left")
+    parts = records.groupBy("call_id").agg((F.max("part") + 1).alias("parts"))
+    joined = (
+        records.join(parts, "call_id")
+        .join(calls, "call_id")
+        .join(truth, "call_id", "left")
+    )
     return joined.select(
         F.col("call_id").cast("string").alias("id"),
         F.when(F.col("part") > 0, F.col("part")).alias("part"),
+        F.when(F.col("parts") > 1, F.col("parts")).alias("parts"),
         "difficulty",
         F.struct(
             "department", "call_reason", "call_duration_seconds", "call_summary"

@@ -1,13 +1,12 @@
 """The folder every executor can reach, for checkpoints and written tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The session's ``spark.checkpoint.dir``; unset, no folder is known to be shared."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -16,8 +15,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured
     if current is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="callsift-"))
-        current = context.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return current
 
 

@@ -109,3 +109,11 @@ def test_json_arguments(spark):
     for row in act.coerce_tool_args(df).collect():
         args, expected = ARGUMENTS[row.id]
         assert {f: row[f] for f in FIELDS[1:] if row[f] is not None} == expected, args
+
+
+def test_only_bare_numbers_are_numbers(spark):
+    given = ['"3.7"', '"3d"', '"1e3"', '"true"', '" 12 "', '"-4"', "3.7", "true", "5", "null", '""']
+    rows = [(k, "flag_violation", f'{{"turn_index": {x}}}') for k, x in enumerate(given)]
+    df = spark.createDataFrame(rows, "k int, fn_name string, args string")
+    found = {r["k"]: r["turn_index"] for r in act.coerce_tool_args(df).collect()}
+    assert [found[k] for k in range(len(given))] == [None, None, None, None, 12, -4, 3, 1, 5, None, None]

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from callsift.operators import grading
@@ -192,3 +193,34 @@ def test_console_log_with_lost_start_and_cut_lines(spark, tmp_path):
     assert (rows[6].action, rows[6].done, rows[6].error) == (
         "flag_violation(violation_type=x)", False, None,
     )
+
+
+def test_a_shorter_later_call_replaces_all_parts_of_an_earlier_one(spark, tmp_path):
+    import json
+
+    turn = {"speaker": "agent", "text": "x"}
+    old = [{"id": "a", "part": p or None, "parts": 2, "turns": [turn] * 3} for p in (0, 1)]
+    lines = [*old, {"id": "b", "turns": [turn]}, {"id": "a", "turns": [turn]}]
+    path = tmp_path / "calls.json"
+    path.write_text("\n".join(map(json.dumps, lines)))
+    read = corpus.read_calls(spark, str(path), multiline=False)
+    assert sorted((r["id"], r["part"], len(r["turns"])) for r in read.collect()) == [("a", 0, 1), ("b", 0, 1)]
+
+
+def test_no_folder_is_made_up(spark, monkeypatch):
+    from callsift.sources import shared_dir
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir.checkpoint_root(Session())
