@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED = 600_000
+CACHED = 300_000
 #: Characters of text split at a time.
 TOGETHER = 4 << 20
 #: Pre-tokens of more bytes are merged one by one.
