@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import posixpath
 import struct
-import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -287,7 +286,3 @@ def starts(read_back: DataFrame) -> DataFrame:
     )
     here = F.coalesce(F.sum("n_tokens").over(before(["file", "_run"], "place")), F.lit(0))
     return rows.withColumn("_here", here).join(runs, ["file", "_run"]).withColumn("start", F.col("_base") + F.col("_here")).drop("_run", "_here", "_base")
-
-
-def crc32(ids: bytes) -> int:
-    return zlib.crc32(ids)
