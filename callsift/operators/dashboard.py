@@ -82,6 +82,14 @@ def run_summary(results: DataFrame) -> DataFrame:
     return grouped.select("model", "run", *means, total)
 
 
+def episode_success(episodes: DataFrame) -> DataFrame:
+    """Per episode: whether it reaches the passing score, and steps taken."""
+    passed = F.col("final_score") >= fv.SUCCESS_SCORE
+    return episodes.select(
+        "episode_id", "difficulty", "final_score", passed.alias("success"), "steps"
+    )
+
+
 def success_rate(episodes: DataFrame) -> DataFrame:
     """Share of episodes that reach the passing score, and steps taken."""
     passed = F.col("final_score") >= fv.SUCCESS_SCORE

@@ -55,9 +55,9 @@ def replay(
 ) -> DataFrame:
     """One row per counted step, with budget, counters and ``done``.
 
-    ``order`` names the columns that order an episode; the first one must be a
-    whole number, along which very long episodes are cut. ``short_episodes``
-    tells that there are none, so that nothing has to be counted.
+    ``order`` names the whole-number columns that order an episode, along which
+    very long episodes are cut. ``short_episodes`` tells that there are none, so
+    that nothing has to be counted.
 
     ``calls`` (episode_id, n_turns) may be left out if the actions carry
     ``n_turns`` themselves.
@@ -73,7 +73,7 @@ def replay(
         priced,
         ["episode_id"],
         [F.col(c).asc_nulls_last() for c in order],
-        F.col(order[0]),
+        [F.col(c) for c in order],
         target_rows,
         count=not short_episodes,
     )
@@ -124,10 +124,6 @@ def _recorded_flag() -> Column:
     return (F.col("recorded_action") == "flag_violation") & F.col("error_code").isNull()
 
 
-# Lists of a long episode are delivered in pages of this many entries.
-PAGE_STEPS = 10_000
-
-
 # --- Views over the steps -----------------------------------------------------
 
 
@@ -230,27 +226,21 @@ def feedback() -> Column:
     return F.expr(f"concat({text}, {warning})")
 
 
-def rewarded_steps(
-    steps: DataFrame, grades: DataFrame, page_steps: int = PAGE_STEPS
-) -> DataFrame:
+def rewarded_steps(steps: DataFrame, grades: DataFrame) -> DataFrame:
     """Steps with ``reward``, ``cumulative_reward``, ``error`` and ``feedback``.
 
     The last step earns the unrounded grade, less a fixed penalty if the budget
     ran out. Earlier rewards are summed as whole hundredths. The grade is joined
-    by episode and page, so the steps of a long episode stay spread out, and the
-    pages are ready for a log.
+    by episode and step, as only the last step needs it, so the steps of a long
+    episode stay spread out.
     """
-    page = F.floor((F.col("step") - 1) / F.lit(page_steps))
-    last_page = F.floor((F.col("steps") - 1) / F.lit(page_steps))
-    paged_grades = grades.select(
+    last = grades.select(
         "episode_id",
-        last_page.alias("page"),
+        F.col("steps").alias("step"),
         F.col("total").alias("grade"),
         "final_score",
     )
-    joined = steps.withColumn("page", page).join(
-        paged_grades, ["episode_id", "page"], "left"
-    )
+    joined = steps.join(last, ["episode_id", "step"], "left")
     reward = f"""CASE WHEN NOT done THEN reward_cents / 100D
         WHEN exhausted THEN grade - {fv.EXHAUSTED_PENALTY}D ELSE grade END"""
     return (
@@ -271,13 +261,13 @@ def rewarded_steps(
     )
 
 
-def episode_state(steps: DataFrame, page_steps: int = PAGE_STEPS) -> DataFrame:
-    """Snapshot per episode: counters at its last step, and ordered lists.
+def episode_state(steps: DataFrame) -> DataFrame:
+    """One row per episode: counters and rewards at its last step, ordered lists.
 
-    The lists hold ``page_steps`` steps per row; only an episode longer than
-    that has more than one page.
+    ``steps`` carry ``cumulative_reward``. An episode pays for its steps from its
+    budget, which bounds the lists by the length of its call; only reads turned away
+    are free.
     """
-    page = F.floor((F.col("step") - 1) / F.lit(page_steps)).alias("page")
     action = F.struct("step", F.col("recorded_action").alias("action"))
     flag = F.when(
         _recorded_flag(),
@@ -289,12 +279,13 @@ def episode_state(steps: DataFrame, page_steps: int = PAGE_STEPS) -> DataFrame:
         ),
     )
     return (
-        steps.groupBy("episode_id", page)
+        steps.groupBy("episode_id")
         .agg(
             F.max("step").alias("step_count"),
             F.max("total_budget").alias("total_budget"),
             F.min("remaining").alias("budget_remaining"),
             F.max("done").alias("done"),
+            F.max_by("cumulative_reward", "step").alias("cumulative_reward"),
             F.array_sort(F.collect_list(action)).alias("actions"),
             F.array_sort(F.collect_list(flag)).alias("flags"),
         )

@@ -1,9 +1,8 @@
 """Draft incident reports for human review.
 
 Reports follow the labelled truth; the auditor's flags only decide what counts
-as detected. Lists are built per (episode, page), a page covering
-``PAGE_ROWS`` list positions, so an episode with very many findings becomes
-several bounded rows and every other episode exactly one.
+as detected. A report is one row per episode. Its lists stay short, because every
+flag is paid from the budget of the call.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +10,6 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
 
-PAGE_ROWS = 1_000
-
-
 def _friendly(kind: Column) -> Column:
     return F.initcap(F.replace(kind, F.lit("_"), F.lit(" ")))
 
@@ -85,47 +81,42 @@ def efficiency_pct() -> Column:
 
 def report_routing(graded: DataFrame) -> DataFrame:
     """Verdict, route, minutes and rationale per episode."""
-    return graded.select(
-        "episode_id",
+    return graded.select(*_routing())
+
+
+def _routing() -> list[Column]:
+    return [
+        F.col("episode_id"),
         F.when(F.col("gt_compliance"), "PASS").otherwise("FAIL").alias("verdict"),
         (F.col("verdict") == F.col("gt_compliance")).alias("agent_verdict_correct"),
         rationale().alias("verdict_rationale"),
         recommended_action().alias("recommended_action"),
         efficiency_pct().alias("triage_efficiency_pct"),
         review_minutes().alias("estimated_human_review_minutes"),
-    )
+    ]
 
 
-def report_recommendations(
-    graded: DataFrame, findings: DataFrame, page_rows: int = PAGE_ROWS
-) -> DataFrame:
+def report_recommendations(graded: DataFrame, findings: DataFrame) -> DataFrame:
     """Ordered advice per episode: missed types, verdict, precision, or praise."""
-    advice = _advice(F.col("missed"))
-    return _with_pages(graded, _pages(findings, page_rows)).select(
-        "episode_id", "page", advice.alias("recommendations")
+    return graded.join(_lists(findings), "episode_id", "left").select(
+        "episode_id", _advice(F.col("missed")).alias("recommendations")
     )
 
 
-def draft_reports(
-    graded: DataFrame, findings: DataFrame, page_rows: int = PAGE_ROWS
-) -> DataFrame:
-    """The whole report per episode (and page of its lists)."""
-    routing = report_routing(graded)
-    lists = _with_pages(graded, _pages(findings, page_rows)).select(
-        "episode_id",
-        "page",
+def draft_reports(graded: DataFrame, findings: DataFrame) -> DataFrame:
+    """The whole report per episode."""
+    return graded.join(_lists(findings), "episode_id", "left").select(
+        *_routing(),
         F.coalesce("findings", F.array()).alias("findings"),
         _advice(F.col("missed")).alias("recommendations"),
     )
-    return routing.join(lists, "episode_id")
 
 
-def _pages(findings: DataFrame, page_rows: int) -> DataFrame:
-    page = F.floor(F.col("pos") / F.lit(page_rows)).alias("page")
+def _lists(findings: DataFrame) -> DataFrame:
     entry = F.struct(
         "section", "pos", "finding", "severity", "detected", "detail", "status"
     )
-    listed = findings.groupBy("episode_id", page).agg(
+    listed = findings.groupBy("episode_id").agg(
         F.array_sort(F.collect_list(entry)).alias("findings")
     )
     missed = F.transform(
@@ -135,26 +126,18 @@ def _pages(findings: DataFrame, page_rows: int) -> DataFrame:
     return listed.withColumn("missed", missed)
 
 
-def _with_pages(graded: DataFrame, pages: DataFrame) -> DataFrame:
-    joined = graded.join(pages, "episode_id", "left")
-    return joined.withColumn("page", F.coalesce("page", F.lit(0)))
-
-
 def _advice(missed: Column) -> Column:
-    first = F.col("page") == 0
     verdict = F.when(
-        first & ~F.col("verdict") & F.col("gt_compliance"), fv.REC_TOO_STRICT
-    ).when(first & F.col("verdict") & ~F.col("gt_compliance"), fv.REC_TOO_LAX)
-    precision = F.when(first & (F.col("absent_flags") > 0), fv.REC_PRECISION)
+        ~F.col("verdict") & F.col("gt_compliance"), fv.REC_TOO_STRICT
+    ).when(F.col("verdict") & ~F.col("gt_compliance"), fv.REC_TOO_LAX)
+    precision = F.when(F.col("absent_flags") > 0, fv.REC_PRECISION)
     praise = F.when(
         (F.col("missed_rows") == 0)
         & (F.col("absent_flags") == 0)
         & (F.col("verdict") == F.col("gt_compliance")),
         fv.REC_NONE,
     )
-    own = F.filter(
-        F.array(verdict, precision, F.when(first, praise)), lambda r: r.isNotNull()
-    )
+    own = F.filter(F.array(verdict, precision, praise), lambda r: r.isNotNull())
     return F.concat(F.coalesce(missed, F.array().cast("array<string>")), own)
 
 

@@ -1,9 +1,9 @@
 """Running sums over ordered groups, also when one group holds most rows.
 
-A window keeps a whole group in one task. Groups up to ``TARGET_ROWS`` rows are
-left to plain windows. Larger groups are cut into ranges of their order key;
-each range is summed on its own, and the sums of earlier ranges are added from
-a small table. Results are the same either way.
+A window keeps a whole group in one task. Groups that count up to ``TARGET_ROWS``
+rows are left to plain windows. Larger groups are cut into ranges of their whole
+order; each range is summed on its own, and the sums of earlier ranges are added
+from a small table. Results are the same either way.
 """
 
 from __future__ import annotations
@@ -17,11 +17,10 @@ from callsift.sources.shared_dir import checkpoint_root
 
 TARGET_ROWS = 2_000_000
 BROADCAST_ROWS = 100_000
-ONE_TASK_BYTES = 128 * 1024 * 1024
 _CHUNK = "_chunk"
-_ORDER = "_order_key"
+_ORDER = "_order_key_{}"
 _FANOUT = 4096
-_MAX_SPLITS = 4
+_MAX_SPLITS = 5
 
 
 def join_checked(
@@ -39,11 +38,15 @@ def join_checked(
 
 @dataclass(frozen=True)
 class OrderedGroups:
-    """Rows of ``df`` in groups of ``keys``, ordered by ``order`` inside each."""
+    """Rows of ``df`` in groups of ``keys``, ordered by ``order`` inside each.
+
+    ``order_keys`` names the helper columns that a group was cut by.
+    """
 
     df: DataFrame
     keys: list[str]
     order: list[Column]
+    order_keys: list[str]
     chunks: int = 0
 
     def running(self, **sums: Column) -> OrderedGroups:
@@ -58,7 +61,8 @@ class OrderedGroups:
             "*", *[F.sum(c).over(frame).alias(n) for n, c in sums.items()]
         )
         if self.chunks:
-            local = self._add_earlier_chunks(local, sums)
+            # Kept, as both the totals and the rows are read from it.
+            local = self._add_earlier_chunks(local.checkpoint(), sums)
         return replace(self, df=local)
 
     def where(self, condition: Column) -> OrderedGroups:
@@ -68,14 +72,14 @@ class OrderedGroups:
         return replace(self, df=self.df.withColumns(columns))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(_CHUNK, _ORDER)
+        return self.df.drop(_CHUNK, *self.order_keys)
 
     def _add_earlier_chunks(
         self, local: DataFrame, sums: dict[str, Column]
     ) -> DataFrame:
         by = [*self.keys, _CHUNK]
         totals = (
-            self.df.where(F.col(_CHUNK) > 0)
+            local.where(F.col(_CHUNK) > 0)
             .groupBy(*by)
             .agg(*[F.sum(c).alias(f"_total_{n}") for n, c in sums.items()])
         )
@@ -102,73 +106,106 @@ def ordered_groups(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
-    order_key: Column,
+    order_keys: list[Column],
     target_rows: int | None = None,
     count: bool = True,
 ) -> OrderedGroups:
     """Groups ready for running sums.
 
-    ``order_key`` is a whole number that never falls along ``order``; rows where
-    it is null come last. One counting pass over ``keys`` finds the large groups;
-    without any, the plan is a plain window. Input that one task could read
-    alone, or whose groups are known to be short, is not counted.
+    ``order_keys`` are whole numbers that order the rows as ``order`` does; where
+    one is null its row comes last. One counting pass over ``keys`` finds the large
+    groups; without any, the plan is a plain window. Large groups are cut along the
+    first key in which their rows differ, so a burst at one instant is cut by the
+    next key. Rows alike in every key cannot be cut; more than ``target_rows`` of
+    them raise an error. Groups known to be short need no ``count``.
     """
     target = target_rows or TARGET_ROWS
-    keyed = df.withColumn(_ORDER, order_key.cast("long")).withColumn(
-        _CHUNK, F.lit(0).cast("long")
+    names = [_ORDER.format(i) for i in range(len(order_keys))]
+    keyed = df.withColumns(
+        {n: k.cast("long") for n, k in zip(names, order_keys, strict=True)}
+        | {_CHUNK: F.lit(0).cast("long")}
     )
     chunks = 0
-    small = target_rows is None and _estimated_bytes(df) <= ONE_TASK_BYTES
-    for level in range(_MAX_SPLITS if count and not small else 0):
+    if count and _has_large(keyed, [*keys, _CHUNK], target):
         checkpoint_root(df.sparkSession)
-        # Kept in the shared folder, so that later passes do not count again.
-        cells = _large_cells(keyed, keys, target, first=level == 0).checkpoint()
-        found = cells.agg(F.count("*"), F.sum("_pieces")).first()
-        if not found[0]:
-            break
-        keyed = _split(keyed, keys, cells, found[0], first=level == 0)
-        chunks += found[1] + found[0]
-    if chunks:
-        keyed = keyed.repartition(*keys, _CHUNK)
-    return OrderedGroups(keyed, keys, order, chunks)
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, from file sizes; it tends to be too high."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes())
+        keyed = keyed.checkpoint()
+        for level in range(_MAX_SPLITS + 1):
+            cells = _large_cells(keyed, keys, names, target, first=level == 0)
+            # Kept in the shared folder, so that later passes do not count again.
+            cells = cells.checkpoint()
+            found = cells.agg(
+                F.count("*"), F.sum("_pieces"), F.count_if(F.col("_key").isNull())
+            ).first()
+            if not found[0]:
+                break
+            if found[2] or level == _MAX_SPLITS:
+                raise ValueError(
+                    f"groups of {keys} hold over {target} rows that their order "
+                    "cannot tell apart"
+                )
+            keyed = _split(keyed, keys, names, cells, found[0], first=level == 0)
+            chunks += found[1] + found[0]
+    return OrderedGroups(keyed, keys, order, names, chunks)
+
+
+def _has_large(df: DataFrame, by: list[str], target: int) -> bool:
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
+    return (sizes.agg(F.max("_rows")).first()[0] or 0) > target
 
 
 def _large_cells(
-    df: DataFrame, keys: list[str], target: int, first: bool
+    df: DataFrame, keys: list[str], names: list[str], target: int, first: bool
 ) -> DataFrame:
+    """Cells over ``target`` rows: the key to cut by, its low end and width, pieces.
+
+    The last piece is for rows without the key.
+    """
     rows = df if first else df.where(F.col(_CHUNK) > 0)
+    ranges = [
+        F.struct(
+            F.lit(i).alias("_key"),
+            F.min(n).alias("_low"),
+            F.max(n).alias("_high"),
+            F.count(n).alias("_given"),
+        )
+        for i, n in enumerate(names)
+    ]
     sizes = rows.groupBy(*keys, _CHUNK).agg(
-        F.count("*").alias("_rows"),
-        F.min(_ORDER).alias("_low"),
-        F.max(_ORDER).alias("_high"),
+        F.count("*").alias("_rows"), F.array(*ranges).alias("_ranges")
+    )
+    differs = F.filter(
+        "_ranges",
+        lambda r: (r["_high"] > r["_low"])
+        | ((r["_given"] > 0) & (r["_given"] < F.col("_rows"))),
     )
     pieces = F.least(
-        F.lit(_FANOUT - 1).cast("long"), F.ceil(F.col("_rows") / F.lit(target // 2 or 1))
+        F.lit(_FANOUT - 2).cast("long"), F.ceil(F.col("_rows") / F.lit(target // 2 or 1))
     )
     return (
-        sizes.where((F.col("_rows") > target) & (F.col("_high") > F.col("_low")))
-        .withColumn("_pieces", pieces)
-        .withColumn(
-            "_width",
-            F.expr("(_high - _low) div _pieces + 1"),
+        sizes.where(F.col("_rows") > target)
+        .withColumns({"_cut": F.get(differs, F.lit(0)), "_spread": pieces})
+        .select(
+            *keys,
+            _CHUNK,
+            "_cut._key",
+            "_cut._low",
+            F.expr("(_cut._high - _cut._low) div _spread + 1").alias("_width"),
+            (F.col("_spread") + 1).alias("_pieces"),
         )
-        .select(*keys, _CHUNK, "_low", "_width", "_pieces")
     )
 
 
 def _split(
-    df: DataFrame, keys: list[str], cells: DataFrame, count: int, first: bool
+    df: DataFrame,
+    keys: list[str],
+    names: list[str],
+    cells: DataFrame,
+    count: int,
+    first: bool,
 ) -> DataFrame:
-    piece = F.coalesce(
-        F.expr(f"({_ORDER} - _low) div _width"), F.col("_pieces") - F.lit(1)
-    )
     joined = join_checked(df, cells, [*keys, _CHUNK], count)
+    value = f"get(array({', '.join(names)}), _key)"
+    piece = F.expr(f"coalesce(({value} - _low) div _width, _pieces - 1)")
     if first:
         chunk = F.when(F.col("_width").isNull(), F.lit(0)).otherwise(piece + 1)
     else:

@@ -45,8 +45,10 @@ REASONS = ["fee dispute", "rate question", "address change"]
 MOODS = ["frustrated", "angry", "calm"]
 FLAG_TYPES = [*fv.VIOLATION_TYPES, "rude_tone"]
 ENV, MODEL = "audit", "replayed"
-# Models and runs of each; one more run is expected and never found.
+# Models and runs of each; one more of both is expected and never found.
 MODELS, RUNS = 3, 3
+# Entries per stored record of a call or a run.
+PART_ROWS = 1_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -84,7 +86,7 @@ def turns(spark: SparkSession, folder: str, target_rows: int | None = None) -> D
         said,
         ["call_id"],
         [F.col("conv_id"), F.col("turn_index")],
-        F.col("conv_id") * 2**31 + F.col("turn_index"),
+        [F.col("conv_id"), F.col("turn_index")],
         target_rows,
     )
     pos = F.col("nth") - 1
@@ -176,12 +178,9 @@ def analyze_requests(turns_df: DataFrame) -> DataFrame:
 ORDER = ("at", "event_id")
 
 
-def actions(spark: SparkSession, folder: str, before: str | None = None) -> DataFrame:
+def actions(spark: SparkSession, folder: str) -> DataFrame:
     """One audit action per event; a user's events are one episode."""
-    events = table(spark, folder, "events")
-    if before:
-        events = events.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
-    return as_actions(events)
+    return as_actions(table(spark, folder, "events"))
 
 
 def as_actions(events: DataFrame) -> DataFrame:

@@ -276,7 +276,7 @@ _POLICY_ERROR = f"""CASE WHEN policy_hypothesis <> '' AND policy IS NULL
 # --- Actions ----------------------------------------------------------------------
 
 
-def _actions(where: str) -> str:
+def _actions() -> str:
     flag_type = _pick(inputs.FLAG_TYPES, "k % 7")
     return f"""SELECT user_id AS episode_id, ts, event_id, n AS n_turns,
     CASE event_type WHEN 'view' THEN 'read_transcript_chunk'
@@ -299,7 +299,7 @@ def _actions(where: str) -> str:
     CASE WHEN event_type = 'click' AND k % 2 = 0 THEN {flag_type} END
         AS policy_hypothesis
     FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k,
-          CAST(20 + user_id % 30 AS INT) AS n FROM events {where})"""
+          CAST(20 + user_id % 30 AS INT) AS n FROM events)"""
 
 
 def _replay_chain(prefix: str, source: str, order: str) -> None:
@@ -384,10 +384,15 @@ def _replay_chain(prefix: str, source: str, order: str) -> None:
     )
 
 
-_cte("acts", _actions(""))
-_cte("early_acts", _actions("WHERE ts < TIMESTAMP '2024-01-08'"))
+_cte("acts", _actions())
+_cte(
+    "open_acts",
+    """SELECT * FROM acts
+    WHERE NOT (action_type = 'submit_report' AND episode_id % 3 = 0)""",
+    "acts",
+)
 _replay_chain("", "acts", "ts, event_id")
-_replay_chain("early_", "early_acts", "ts, event_id")
+_replay_chain("open_", "open_acts", "ts, event_id")
 
 # --- Grades -----------------------------------------------------------------------
 
@@ -570,7 +575,7 @@ _cte(
 )
 _cte(
     "recommended",
-    f"""SELECT episode_id, CAST(0 AS BIGINT) AS page, coalesce(r, {_q(fv.REC_NONE)})
+    f"""SELECT episode_id, coalesce(r, {_q(fv.REC_NONE)})
     AS recommendations FROM graded LEFT JOIN (SELECT episode_id,
     string_agg(text, '|' ORDER BY section, pos) AS r FROM advice GROUP BY episode_id)
     USING (episode_id)""",
@@ -790,6 +795,18 @@ def oracle_sql() -> dict[str, str]:
         "FROM turns",
         "turns",
     )
+    sql["src_truth"] = (
+        "WITH placed AS (SELECT conv_id // 3 AS call_id FROM conversations) "
+        "SELECT * REPLACE (CAST(episode_id AS VARCHAR) AS episode_id) FROM "
+        f"({_truth_of('call_id FROM placed')})"
+    )
+    sql["src_call_metadata"] = _sql(
+        """SELECT CAST(call_id AS VARCHAR) AS call_id, difficulty, department, call_reason,
+        call_duration_seconds, call_summary, call_id % 4 = 0 AS gt_compliance, n_turns,
+        CAST(CASE WHEN call_id % 5 < 2 THEN call_id % 3 + 1 ELSE 0 END AS INT) AS n_shifts
+        FROM calls""",
+        "calls",
+    )
     sql["src_run_results"] = _sql(
         f"""SELECT model AS display, run, task_id, difficulty, score, time_seconds,
         {_round("violation_score", 3)} AS violation_f1_weighted,
@@ -968,21 +985,24 @@ def oracle_sql() -> dict[str, str]:
         FROM steps""",
         "steps",
     )
+    level = _pick(inputs.DIFFICULTIES, "episode_id // 5 % 3")
     sql["episode_state"] = _sql(
-        """SELECT episode_id, CAST(0 AS BIGINT) AS page, max(step) AS step_count,
+        f"""SELECT episode_id, {level} AS difficulty, max(step) AS step_count,
         CAST(max(total_budget) AS BIGINT) AS total_budget,
         min(remaining) AS budget_remaining, bool_or(done) AS done,
+        CAST(max(paid) FILTER (WHERE done) AS DOUBLE) / 100.0::DOUBLE
+            + max(reward) FILTER (WHERE done) AS cumulative_reward,
         string_agg(recorded_action, ',' ORDER BY step) AS actions_taken,
         coalesce(string_agg(violation_type || ':'
             || coalesce(CAST(turn_index AS VARCHAR), '-') || ':'
             || coalesce(violation_severity, 'low'), ',' ORDER BY step)
             FILTER (WHERE is_flag), '') AS flagged_violations
-        FROM steps GROUP BY episode_id""",
-        "steps",
+        FROM rewarded GROUP BY episode_id""",
+        "rewarded",
     )
     sql["budget_exhausted"] = _sql(f"{_EXHAUSTED} FROM steps WHERE done", "steps")
     sql["forced_submission"] = _sql(
-        f"{_EXHAUSTED} FROM early_steps WHERE done", "early_steps"
+        f"{_EXHAUSTED} FROM open_steps WHERE done", "open_steps"
     )
     sql["grade_match"] = _sql(
         """SELECT episode_id, type, n_gt, n_flag, tp, n_flag - tp AS fp, n_gt - tp AS fn
@@ -1030,7 +1050,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT episode_id, verdict_rationale FROM routing", "routing"
     )
     sql["draft_reports"] = _sql(
-        """SELECT routing.*, page, coalesce(f, '') AS findings, recommendations
+        """SELECT routing.*, coalesce(f, '') AS findings, recommendations
         FROM routing JOIN recommended USING (episode_id) LEFT JOIN (SELECT episode_id,
         string_agg(finding || '/' || severity || '/' || status || '/' || detail, '|'
             ORDER BY section, pos) AS f FROM findings GROUP BY episode_id)
@@ -1045,7 +1065,6 @@ def oracle_sql() -> dict[str, str]:
         FROM routing GROUP BY recommended_action""",
         "routing",
     )
-    level = _pick(inputs.DIFFICULTIES, "episode_id // 5 % 3")
     sql["type_confusion"] = _sql(
         _confusion("difficulty", f"(SELECT *, {level} AS difficulty FROM findings)"),
         "findings",
@@ -1078,66 +1097,66 @@ def oracle_sql() -> dict[str, str]:
         CAST(sum(steps) AS BIGINT) AS steps FROM runs GROUP BY difficulty""",
         "runs",
     )
+    sql["episode_success"] = _sql(
+        """SELECT episode_id, difficulty, final_score, final_score >= 0.5 AS success,
+        steps FROM runs""",
+        "runs",
+    )
     sql["model_run_summary"] = _sql(
         """SELECT m.model, CAST(r AS INT) AS run, s.* EXCLUDE (model, run, tasks),
         s.run IS NOT NULL AS success,
         CASE WHEN s.run IS NULL THEN 'output file not generated' END AS error
-        FROM (SELECT DISTINCT model FROM runs) m JOIN range(1, 5) g(r) ON true
+        FROM (SELECT 'model_' || i AS model FROM range(0, 4) t(i)) m
+        JOIN range(1, 5) g(r) ON true
         LEFT JOIN summaries s ON s.model = m.model AND s.run = r""",
         "summaries",
     )
     sql["emit_run_log"] = _sql("SELECT * FROM log", "log")
-    sql["parse_run_log"] = _parse_oracle()
+    sql["parse_run_log"] = _parse_oracle(cut=False)
+    sql["parse_cut_log"] = _parse_oracle(cut=True)
     sql["stream_redact"] = f"SELECT doc_id, {_redact('text')} AS text FROM documents"
     sql["stream_budget_meter"] = _sql(
         """SELECT episode_id, epoch_us(ts) AS major, event_id AS minor, action_type, step,
-        remaining, exhausted, done FROM steps WHERE NOT forced""",
+        remaining, exhausted, done, false AS late FROM steps WHERE NOT forced""",
         "steps",
     )
     return sql
 
 
-def _parse_oracle() -> str:
-    """What the parser should find, told from the replay and the cut length."""
-    head = f"printf('[STEP] step=%d action=%s reward=%s', step, {_ACTION_TEXT}, {_money('reward')})"
-    limit = "CASE WHEN episode_id % 3 = 0 THEN 110 ELSE 1000000 END"
-    done_text = "CAST(done AS VARCHAR)"
-    action_room = f"{limit} - length(printf('[STEP] step=%d action=', step))"
-    reward_room = f"{limit} - length({head}) + length({_money('reward')})"
-    done_room = f"{limit} - length({head}) - 6"
-    error_room = f"{done_room} - length({done_text}) - 7"
-    fields = f"""SELECT episode_id, step, done, error,
-        left({_ACTION_TEXT}, greatest(0, {action_room})) AS action_cut,
-        length({_ACTION_TEXT}) AS action_len, {action_room} AS action_room,
-        {_money("reward")} AS reward_text, {reward_room} AS reward_room,
-        {done_text} AS done_text, {done_room} AS done_room, {error_room} AS error_room
-        FROM rewarded"""
-    ranked = """SELECT DISTINCT episode_id, CAST(episode_id // 16 AS VARCHAR) AS source,
+def _parse_oracle(cut: bool) -> str:
+    """What the parser should find: fields that the cut leaves whole, nothing else."""
+    limit = "CASE WHEN episode_id % 3 = 0 THEN 110 ELSE 1000000 END" if cut else "1000000"
+    lost = "WHERE episode_id % 10 > 0" if cut else ""
+    task = "CASE WHEN episode_id % 10 > 0 THEN CAST(episode_id AS VARCHAR) END"
+    if not cut:
+        task = "CAST(episode_id AS VARCHAR)"
+    shown = "source, episode, episode_id AS chunk, " if cut else ""
+    heads = f"""SELECT episode_id, step, done, error, reward, {_ACTION_TEXT} AS action_text,
+        {limit} AS width,
+        length(printf('[STEP] step=%d action=%s reward=', step, {_ACTION_TEXT})) AS to_reward,
+        length({_money("reward")} || ' done=') AS to_done,
+        length(CAST(done AS VARCHAR) || ' error=') AS to_error FROM rewarded"""
+    ranked = f"""SELECT DISTINCT episode_id, CAST(episode_id // 16 AS VARCHAR) AS source,
         dense_rank() OVER (PARTITION BY episode_id // 16 ORDER BY episode_id) - 1
-        AS episode, CASE WHEN episode_id % 10 > 0 THEN CAST(episode_id AS VARCHAR) END
-        AS task FROM graded"""
+        AS episode, {task} AS task FROM graded"""
     nothing = """CAST(NULL AS INT) AS step, CAST(NULL AS VARCHAR) AS action,
         CAST(NULL AS DOUBLE) AS reward, CAST(NULL AS BOOLEAN) AS done,
         CAST(NULL AS VARCHAR) AS error, CAST(NULL AS BOOLEAN) AS success,
         CAST(NULL AS INT) AS steps, CAST(NULL AS DOUBLE) AS score,
         CAST(NULL AS VARCHAR) AS rewards, CAST(NULL AS VARCHAR) AS _corrupt"""
     return _sql(
-        f"""SELECT source, episode, episode_id AS chunk, kind, step, action, reward, done,
+        f"""SELECT {shown}kind, step, action, reward, done,
             error, success, steps, score, rewards, _corrupt, task FROM (
-        SELECT episode_id, 'START' AS kind, {nothing} FROM graded WHERE episode_id % 10 > 0
+        SELECT episode_id, 'START' AS kind, {nothing} FROM graded {lost}
         UNION ALL BY NAME
         SELECT episode_id, 'STEP' AS kind, CAST(step AS INT) AS step,
-            -- A cut inside " reward=" leaves its letters on the action.
-            CASE WHEN action_room > action_len AND reward_room < length(reward_text)
-                 AND action_room - action_len < 8
-                 THEN action_cut || left(' reward=', action_room - action_len)
-                 ELSE action_cut END AS action,
-            TRY_CAST(left(reward_text, greatest(0, reward_room)) AS DOUBLE) AS reward,
-            CASE WHEN done_room >= length(done_text) THEN done
-                 WHEN done_room = 1 THEN done END AS done,
-            CASE WHEN error_room > 0 AND error IS NOT NULL
-                 THEN left(error, error_room) END AS error
-        FROM ({fields})
+            CASE WHEN to_reward <= width THEN action_text END AS action,
+            CASE WHEN to_reward + to_done <= width
+                 THEN CAST({_money("reward")} AS DOUBLE) END AS reward,
+            CASE WHEN to_reward + to_done + to_error <= width THEN done END AS done,
+            CASE WHEN to_reward + to_done + to_error < width
+                 THEN left(error, width - to_reward - to_done - to_error) END AS error
+        FROM ({heads})
         UNION ALL BY NAME
         SELECT episode_id, 'END' AS kind, max(final_score) >= 0.5 AS success,
             CAST(max(step) AS INT) AS steps,

@@ -29,8 +29,8 @@ def query(function: Query) -> Query:
 # --- Shared starting points ------------------------------------------------------
 
 
-def _steps(spark: SparkSession, folder: str, before: str | None = None) -> DataFrame:
-    return rp.replay(inputs.actions(spark, folder, before), order=inputs.ORDER)
+def _steps(spark: SparkSession, folder: str) -> DataFrame:
+    return rp.replay(inputs.actions(spark, folder), order=inputs.ORDER)
 
 
 def _truth(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,7 +66,8 @@ def _graded_and_findings(
 
 
 def _rewarded(spark: SparkSession, folder: str) -> DataFrame:
-    steps = _steps(spark, folder)
+    """Steps and grades are written once, so that one replay serves every reader."""
+    steps = written(_steps(spark, folder), "steps")
     grades = written(_grade(rp.audit_rows(steps), _truth(spark, folder)), "grades")
     return rp.rewarded_steps(steps, grades)
 
@@ -95,12 +96,30 @@ def gt_base(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def src_calls(spark: SparkSession, folder: str) -> DataFrame:
     """Calls written as nested JSON records, read back and flattened."""
+    return corpus.turns_of(_stored_calls(spark, folder))
+
+
+@query
+def src_truth(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled violations of the stored calls."""
+    return corpus.truth_of(_stored_calls(spark, folder))
+
+
+@query
+def src_call_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata of the stored calls, with the number of mood shifts."""
+    shifts = F.coalesce(F.size("sentiment_shifts"), F.lit(0)).alias("n_shifts")
+    found = corpus.calls_of(_stored_calls(spark, folder))
+    return found.select("*", shifts).drop("sentiment_shifts")
+
+
+def _stored_calls(spark: SparkSession, folder: str) -> DataFrame:
     turns = inputs.turns(spark, folder)
     calls = inputs.calls(turns)
-    ids = calls.select(F.col("call_id").alias("episode_id"))
+    gt = inputs.truth(calls.select(F.col("call_id").alias("episode_id")))
     path = new_folder(spark, "calls")
-    corpus.write_calls(corpus.nest_calls(turns, calls, inputs.truth(ids)), path)
-    return corpus.turns_of(corpus.read_calls(spark, path, multiline=False))
+    corpus.write_calls(corpus.nest_calls(turns, calls, gt, inputs.PART_ROWS), path)
+    return corpus.read_calls(spark, path, multiline=False)
 
 
 @query
@@ -153,7 +172,8 @@ def _written_runs(spark: SparkSession, folder: str) -> str:
     )
     path = new_folder(spark, "runs")
     stamp = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    results.write_run_files(results.nest_runs(full, inputs.ENV, stamp), path)
+    nested_runs = results.nest_runs(full, inputs.ENV, stamp, inputs.PART_ROWS)
+    results.write_run_files(nested_runs, path)
     return path
 
 
@@ -421,13 +441,14 @@ def episode_state(spark: SparkSession, folder: str) -> DataFrame:
         turn = F.coalesce(flag["turn_index"].cast("string"), F.lit("-"))
         return F.concat_ws(":", flag["type"], turn, flag["severity"])
 
-    return rp.episode_state(_steps(spark, folder)).select(
+    return rp.episode_state(_rewarded(spark, folder)).select(
         "episode_id",
-        "page",
+        _difficulty().alias("difficulty"),
         "step_count",
         "total_budget",
         "budget_remaining",
         "done",
+        "cumulative_reward",
         F.array_join("actions", ",").alias("actions_taken"),
         F.array_join(F.transform("flags", shown), ",").alias("flagged_violations"),
     )
@@ -440,8 +461,10 @@ def budget_exhausted(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def forced_submission(spark: SparkSession, folder: str) -> DataFrame:
-    """Only the first week of events, so that most logs stop without a report."""
-    return rp.budget_exhausted(_steps(spark, folder, before="2024-01-08"))
+    """Logs of which every third lacks its reports and is ended by a forced one."""
+    unreported = (F.col("episode_id") % 3 == 0) & (F.col("action_type") == "submit_report")
+    log = inputs.actions(spark, folder).where(~unreported)
+    return rp.budget_exhausted(rp.replay(log, order=inputs.ORDER))
 
 
 # --- Grading ----------------------------------------------------------------------
@@ -620,10 +643,18 @@ def success_rate(spark: SparkSession, folder: str) -> DataFrame:
     return dashboard.success_rate(graded)
 
 
+@query
+def episode_success(spark: SparkSession, folder: str) -> DataFrame:
+    graded = _graded(spark, folder).withColumn("difficulty", _difficulty())
+    return dashboard.episode_success(graded)
+
+
 @query
 def model_run_summary(spark: SparkSession, folder: str) -> DataFrame:
-    summaries = written(dashboard.run_summary(_runs(spark, folder)), "summaries")
-    models = summaries.select("model").distinct()
+    """Expected models come from their own list; the last one has no result."""
+    name = F.concat(F.lit("model_"), F.col("id").cast("string")).alias("model")
+    models = spark.range(inputs.MODELS + 1).select(name)
+    summaries = dashboard.run_summary(_runs(spark, folder))
     return dashboard.model_run_summary(models, inputs.RUNS + 1, summaries)
 
 
@@ -637,6 +668,22 @@ def emit_run_log(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Emitted lines in text files, each with whole logs, read and parsed back."""
+    path = new_folder(spark, "log")
+    log = F.floor(F.col("episode_id") / 16)
+    (
+        emit_run_log(spark, folder)
+        .repartition(log)
+        .sortWithinPartitions("episode_id", "line_no")
+        .select("line")
+        .write.text(path)
+    )
+    parsed = runlog.parse_run_log(runlog.read_log_lines(spark, path))
+    return parsed.drop("source", "episode", "chunk", "pos")
+
+
+@query
+def parse_cut_log(spark: SparkSession, folder: str) -> DataFrame:
     """Emitted lines, some starts lost and some lines cut, parsed back.
 
     Sixteen episodes in a row share one log.
@@ -669,4 +716,4 @@ def stream_budget_meter(spark: SparkSession, folder: str) -> DataFrame:
     schema = inputs.table(spark, folder, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{folder}/events*.parquet")
     metered = meter.meter_stream(inputs.as_actions(stream), *inputs.ORDER)
-    return spark.read.parquet(sinks.drain_to_parquet(metered, "meter")).drop("late")
+    return spark.read.parquet(sinks.drain_to_parquet(metered, "meter"))

@@ -1,18 +1,15 @@
 """Call corpora stored as JSON, and their flat tables.
 
-A record is one call with nested turns and truth. ``part`` numbers the records
-of a call too long for one record and ``parts`` counts them; a call in a single
-record leaves both out.
+A record is one call with nested turns and truth. A call may be spread over several
+records: ``part`` numbers them, ``parts`` counts them, and ``first`` is the list
+position of a record's first turn. A call in a single record may leave them out.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Turns per record when a corpus is written.
-PART_TURNS = 1_000
-
 CALL_SCHEMA = """
-    id string, part int, parts int, difficulty string,
+    id string, part int, parts int, first int, difficulty string,
     metadata struct<department string, call_reason string,
                     call_duration_seconds double, call_summary string>,
     turns array<struct<turn_index int, speaker string, text string,
@@ -56,16 +53,18 @@ def read_calls(spark: SparkSession, path: str, multiline: bool = True) -> DataFr
     return current.select("id", "part", *[f"call.{c}" for c in _FIELDS])
 
 
-_FIELDS = ["difficulty", "metadata", "turns", "ground_truth"]
+_FIELDS = ["first", "difficulty", "metadata", "turns", "ground_truth"]
 
 
 def turns_of(calls: DataFrame) -> DataFrame:
     """One row per turn with its list position."""
     return calls.select(
-        F.col("id").alias("call_id"), "part", F.posexplode("turns").alias("at", "turn")
+        F.col("id").alias("call_id"),
+        F.coalesce("first", F.lit(0)).alias("first"),
+        F.posexplode("turns").alias("at", "turn"),
     ).select(
         "call_id",
-        (F.col("part") * PART_TURNS + F.col("at")).alias("pos"),
+        (F.col("first") + F.col("at")).alias("pos"),
         F.col("turn.turn_index").alias("turn_index"),
         F.col("turn.speaker").alias("speaker"),
         F.col("turn.text").alias("text"),
@@ -87,7 +86,7 @@ def truth_of(calls: DataFrame) -> DataFrame:
 
 def calls_of(calls: DataFrame) -> DataFrame:
     """Flat metadata per call, without reading any transcript text."""
-    size = F.col("part") * PART_TURNS + F.size("turns")
+    size = F.coalesce("first", F.lit(0)) + F.size("turns")
     sized = calls.groupBy("id").agg(F.max(size).alias("n_turns"))
     first = calls.where(F.col("part") == 0).select(
         "id",
@@ -99,8 +98,10 @@ def calls_of(calls: DataFrame) -> DataFrame:
     return first.join(sized, "id").withColumnRenamed("id", "call_id")
 
 
-def nest_calls(turns: DataFrame, calls: DataFrame, gt: DataFrame) -> DataFrame:
-    """Flat tables back to records of at most ``PART_TURNS`` turns.
+def nest_calls(
+    turns: DataFrame, calls: DataFrame, gt: DataFrame, part_turns: int
+) -> DataFrame:
+    """Flat tables back to records of at most ``part_turns`` turns.
 
     ``gt`` holds the labelled violations of each call; the list goes into the
     first record.
@@ -113,7 +114,7 @@ def nest_calls(turns: DataFrame, calls: DataFrame, gt: DataFrame) -> DataFrame:
         F.col("ts_start").alias("timestamp_start"),
         F.col("ts_end").alias("timestamp_end"),
     )
-    part = F.floor(F.col("pos") / F.lit(PART_TURNS)).cast("int").alias("part")
+    part = F.floor(F.col("pos") / F.lit(part_turns)).cast("int").alias("part")
     records = turns.groupBy("call_id", part).agg(
         F.array_sort(F.collect_list(entry)).alias("turns")
     )
@@ -129,8 +130,9 @@ def nest_calls(turns: DataFrame, calls: DataFrame, gt: DataFrame) -> DataFrame:
     )
     return joined.select(
         F.col("call_id").cast("string").alias("id"),
-        F.when(F.col("part") > 0, F.col("part")).alias("part"),
-        F.when(F.col("parts") > 1, F.col("parts")).alias("parts"),
+        "part",
+        "parts",
+        (F.col("part") * F.lit(part_turns)).alias("first"),
         "difficulty",
         F.struct(
             "department", "call_reason", "call_duration_seconds", "call_summary"

@@ -6,9 +6,6 @@ from pyspark.sql import functions as F
 from callsift.operators.dashboard import run_summary
 from callsift.operators.scan import join_checked
 
-# Results per document when runs are written.
-PART_RESULTS = 1_000
-
 _RESULT = """
     task_id string, difficulty string, score double, time_seconds double,
     breakdown struct<compliance_correct double, violation_f1_weighted double,
@@ -50,14 +47,16 @@ def results_of(run_files: DataFrame) -> DataFrame:
     ).select("display", "run", "model", "result.*")
 
 
-def nest_runs(results: DataFrame, benchmark: str, timestamp: Column) -> DataFrame:
+def nest_runs(
+    results: DataFrame, benchmark: str, timestamp: Column, part_results: int
+) -> DataFrame:
     """Graded tasks as run documents with their summary.
 
-    A run of more than ``PART_RESULTS`` tasks becomes several documents, its
-    tasks spread over them by a hash, so that no row holds an unbounded list.
+    A run is dealt by a hash of its tasks to documents of about ``part_results``
+    tasks, so that no row holds an unbounded list. ``part`` numbers them from 0.
     """
     sizes = results.groupBy("model", "run").agg(
-        F.ceil(F.count("*") / F.lit(PART_RESULTS)).alias("parts")
+        F.ceil(F.count("*") / F.lit(part_results)).alias("parts")
     )
     summaries = run_summary(results)
     runs = summaries.count()
@@ -82,7 +81,7 @@ def nest_runs(results: DataFrame, benchmark: str, timestamp: Column) -> DataFram
         "model",
         F.lit(benchmark).alias("benchmark"),
         F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
-        F.when(F.col("part") > 0, F.col("part")).alias("part"),
+        "part",
         "results",
         "summary",
         F.col("model").alias("display"),

@@ -28,12 +28,12 @@ def action_text() -> Column:
 def emit_run_log(steps: DataFrame, env: str, model: str) -> DataFrame:
     """(episode_id, line_no, line) from rewarded steps: start, steps, end.
 
-    Rewards of an end line come by page: only an episode longer than one page
-    has further reward lines ahead of its end line.
+    Step lines are written row by row; only the rewards, a few characters a step,
+    are gathered for the end line, which names all of them. ``steps`` are read
+    twice, so a written table serves best.
     """
     written = steps.select(
         "episode_id",
-        "page",
         "step",
         "done",
         "error",
@@ -50,37 +50,29 @@ def emit_run_log(steps: DataFrame, env: str, model: str) -> DataFrame:
         F.col("done_text"),
         F.coalesce("error", F.lit("null")),
     )
-    # One pass: a page of steps is grouped once and gives all its lines.
-    pages = (
-        written.groupBy("episode_id", "page")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("step", step_line.alias("line"), "paid"))
-            ).alias("listed"),
-            F.max("step").alias("last_step"),
-            F.max("done").alias("ends"),
-            F.max("final_score").alias("final_score"),
-        )
-    )
-    rewards = F.array_join(F.transform("listed", lambda s: s["paid"]), ",")
-    success = F.lower((F.col("final_score") >= fv.SUCCESS_SCORE).cast("string"))
     start = F.format_string(
         fv.LOG_START, F.col("episode_id").cast("string"), F.lit(env), F.lit(model)
     )
-    end = F.when(
-        F.col("ends"), F.format_string(fv.LOG_END, success, "last_step", rewards)
-    ).otherwise(F.format_string("[REWARDS] page=%d rewards=%s", "page", rewards))
 
     def entry(number: Column, line: Column) -> Column:
         return F.struct(number.cast("long").alias("line_no"), line.alias("line"))
 
+    opening = F.when(F.col("step") == 1, F.array(entry(F.lit(0), start)))
     lines = F.concat(
-        F.when(F.col("page") == 0, F.array(entry(F.lit(0), start))).otherwise(F.array()),
-        F.transform("listed", lambda s: entry(s["step"], s["line"])),
-        # After all step lines; pages keep their order.
-        F.array(entry(F.lit(2**62) + F.col("page"), end)),
+        F.coalesce(opening, F.array()), F.array(entry(F.col("step"), step_line))
+    )
+    paid = F.array_sort(F.collect_list(F.struct("step", "paid")))
+    ends = written.groupBy("episode_id").agg(
+        F.array_join(F.transform(paid, lambda s: s["paid"]), ",").alias("rewards"),
+        F.max("step").alias("last_step"),
+        F.max("final_score").alias("final_score"),
+    )
+    success = F.lower((F.col("final_score") >= fv.SUCCESS_SCORE).cast("string"))
+    end = F.format_string(fv.LOG_END, success, "last_step", "rewards")
+    return written.select("episode_id", F.inline(lines)).unionByName(
+        # After all step lines.
+        ends.select("episode_id", F.lit(2**62).alias("line_no"), end.alias("line"))
     )
-    return pages.select("episode_id", F.inline(lines))
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -102,17 +94,17 @@ def parse_run_log(lines: DataFrame, target_rows: int | None = None) -> DataFrame
 
     The episode is the number of end lines before a line of the same source;
     the task is the one its start line names, null if that line is missing.
-    Lines cut at the terminal width keep the fields that survived.
+    Of lines cut at the terminal width only fields that are surely whole count:
+    those with the next field's name after them, and a line's last field.
     """
-    kind = F.regexp_extract("line", r"^\[(START|STEP|END|REWARDS)\] ", 1)
+    kind = F.regexp_extract("line", r"^\[(START|STEP|END)\] ", 1)
     is_end = (F.col("kind") == "END").cast("int")
     numbered = (
         ordered_groups(
             lines.withColumn("kind", kind),
             ["source"],
             [F.col("chunk"), F.col("pos")],
-            # Cut by split only where lines of a source carry split offsets.
-            F.col("chunk"),
+            [F.col("chunk"), F.col("pos")],
             target_rows,
         )
         .running(ends=is_end)
@@ -122,7 +114,7 @@ def parse_run_log(lines: DataFrame, target_rows: int | None = None) -> DataFrame
     starts = (
         numbered.where(F.col("kind") == "START")
         .groupBy("source", "episode")
-        .agg(F.max_by(_field("task"), F.struct("chunk", "pos")).alias("task"))
+        .agg(F.max_by(_field("task", "env"), F.struct("chunk", "pos")).alias("task"))
     )
     error = _rest("error")
     # "null" cut short is still no error.
@@ -133,14 +125,14 @@ def parse_run_log(lines: DataFrame, target_rows: int | None = None) -> DataFrame
         "chunk",
         "pos",
         "kind",
-        _field("step").try_cast("int").alias("step"),
-        _extract(r" action=(.*?)(?: reward=|$)").alias("action"),
-        _field("reward").try_cast("double").alias("reward"),
-        _field("done").try_cast("boolean").alias("done"),
+        _field("step", "action").try_cast("int").alias("step"),
+        _extract(r" action=(.*?) reward=").alias("action"),
+        _field("reward", "done").try_cast("double").alias("reward"),
+        _field("done", "error").try_cast("boolean").alias("done"),
         real_error.alias("error"),
-        _field("success").try_cast("boolean").alias("success"),
-        _field("steps").try_cast("int").alias("steps"),
-        _field("score").try_cast("double").alias("score"),
+        _field("success", "steps").try_cast("boolean").alias("success"),
+        _field("steps", "score|rewards").try_cast("int").alias("steps"),
+        _field("score", "rewards").try_cast("double").alias("score"),
         _rest("rewards").alias("rewards"),
         F.when(F.col("kind") == "", F.col("line")).alias("_corrupt"),
     )
@@ -152,8 +144,9 @@ def _extract(pattern: str) -> Column:
     return F.when(found != "", found)
 
 
-def _field(name: str) -> Column:
-    return _extract(rf" {name}=(\S+)")
+def _field(name: str, following: str) -> Column:
+    """A field's value, if the name of a field that follows it is there too."""
+    return _extract(rf" {name}=(\S+) (?:{following})=")
 
 
 def _rest(name: str) -> Column:

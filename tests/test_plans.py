@@ -50,5 +50,3 @@ def test_scans_read_only_the_columns_used(spark, small):
     plan = _plan(driver.queries()["turn_position"](spark, small))
     schema = re.findall(r"ReadSchema: (\S+)", plan)
     assert schema == ["struct<conv_id:bigint,turn:bigint>"]
-    early = _plan(driver.queries()["forced_submission"](spark, small))
-    assert "PushedFilters: [IsNotNull(ts), LessThan(ts" in early

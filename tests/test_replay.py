@@ -7,6 +7,7 @@ from callsift import fixed_values as fv
 from callsift.operators import replay as rp
 from callsift.operators.scan import ordered_groups
 from callsift.plans import inputs
+from callsift.sources import runlog
 from callsift.streaming import meter, sinks
 
 ACTION = (
@@ -104,23 +105,53 @@ def test_one_group_with_most_rows_is_cut_and_summed_exactly(spark):
         (F.col("id") % 11).alias("v"),
     )
     order = [F.col("k"), F.col("id")]
-    plain = ordered_groups(df, ["g"], order, F.col("k")).running(n=F.lit(1), s=F.col("v"))
-    cut = ordered_groups(df, ["g"], order, F.col("k"), target_rows=100)
+    plain = ordered_groups(df, ["g"], order, order).running(n=F.lit(1), s=F.col("v"))
+    cut = ordered_groups(df, ["g"], order, order, target_rows=100)
     assert cut.chunks > 10
     chunk_sizes = cut.df.where("g = 0").groupBy("_chunk").count()
-    assert chunk_sizes.agg(F.max("count")).first()[0] < 400
+    assert chunk_sizes.agg(F.max("count")).first()[0] <= 100
     summed = cut.running(n=F.lit(1), s=F.col("v"))
     assert sorted(summed.rows().collect()) == sorted(plain.rows().collect())
 
 
-def test_state_pages_hold_every_step(spark, small):
-    steps = rp.replay(inputs.actions(spark, small), order=inputs.ORDER)
-    whole = {r.episode_id: r for r in rp.episode_state(steps).collect()}
-    pages = rp.episode_state(steps, page_steps=5).orderBy("episode_id", "page").collect()
-    joined = {}
-    for p in pages:
-        joined.setdefault(p.episode_id, []).extend(p.actions)
-    assert joined == {e: r.actions for e, r in whole.items()}
+def test_a_burst_at_one_instant_is_cut_by_the_next_key(spark):
+    # All rows at one time, one of them without any.
+    df = spark.range(1000).select(
+        F.lit(1).alias("g"), F.when(F.col("id") < 999, F.lit(5)).alias("k"), "id"
+    )
+    order = [F.col("k").asc_nulls_last(), F.col("id")]
+    cut = ordered_groups(df, ["g"], order, [F.col("k"), F.col("id")], target_rows=50)
+    rows = cut.running(n=F.lit(1)).running(twice=F.col("n")).rows().collect()
+    assert all(r.n == r.id + 1 and r.twice == r.n * (r.n + 1) // 2 for r in rows)
+    assert len(rows) == 1000
+    with pytest.raises(ValueError, match="cannot tell apart"):
+        ordered_groups(df, ["g"], [F.col("k")], [F.col("k")], target_rows=50)
+
+
+def test_a_cut_replay_reads_the_events_once(spark, small):
+    steps = rp.replay(inputs.actions(spark, small), order=inputs.ORDER, target_rows=20)
+    plan = steps._jdf.queryExecution().executedPlan().toString()
+    # What is cut was kept, so the plan starts from there.
+    assert "FileScan" not in plan
+    assert plan.count("Window [") <= 2
+
+
+def test_state_is_one_row_however_long_the_episode(spark):
+    log = [(1, i, "read_transcript_chunk", None, -1, 2) for i in range(12_000)]
+    log.append((1, 12_000, "get_call_metadata", None, None, None))
+    rows = [(e, s, a, t, lo, hi, None, None, None, None, 40) for e, s, a, t, lo, hi in log]
+    steps = rp.replay(spark.createDataFrame(rows, ACTION))
+    grades = rp.endings_of(rp.audit_rows(steps)).withColumns(
+        {"total": F.lit(0.5), "final_score": F.lit(0.5)}
+    )
+    rewarded = rp.rewarded_steps(steps, grades)
+    state = rp.episode_state(rewarded).collect()
+    assert [(r.step_count, r.done, len(r.actions)) for r in state] == [(12_002, True, 12_002)]
+    assert state[0].cumulative_reward == pytest.approx(-0.02 * 12_000 + 0.05 + 0.5)
+    lines = runlog.emit_run_log(rewarded, "e", "m").orderBy("line_no").collect()
+    assert len(lines) == 12_004
+    assert lines[-1].line.startswith("[END] success=true steps=12002 rewards=-0.02,")
+    assert lines[-1].line.endswith(",0.05,0.50") and lines[-1].line.count(",") == 12_001
 
 
 def test_low_budget_warnings_and_texts(spark):

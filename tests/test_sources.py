@@ -57,13 +57,12 @@ def test_last_duplicate_call_wins(spark, tmp_path):
         assert flat["b"].sentiment_shifts == [{"turn_index": "1", "to": "angry"}]
 
 
-def test_long_calls_are_stored_in_parts(spark, tmp_path, small, monkeypatch):
-    monkeypatch.setattr(corpus, "PART_TURNS", 4)
+def test_long_calls_are_stored_in_parts(spark, tmp_path, small):
     turns = inputs.turns(spark, small)
     calls = inputs.calls(turns)
     gt = inputs.truth(calls.select(F.col("call_id").alias("episode_id")))
     path = str(tmp_path / "calls")
-    corpus.write_calls(corpus.nest_calls(turns, calls, gt), path)
+    corpus.write_calls(corpus.nest_calls(turns, calls, gt, part_turns=4), path)
     read = corpus.read_calls(spark, path, multiline=False)
     assert read.where("part > 0").count() > 0
     columns = ["call_id", "pos", "turn_index", "speaker", "text", "ts_start", "ts_end"]
@@ -95,8 +94,7 @@ def test_run_files_take_name_and_number_from_the_path(spark, tmp_path):
     }
 
 
-def test_large_runs_are_stored_in_several_documents(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(results, "PART_RESULTS", 10)
+def test_large_runs_are_stored_in_several_documents(spark, tmp_path):
     rows = spark.range(95).select(
         F.lit("m x").alias("model"),
         F.lit(1).alias("run"),
@@ -109,7 +107,7 @@ def test_large_runs_are_stored_in_several_documents(spark, tmp_path, monkeypatch
     )
     path = str(tmp_path / "runs")
     stamp = F.lit("2026-01-02 03:04:05").cast("timestamp")
-    results.write_run_files(results.nest_runs(rows, "b", stamp), path)
+    results.write_run_files(results.nest_runs(rows, "b", stamp, part_results=10), path)
     files = results.read_run_files(spark, path, multiline=False)
     assert files.count() > 5
     first = files.first()
@@ -119,12 +117,12 @@ def test_large_runs_are_stored_in_several_documents(spark, tmp_path, monkeypatch
     assert results.results_of(files).select("task_id").distinct().count() == 95
 
 
-def _log(spark, small, **more):
+def _log(spark, small):
     steps = rp.replay(inputs.actions(spark, small), order=inputs.ORDER)
     ids = inputs.episode_ids(spark, small)
     counts = grading.audit_counts(rp.audit_rows(steps), inputs.truth(ids))
     grades = grading.score(counts.withColumn("gt_compliance", inputs.truth_compliance()))
-    rewarded = rp.rewarded_steps(steps, grades, **more)
+    rewarded = rp.rewarded_steps(steps, grades)
     return rewarded, runlog.emit_run_log(rewarded, "env", "m")
 
 
@@ -150,23 +148,6 @@ def test_log_survives_text_files(spark, small, tmp_path):
     assert all(len(e.rewards.split(",")) == e.steps for e in ends)
 
 
-def test_long_episodes_spread_their_rewards_over_lines(spark, small):
-    _, whole = _log(spark, small)
-    _, paged = _log(spark, small, page_steps=4)
-    rest = lambda line: line.split("rewards=")[1]
-
-    def rewards(df):
-        rows = df.where("line LIKE '%rewards=%'").orderBy("episode_id", "line_no").collect()
-        out = {}
-        for r in rows:
-            out.setdefault(r.episode_id, []).append(rest(r.line))
-        return {e: ",".join(parts) for e, parts in out.items()}
-
-    assert rewards(paged) == rewards(whole)
-    ends = "line LIKE '[END]%'"
-    assert paged.where(ends).count() == whole.where(ends).count()
-
-
 CONSOLE = """noise before
 [STEP] step=1 action=get_call_metadata() reward=0.05 done=false error=null
 [STEP] step=2 action=submit_report(compliance_pass=False) reward=-0.10 done=true error=nul
@@ -191,7 +172,7 @@ def test_console_log_with_lost_start_and_cut_lines(spark, tmp_path):
     assert (rows[3].score, rows[7].score, rows[7].success) == (0.512, None, False)
     assert rows[5].error == "Turn 9 doesn't exist."
     assert (rows[6].action, rows[6].done, rows[6].error) == (
-        "flag_violation(violation_type=x)", False, None,
+        "flag_violation(violation_type=x)", None, None,
     )
 
 
