@@ -802,7 +802,8 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["src_call_metadata"] = _sql(
         """SELECT CAST(call_id AS VARCHAR) AS call_id, difficulty, department, call_reason,
-        call_duration_seconds, call_summary, call_id % 4 = 0 AS gt_compliance, n_turns,
+        call_duration_seconds, 'Call about a ' || call_reason AS call_summary,
+        call_id % 4 = 0 AS gt_compliance, n_turns,
         CAST(CASE WHEN call_id % 5 < 2 THEN call_id % 3 + 1 ELSE 0 END AS INT) AS n_shifts
         FROM calls""",
         "calls",
