@@ -236,6 +236,18 @@ def _pair_fits(a: str, b: str, t: Fraction) -> Column:
     return _sizes_fit(na, nb, t) & (((la <= lb) & (nb <= ma)) | ((lb <= la) & (na <= mb)))
 
 
+def _reaches(a: str, t: Fraction) -> Column:
+    """Whether sizes allow a pair of ``a`` and any set within the ranges n_min to most_max.
+
+    For a range of one set this is ``_pair_fits``.
+    """
+    n, last, most = (F.col(f"{a}.{x}") for x in ("n", "last", "most"))
+    fits = (n * t.denominator >= F.col("n_min") * t.numerator) & (F.col("n_max") * t.denominator >= n * t.numerator)
+    first = (last <= F.col("last_max")) & (F.col("n_min") <= most)
+    second = (F.col("last_min") <= last) & (n <= F.col("most_max"))
+    return fits & (first | second)
+
+
 def _sizes_fit(a: Column, b: Column, t: Fraction) -> Column:
     """Sets of these sizes can be similar."""
     return F.least(a, b) * t.denominator >= F.greatest(a, b) * t.numerator
@@ -321,15 +333,18 @@ def _open_pairs(rows: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
     """Every pair of different components that share a token and may be similar.
 
     Of two components at a token, the classes of one are paired with all members of
-    the other; the largest one at the token is always the other.
+    the other; the largest one at the token is always the other. Classes that no set
+    there can match, by the ranges of their sizes, are left out before.
     """
-    at = rows.groupBy("token", "comp").agg(F.count("*").alias("k"))
+    at = rows.groupBy("token", "comp").agg(
+        F.count("*").alias("k"), *[f(f"size.{x}").alias(f"{x}_{f.__name__}") for x in ("n", "last", "most") for f in (F.min, F.max)]
+    )
     main = at.groupBy("token").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"), F.count("*").alias("comps"))
     main = main.where("comps > 1").select("token", "main")
     apart = rows.join(main, "token").where("comp <> main").select("token", "cls", "size", "comp")
-    others = at.join(main, "token").select("token", F.col("comp").alias("other"), "main")
+    others = at.join(main, "token").withColumnRenamed("comp", "other").drop("k")
     open_ = (F.col("other") == F.col("main")) | (F.col("comp") < F.col("other"))
-    wanted = apart.join(others, "token").where(open_ & (F.col("comp") != F.col("other")))
+    wanted = apart.join(others, "token").where(open_ & (F.col("comp") != F.col("other")) & _reaches("size", t))
     wanted = wanted.select(F.col("cls").alias("a"), F.col("size").alias("sa"), "other")
     members = labels.select(F.col("cls").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("other"))
     pairs = wanted.distinct().join(members, "other").where(_pair_fits("sa", "sb", t))
