@@ -1,15 +1,20 @@
-"""Mixing sources to target weights by Pfair scheduling of blocks.
+"""Mixing sources to target weights along a binary tree of sources.
 
-Rows of a source form blocks of ``block_rows``. In units of slots, block i (from 1)
-of a source of weight w may not start before slot floor((i - 1) / w) and must be
-placed before slot ceil(i / w). Taking at each slot the released block with the
-earliest deadline places every block within its window, so while all sources last
-each source is always less than one block away from its share.
+Rows of a source form blocks of ``block_rows``. The leaves of the tree are the
+sources, a node's weight is the sum of its leaves'. Of the first j slots of a node
+its left child, of share p, has round(p * j): so block i of a child has its slot in
+the parent by a division of whole numbers, and a block finds its slot in the mix by
+one division a level. Nothing is scheduled ahead and no pattern repeats, so there is
+no period that weights or the number of sources would have to fit.
 
-Weights are multiples of 1 / ``period``, so the schedule repeats after one period:
-one period is scheduled as a fold, and each block finds its slot by a lookup. Slots
-of a source that has run out stay empty and the others keep their order, so no row
-is dropped and none is repeated.
+A child is half a block off its share of its parent, and carries on its part of what
+the parent is off. Sources take cells of the largest power of two below their weight,
+in falling order, which makes the sum over a path less than two blocks, and less than
+one in trees as even as those of like weights; ``quotas`` gives the bound of each
+source. It holds at every slot and for the real weights while all sources last.
+
+Slots of a source that has run out stay empty and the others keep their order, so no
+row is dropped and none is repeated.
 
 Only DataFrame functions are used. Rows of a source are numbered in cells of a hash
 of their id, so one source may hold any share of all rows.
@@ -21,6 +26,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PERIOD = 1024
+#: Weights are whole parts of two to this power.
+_BITS = 50
+#: A table of so many sources at most is broadcast.
+BROADCAST_SOURCES = 20_000
 #: Rows of one source that one window numbers, about.
 CELL_ROWS = 20_000
 _WIDTH = 1024
@@ -33,63 +42,79 @@ def power_weights(df: DataFrame, source: str, exponent: float) -> DataFrame:
 
 
 def quotas(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """Slots of each source in a period, by largest remainders, one at least.
-
-    Returns (source, index, quota); the quotas add up to the period. Sources whose
-    weight is null or not positive weigh as one slot. More sources than slots raise.
+    """The share of each source, and its way up the tree.
+
+    Returns (source, index, quota, units, path, off): ``quota`` is the exact number of
+    slots in a period, mostly no whole number; ``units`` is the same of 2^50 slots,
+    where it is whole, adds up and is one at least. ``path`` has the steps from the
+    leaf to the root: (level, own, all, right), the weights of a child and its parent.
+    ``off`` bounds the blocks by which the source is ever off its share. Sources whose
+    weight is null, not finite or not positive weigh as one slot of a period, or of
+    as many slots as there are sources if these are more.
     """
     every = Window.partitionBy(F.lit(0))
-    clean = weights.withColumn("weight", F.when(F.col("weight") > 0, F.col("weight")).otherwise(0.0))
-    shared = clean.withColumn("sources", F.count("*").over(every)).withColumn("all", F.sum("weight").over(every))
-    free = F.lit(period) - F.col("sources")
-    exact = F.when(F.col("all") > 0, F.col("weight") / F.col("all")).otherwise(1 / F.col("sources")) * free
-    part = shared.withColumn("exact", exact).withColumn("whole", F.floor("exact"))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc(F.col("exact") - F.col("whole")), "source")
-    rest = free - F.sum("whole").over(every)
-    quota = 1 + F.col("whole") + F.when(F.row_number().over(order) <= rest, 1).otherwise(0)
-    quota = F.when(F.col("sources") <= period, quota).otherwise(F.raise_error(F.lit("more sources than slots in a period")))
-    index = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("source")) - 1
-    return part.select("source", index.cast("int").alias("index"), quota.cast("int").alias("quota"))
-
-
-def timetable(quota: DataFrame, period: int = PERIOD) -> DataFrame:
-    """One period: (index, turn, slot) for each block, ``turn`` from 0 within its source.
-
-    One fold over the slots; its state is how many blocks each source has placed.
-    """
-    one = quota.agg(F.transform(F.array_sort(F.collect_list(F.struct("index", "quota"))), lambda x: x["quota"]).alias("q"))
-
-    def candidates(placed: Column, t: Column) -> Column:
-        """(deadline, index) of each source's next block that is released at slot t."""
-        each = F.zip_with(
-            placed,
-            F.col("q"),
-            lambda c, q: F.struct(
-                F.floor(c * period / q).alias("release"), F.ceil((c + 1) * period / q).alias("deadline")
-            ),
-        )
-        named = F.transform(each, lambda x, i: F.struct(x["deadline"].alias("deadline"), i.alias("index"), x["release"].alias("release")))
-        return F.filter(named, lambda x: x["release"] <= t)
-
-    def place(state: Column, t: Column) -> Column:
-        chosen = F.array_min(candidates(state["placed"], t))["index"]
-        return F.transform(
-            F.array(chosen),
-            lambda s: F.struct(
-                F.transform(state["placed"], lambda c, i: F.when(i == s, c + 1).otherwise(c)).alias("placed"),
-                F.concat(
-                    state["out"],
-                    F.array(F.struct(s.alias("index"), F.element_at(state["placed"], s + 1).alias("turn"), t.alias("slot"))),
-                ).alias("out"),
-            ),
-        )[0]
-
-    start = F.struct(
-        F.transform("q", lambda _: F.lit(0)).alias("placed"),
-        F.array().cast("array<struct<index:int,turn:int,slot:int>>").alias("out"),
+    given = (F.col("weight") > 0) & (F.col("weight") < float("inf"))
+    clean = weights.withColumn("weight", F.when(given, F.col("weight").cast("double")).otherwise(0.0))
+    # Divided by the largest first, so that the sum stays finite.
+    clean = clean.withColumn("weight", F.coalesce(F.try_divide("weight", F.max("weight").over(every)), F.lit(0.0)))
+    shared = clean.withColumns(
+        {"sources": F.count("*").over(every), "all": F.sum("weight").over(every), "none": F.count_if(F.col("weight") == 0).over(every)}
+    )
+    slot = 1 / F.greatest(F.lit(period), F.col("sources"))
+    share = (
+        F.when(F.col("all") == 0, 1 / F.col("sources"))
+        .when(F.col("weight") == 0, slot)
+        .otherwise(F.col("weight") / F.col("all") * (1 - F.col("none") * slot))
+    )
+    whole = shared.withColumn("units", F.greatest(F.lit(1), F.floor(share * 2.0**_BITS)).cast("long"))
+    falling = Window.partitionBy(F.lit(0)).orderBy(F.desc("units"), "source")
+    # What rounding leaves goes to the largest source: some parts of 2^50.
+    rest = F.when(F.row_number().over(falling) == 1, F.lit(2**_BITS) - F.sum("units").over(every)).otherwise(0)
+    leaves = whole.withColumn("units", F.col("units") + rest)
+    log = F.length(F.bin("units")) - 1
+    leaves = leaves.withColumn("log", log).withColumn("cell", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("log")))
+    earlier = falling.rowsBetween(Window.unboundedPreceding, -1)
+    leaves = leaves.select(
+        "source",
+        (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("source")) - 1).cast("int").alias("index"),
+        (F.col("units") * (period / 2.0**_BITS)).alias("quota"),
+        "units",
+        "log",
+        F.coalesce(F.sum("cell").over(earlier), F.lit(0)).alias("start"),
+    )
+    node = F.call_function("shiftright", F.col("start"), F.col("level"))
+    levels = F.filter(F.sequence(F.lit(0), F.lit(_BITS - 1)), lambda k: k >= F.col("log"))
+    steps = leaves.select("index", "units", F.explode(levels).alias("level"), "start").withColumn("node", node)
+    sums = steps.groupBy("level", "node").agg(F.sum("units").alias("own"))
+    beside = sums.select("level", F.col("node").bitwiseXOR(F.lit(1).cast("long")).alias("node"), F.col("own").alias("other"))
+    step = F.struct("level", "own", (F.col("own") + F.col("other")).alias("all"), (F.col("node") % 2 == 1).alias("right"))
+    paths = (
+        steps.join(sums, ["level", "node"])
+        .join(beside, ["level", "node"])
+        .groupBy(F.col("index").alias("_index"))
+        .agg(F.array_sort(F.collect_list(step)).alias("path"), (F.sum(F.col("units") / F.col("own")) / 2).alias("off"))
+    )
+    none = F.array().cast("array<struct<level:int,own:bigint,all:bigint,right:boolean>>")
+    return leaves.join(paths, F.col("index") == F.col("_index"), "left").select(
+        "source", "index", "quota", "units", F.coalesce("path", none).alias("path"), F.coalesce("off", F.lit(0.0)).alias("off")
     )
-    slots = F.sequence(F.lit(0), F.lit(period - 1))
-    return one.where(F.size("q") > 0).select(F.explode(F.aggregate(slots, start, place)["out"]).alias("x")).select("x.*")
+
+
+def _whole(x: Column, y: Column, add: Column | int, by: Column) -> Column:
+    """(x * y + add) div by, where the product may take over 64 bits."""
+    big = x.cast("decimal(20,0)") * y.cast("decimal(18,0)") + F.lit(add).cast("decimal(20,0)")
+    return F.call_function("div", big, by.cast("decimal(20,0)"))
+
+
+def _slot(block: Column, path: Column) -> Column:
+    """The slot of a source's block, both from 0."""
+
+    def up(i: Column, step: Column) -> Column:
+        own, total = step["own"], step["all"]
+        left = _whole(2 * i + 1, total, 2 * own - 1, 2 * own) - 1
+        return F.when(step["right"], _whole(2 * i + 1, total, 0, 2 * own)).otherwise(left)
+
+    return F.aggregate(path, block.cast("long"), up)
 
 
 def _before(counts: DataFrame, cell: str, group: list[str], to: str) -> DataFrame:
@@ -124,7 +149,9 @@ def schedule(
     """``df`` with its place in the mix.
 
     Adds ``block`` (from 0 within its source), ``release`` and ``deadline`` (slots
-    between which the block may stand), ``slot`` and ``in_block``; sorting by (slot,
+    between which the block may stand: its source is less than one block off its
+    share there, or less than two where the tree warrants no less), ``slot`` and
+    ``in_block``; sorting by (slot,
     in_block) gives the mix. ``weights`` has the columns source and weight, a row for
     each source of ``df``; a null source is a source of its own. Rows of a source
     follow one another in an order by hash; equal rows are interchangeable. Columns
@@ -134,7 +161,9 @@ def schedule(
     names = [c for c in df.columns if c.lower() not in made and not c.startswith("_m_")]
     rows = df.count() if rows is None else rows
     cells = max(1, -(-rows // CELL_ROWS), min(256, -(-rows // 256)))
-    quota = quotas(weights, period)
+    quota = quotas(weights, period).select(*[F.col(c).alias(f"_m_{c}") for c in ("source", "index", "units", "path", "off")])
+    if weights.count() <= BROADCAST_SOURCES:
+        quota = F.broadcast(quota)
     row = F.struct(*[F.col(f"`{c}`") for c in names])
     keyed = (
         df.select(
@@ -142,33 +171,26 @@ def schedule(
             F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), F.lit(cells)).cast("int").alias("_m_cell"),
             F.xxhash64(F.lit(seed + 1), F.col(f"`{key}`")).alias("_m_order"),
         )
-        .join(
-            F.broadcast(quota.select(F.col("source").alias("_m_source"), F.col("index").alias("_m_index"), F.col("quota").alias("_m_quota"))),
-            F.col(f"`{source}`").eqNullSafe(F.col("_m_source")),
-        )
+        .join(quota, F.col(f"`{source}`").eqNullSafe(F.col("_m_source")))
         .drop("_m_source")
     )
     counts = keyed.groupBy("_m_index", "_m_cell").agg(F.count("*").alias("n"))
     before = _before(counts, "_m_cell", ["_m_index"], "_m_before")
     within = Window.partitionBy("_m_index", "_m_cell").orderBy("_m_order", F.xxhash64(row))
-    turn = F.col("_m_block") % F.col("_m_quota")
-    table = timetable(quota, period).select(
-        F.col("index").alias("_m_index"), F.col("turn").alias("_m_turn"), F.col("slot").cast("bigint").alias("_m_slot")
-    )
-    block, q = F.col("_m_block"), F.col("_m_quota")
+    block, units = F.col("_m_block"), F.col("_m_units")
+    # The whole blocks that its source is off at most, and one.
+    slack, scale = F.floor("_m_off") + 1, F.lit(2**_BITS)
     return (
         keyed.withColumn("_m_at", F.row_number().over(within))
         .join(before, ["_m_index", "_m_cell"])
         .withColumn("_m_at", F.col("_m_before") + F.col("_m_at") - 1)
         .withColumn("_m_block", F.floor(F.col("_m_at") / block_rows))
-        .withColumn("_m_turn", turn.cast("int"))
-        .join(F.broadcast(table), ["_m_index", "_m_turn"])
         .select(
             *[F.col(f"`{c}`") for c in names],
             block.alias("block"),
-            F.floor(block * period / q).alias("release"),
-            F.ceil((block + 1) * period / q).alias("deadline"),
-            (F.floor(block / q) * period + F.col("_m_slot")).alias("slot"),
+            _whole(F.greatest(block + 1 - slack, F.lit(0)), scale, 0, units).alias("release"),
+            _whole(block + slack, scale, units - 1, units).alias("deadline"),
+            _slot(block, F.col("_m_path")).alias("slot"),
             (F.col("_m_at") % block_rows).alias("in_block"),
         )
     )

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -77,6 +78,39 @@ def test_mix_stays_within_a_block(spark):
     assert sum(quota.values()) == 64
 
 
+@pytest.mark.parametrize("shares", [
+    [1000.0] + [184.0] * 19,  # one source of many rows
+    [199.0] + [1.0] * 199,  # half of the mix, among 200 sources
+    [2000.0] + [1.0] * 1500,  # more sources than a period has slots
+    [0.37 * 0.8**k for k in range(24)],
+    [3.0, 2.9, 1.0, 1e-3, 1e-4],
+])
+def test_mix_keeps_to_the_real_weights(spark, shares):
+    total, slots = sum(shares), 12_000
+    rows = [(k, math.ceil(slots * w / total) + 2) for k, w in enumerate(shares)]
+    df = spark.createDataFrame(rows, "s int, n int").select("s", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+    df = df.withColumn("id", F.col("s") * 100_000 + F.col("i"))
+    weights = spark.createDataFrame(list(enumerate(shares)), "source int, weight double")
+    off = {r["source"]: r["off"] for r in mixing.quotas(weights).collect()}
+    found = mixing.schedule(df, "id", "s", weights).orderBy("slot").collect()
+    assert len(found) == sum(n for _, n in rows) and all(r["release"] <= r["slot"] < r["deadline"] for r in found)
+    assert [r["slot"] for r in found[:slots]] == list(range(slots))
+    most = collections.Counter()
+    for r in found[:slots]:  # a source is furthest off just before and just after its own blocks
+        w = shares[r["s"]] / total
+        most[r["s"]] = max(most[r["s"]], abs(r["block"] - r["slot"] * w), abs(r["block"] + 1 - (r["slot"] + 1) * w))
+    assert max(off.values()) < 2
+    assert all(most[s] <= off[s] + 1e-6 for s in most)
+
+
+def test_mix_of_weights_that_are_none(spark):
+    weights = spark.createDataFrame([("a", 3.0), ("b", None), ("c", -1.0), ("d", float("nan")), (None, 1.0)], "source string, weight double")
+    quota = {r["source"]: r["quota"] for r in mixing.quotas(weights, 64).collect()}
+    assert quota == pytest.approx({"a": 45.75, "b": 1, "c": 1, "d": 1, None: 15.25})
+    zero = spark.createDataFrame([("a", 0.0), ("b", 0.0)], "source string, weight double")
+    assert [r["quota"] for r in mixing.quotas(zero, 64).collect()] == [32, 32]
+
+
 def test_archives(spark, docs, empty):
     pages = _clash(docs.select(F.col("doc_id").alias("page_id"), F.col("lang").alias("url"), F.col("text").alias("html")), "payload")
     warc.register(spark)
