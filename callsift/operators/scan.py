@@ -9,6 +9,7 @@ from a small table. Results are the same either way.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,8 +20,7 @@ TARGET_ROWS = 2_000_000
 BROADCAST_ROWS = 100_000
 _CHUNK = "_chunk"
 _ORDER = "_order_key_{}"
-_FANOUT = 4096
-_MAX_SPLITS = 5
+_QUANTILES = 256
 
 
 def join_checked(
@@ -36,6 +36,16 @@ def join_checked(
     return left.join(right, keys, how)
 
 
+def _join_cells(left: DataFrame, cells: DataFrame, by: list[str], rows: int, how: str = "left") -> DataFrame:
+    """``join_checked`` where a null key is a group of its own."""
+    names = {c: f"_cell_{i}" for i, c in enumerate(by)}
+    right = cells.withColumnsRenamed(names)
+    if rows <= BROADCAST_ROWS:
+        right = F.broadcast(right)
+    same = reduce(Column.__and__, [left[c].eqNullSafe(right[n]) for c, n in names.items()])
+    return left.join(right, same, how).drop(*names.values())
+
+
 @dataclass(frozen=True)
 class OrderedGroups:
     """Rows of ``df`` in groups of ``keys``, ordered by ``order`` inside each.
@@ -91,7 +101,7 @@ class OrderedGroups:
         offsets = totals.select(
             *by, *[F.sum(f"_total_{n}").over(earlier).alias(f"_before_{n}") for n in sums]
         )
-        joined = join_checked(local, offsets, by, self.chunks)
+        joined = _join_cells(local, offsets, by, self.chunks)
         kept = [c for c in local.columns if c not in sums]
         return joined.select(
             *kept,
@@ -114,10 +124,12 @@ def ordered_groups(
 
     ``order_keys`` are whole numbers that order the rows as ``order`` does; where
     one is null its row comes last. One counting pass over ``keys`` finds the large
-    groups; without any, the plan is a plain window. Large groups are cut along the
-    first key in which their rows differ, so a burst at one instant is cut by the
-    next key. Rows alike in every key cannot be cut; more than ``target_rows`` of
-    them raise an error. Groups known to be short need no ``count``.
+    groups; without any, the plan is a plain window. Large groups are cut at
+    quantiles of the first key in which their rows differ. The rows at a quantile
+    are a cell of their own, so a burst at one instant is left alone with itself
+    and cut by the next key, however far the others are spread. Cells are cut until
+    none is large. Rows alike in every key cannot be cut; more than ``target_rows``
+    of them raise an error. Groups known to be short need no ``count``.
     """
     target = target_rows or TARGET_ROWS
     names = [_ORDER.format(i) for i in range(len(order_keys))]
@@ -129,22 +141,24 @@ def ordered_groups(
     if count and _has_large(keyed, [*keys, _CHUNK], target):
         checkpoint_root(df.sparkSession)
         keyed = keyed.checkpoint()
-        for level in range(_MAX_SPLITS + 1):
-            cells = _large_cells(keyed, keys, names, target, first=level == 0)
+        first = True
+        while True:
             # Kept in the shared folder, so that later passes do not count again.
-            cells = cells.checkpoint()
+            cells = _cells(keyed, keys, names, target, first).checkpoint()
             found = cells.agg(
-                F.count("*"), F.sum("_pieces"), F.count_if(F.col("_key").isNull())
+                F.count("*"), F.count_if("_large"), F.count_if(F.col("_large") & F.col("_key").isNull())
             ).first()
-            if not found[0]:
-                break
-            if found[2] or level == _MAX_SPLITS:
+            if found[2]:
                 raise ValueError(
                     f"groups of {keys} hold over {target} rows that their order "
                     "cannot tell apart"
                 )
-            keyed = _split(keyed, keys, names, cells, found[0], first=level == 0)
-            chunks += found[1] + found[0]
+            if not found[1]:
+                break
+            cells = _with_cuts(keyed, keys, names, cells, found[1]).checkpoint()
+            keyed = _split(keyed, keys, names, cells, found[0])
+            chunks = cells.agg(F.sum("_pieces")).first()[0]
+            first = False
     return OrderedGroups(keyed, keys, order, names, chunks)
 
 
@@ -153,13 +167,10 @@ def _has_large(df: DataFrame, by: list[str], target: int) -> bool:
     return (sizes.agg(F.max("_rows")).first()[0] or 0) > target
 
 
-def _large_cells(
+def _cells(
     df: DataFrame, keys: list[str], names: list[str], target: int, first: bool
 ) -> DataFrame:
-    """Cells over ``target`` rows: the key to cut by, its low end and width, pieces.
-
-    The last piece is for rows without the key.
-    """
+    """Cells of cut groups: whether over ``target`` rows, the key to cut by, how often."""
     rows = df if first else df.where(F.col(_CHUNK) > 0)
     ranges = [
         F.struct(
@@ -178,41 +189,78 @@ def _large_cells(
         lambda r: (r["_high"] > r["_low"])
         | ((r["_given"] > 0) & (r["_given"] < F.col("_rows"))),
     )
-    pieces = F.least(
-        F.lit(_FANOUT - 2).cast("long"), F.ceil(F.col("_rows") / F.lit(target // 2 or 1))
+    large = F.col("_rows") > target
+    return (sizes.where(large) if first else sizes).select(
+        *keys,
+        _CHUNK,
+        large.alias("_large"),
+        F.when(large, F.get(differs, F.lit(0))["_key"]).alias("_key"),
+        F.ceil(F.col("_rows") / F.lit(target // 2 or 1)).alias("_spread"),
     )
-    return (
-        sizes.where(F.col("_rows") > target)
-        .withColumns({"_cut": F.get(differs, F.lit(0)), "_spread": pieces})
-        .select(
-            *keys,
-            _CHUNK,
-            "_cut._key",
-            "_cut._low",
-            F.expr("(_cut._high - _cut._low) div _spread + 1").alias("_width"),
-            (F.col("_spread") + 1).alias("_pieces"),
+
+
+def _key_value(names: list[str]) -> Column:
+    return F.get(F.array(*names), F.col("_key"))
+
+
+def _with_cuts(
+    df: DataFrame, keys: list[str], names: list[str], cells: DataFrame, large: int
+) -> DataFrame:
+    """``cells`` with the values to cut at, the number of pieces and the first one's chunk.
+
+    The values are approximate quantiles, but each stands in some row. Pieces are the
+    rows before a value, those at it and so on, and last the rows without the key.
+    """
+    by = [*keys, _CHUNK]
+    cut = cells.where("_large").select(*by, "_key", "_spread")
+    shares = [i / _QUANTILES for i in range(1, _QUANTILES)]
+    quantiles = (
+        _join_cells(df, cut, by, large, "inner")
+        .select(*by, "_spread", _key_value(names).alias("_value"))
+        .groupBy(*by)
+        .agg(
+            F.percentile_approx("_value", shares, 10_000).alias("_quantiles"),
+            F.first("_spread").alias("_n"),
         )
     )
+    step = F.greatest(F.lit(1), F.floor(F.lit(_QUANTILES) / F.col("_n")))
+    some = F.filter("_quantiles", lambda _, i: (i + 1) % step == 0)
+    cuts = quantiles.select(*by, F.array_sort(F.array_distinct(some)).alias("_cuts"))
+    pieces = F.when(F.col("_key").isNull(), 1).otherwise(2 * F.size("_cuts") + 2)
+    earlier = (
+        Window.partitionBy(*keys)
+        .orderBy(_CHUNK)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        _join_cells(cells, cuts, by, large)
+        .select(*by, "_key", "_cuts", pieces.cast("long").alias("_pieces"))
+        .withColumn("_base", 1 + F.coalesce(F.sum("_pieces").over(earlier), F.lit(0)))
+    )
 
 
 def _split(
-    df: DataFrame,
-    keys: list[str],
-    names: list[str],
-    cells: DataFrame,
-    count: int,
-    first: bool,
+    df: DataFrame, keys: list[str], names: list[str], cells: DataFrame, count: int
 ) -> DataFrame:
-    joined = join_checked(df, cells, [*keys, _CHUNK], count)
-    value = f"get(array({', '.join(names)}), _key)"
-    piece = F.expr(f"coalesce(({value} - _low) div _width, _pieces - 1)")
-    if first:
-        chunk = F.when(F.col("_width").isNull(), F.lit(0)).otherwise(piece + 1)
-    else:
-        chunk = F.when(F.col(_CHUNK) == 0, F.lit(0)).otherwise(
-            F.col(_CHUNK) * _FANOUT
-            + F.when(F.col("_width").isNull(), F.lit(0)).otherwise(piece)
-        )
+    """Rows with the chunk of their piece; chunks of a group are numbered from 1 anew."""
+    joined = _join_cells(df, cells, [*keys, _CHUNK], count).withColumn(
+        "_value", _key_value(names)
+    )
+    value = F.col("_value")
+    # The number of cuts before the value, by bisection.
+    strides = [_QUANTILES >> i for i in range(1, _QUANTILES.bit_length())]
+    before = F.aggregate(
+        F.array(*[F.lit(s) for s in strides]),
+        F.lit(0),
+        lambda at, s: F.when(F.get("_cuts", at + s - 1) < value, at + s).otherwise(at),
+    )
+    at_cut = F.coalesce(F.get("_cuts", before) == value, F.lit(False)).cast("int")
+    piece = (
+        F.when(F.col("_key").isNull(), 0)
+        .when(value.isNull(), F.col("_pieces") - 1)
+        .otherwise(2 * before + at_cut)
+    )
+    chunk = F.when(F.col("_base").isNull(), 0).otherwise(F.col("_base") + piece)
     return joined.select(
         *[c for c in df.columns if c != _CHUNK], chunk.cast("long").alias(_CHUNK)
     )

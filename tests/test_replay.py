@@ -128,6 +128,39 @@ def test_a_burst_at_one_instant_is_cut_by_the_next_key(spark):
         ordered_groups(df, ["g"], [F.col("k")], [F.col("k")], target_rows=50)
 
 
+@pytest.mark.parametrize("group", [1, None])
+def test_a_burst_among_spread_rows_is_cut(spark, group):
+    # A group just above the target; the order tells all rows apart by the last key.
+    df = spark.range(3200).select(
+        F.lit(group).cast("int").alias("g"),
+        F.when(F.col("id") < 2200, F.lit(1_600_000))
+        .otherwise(F.col("id") * F.col("id") * 1_000_003 % 31_536_000_000)
+        .alias("k"),
+        (F.col("id") * 7 % 3200).alias("id"),
+    )
+    order = [F.col("k"), F.col("id")]
+    plain = ordered_groups(df, ["g"], order, order).running(n=F.lit(1), s=F.col("id"))
+    cut = ordered_groups(df, ["g"], order, order, target_rows=2000)
+    assert cut.df.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 2000
+    summed = cut.running(n=F.lit(1), s=F.col("id"))
+    assert sorted(summed.rows().collect(), key=str) == sorted(plain.rows().collect(), key=str)
+
+
+def test_bursts_inside_bursts_are_cut_by_every_key(spark):
+    keys = [f"k{i}" for i in range(8)]  # the first seven are alike in most rows
+    df = spark.range(1200).select(
+        F.lit(1).alias("g"),
+        *[F.when(F.col("id") % 100 == i, F.col("id") - 600).otherwise(F.lit(3)).alias(k) for i, k in enumerate(keys[:-1])],
+        F.col("id").alias(keys[-1]),
+    )
+    order = [F.col(k) for k in keys]
+    cut = ordered_groups(df, ["g"], order, order, target_rows=200)
+    assert cut.df.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 200
+    rows = sorted(cut.running(n=F.lit(1)).rows().collect(), key=lambda r: r.n)
+    assert [r.n for r in rows] == list(range(1, 1201))
+    assert [tuple(r[k] for k in keys) for r in rows] == sorted(tuple(r[k] for k in keys) for r in rows)
+
+
 def test_a_cut_replay_reads_the_events_once(spark, small):
     steps = rp.replay(inputs.actions(spark, small), order=inputs.ORDER, target_rows=20)
     plan = steps._jdf.queryExecution().executedPlan().toString()
