@@ -351,14 +351,9 @@ def _open_pairs(rows: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def link(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, n_shingles, component_id, cls) for each row: the smallest id it is linked with.
-
-    Ids that are null take no part in the minimum; a component of null ids has a null
-    component. Rows that share an id are rows of their own. ``save(df, name)`` writes
-    a table that is read several times and returns it.
-    """
-    t = Fraction(similarity).limit_denominator(1000)
+def _prepared(docs: DataFrame, key: str, text: str, save, t: Fraction) -> tuple:
+    """Sets, their classes, labels of the classes that may have links, prefix tokens, and
+    a function that returns which of some pairs of classes are similar."""
     described = save(classes(docs, key, text), "sets")
     sets = described.where("block is null").select("id", "n", "cls")
     rows = prefixes(docs, text, token_counts(described), t).repartition("token")
@@ -372,7 +367,6 @@ def link(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILAR
     size = F.struct("n", "last", "most")
     used = rows.groupBy("cls").agg(F.max(size).alias("size")).join(grouped, "cls")
     used = save(used.select("cls", "size", "copies", F.col("cls").alias("comp"), "id"), "labels")
-    labels = used.drop("id")
     narrow = rows.select("token", "cls", size.alias("size"))
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
 
@@ -383,6 +377,46 @@ def link(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILAR
         profile = save(profiles(texts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))), t), "profiles")
         return save(verified(pairs, profile, t).distinct(), "links")
 
+    return sets, grouped, used.drop("id"), narrow, linked
+
+
+def similar_classes(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """All links: (id, n_shingles, cls) for each row, and every pair (a, b) of similar classes.
+
+    Two rows are linked if they are of one class, or their classes are a pair, ``a``
+    below ``b``. Unlike in ``link``, every candidate pair of classes is verified, so a
+    large group of near copies costs as many tests as it has pairs of classes.
+    """
+    t = Fraction(similarity).limit_denominator(1000)
+    sets, _, _, narrow, linked = _prepared(docs, key, text, save, t)
+    left = narrow.select("token", F.col("cls").alias("a"), F.col("size").alias("sa"))
+    right = narrow.select("token", F.col("cls").alias("b"), F.col("size").alias("sb"))
+    pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & _pair_fits("sa", "sb", t))
+    return sets.withColumnRenamed("n", "n_shingles"), linked(pairs.select("a", "b").distinct())
+
+
+def link_counts(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, n_shingles, cls, n_links) for each row: how many other rows it is linked with."""
+    sets, pairs = similar_classes(docs, key, text, save, similarity)
+    copies = sets.where("cls is not null").groupBy("cls").agg(F.count("*").alias("copies"))
+    both = pairs.select(F.col("a").alias("cls"), F.col("b").alias("other"))
+    both = both.unionByName(pairs.select(F.col("b").alias("cls"), F.col("a").alias("other")))
+    others = both.join(copies.withColumnRenamed("cls", "other"), "other").groupBy("cls").agg(F.sum("copies").alias("others"))
+    links = copies.join(others, "cls", "left").select("cls", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return sets.join(links, "cls", "left").select("id", "n_shingles", "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def link(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, n_shingles, component_id, cls) for each row: the smallest id it is linked with.
+
+    Ids that are null take no part in the minimum; a component of null ids has a null
+    component. Rows that share an id are rows of their own. ``save(df, name)`` writes
+    a table that is read several times and returns it. Only links that components
+    need are tested; ``similar_classes`` has them all.
+    """
+    t = Fraction(similarity).limit_denominator(1000)
+    sets, grouped, labels, narrow, linked = _prepared(docs, key, text, save, t)
+
     for pairs_of in (_hub_pairs, lambda rows, t: _open_pairs(rows, labels, t)):
         found = linked(pairs_of(narrow.join(labels.select("cls", "copies", "comp"), "cls"), t))
         if not found.isEmpty():

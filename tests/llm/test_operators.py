@@ -202,6 +202,30 @@ def test_jaccard_components(spark, docs, empty):
     assert jaccard_join.link(empty, "doc_id", "text", written).count() == 0
 
 
+def test_all_jaccard_links(spark, empty):
+    def shingles(x):
+        words = WORD.findall((x or "").encode().lower())
+        return frozenset([tuple(words[j : j + 5]) for j in range(len(words) - 4)] or ([tuple(words)] if words else []))
+
+    base = _rows()[7][1].split(" ")  # near copies that are all alike: components need few of their links
+    near = [(100 + k, " ".join([*base[:at], f"other{k}", *base[at + 1 :]]), None, None, None) for k, at in enumerate(range(5, 115, 8))]
+    rows = [*_rows(), *near]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sets = [(k, shingles(x)) for k, x, *_ in rows]
+    wanted, pairs = collections.Counter(), set()
+    for i, (k, a) in enumerate(sets):
+        near = [j for j, (_, b) in enumerate(sets) if i != j and a and 4 * len(a & b) >= 3 * len(a | b)]
+        wanted[k, len(a), len(near)] += 1
+        pairs |= {frozenset([a, sets[j][1]]) for j in near if sets[j][1] != a}
+    found = jaccard_join.link_counts(docs, "doc_id", "text", written).collect()
+    assert collections.Counter((r["id"], r["n_shingles"], r["n_links"]) for r in found) == wanted
+    members, linked = jaccard_join.similar_classes(docs, "doc_id", "text", written)
+    of = {r["cls"]: dict(sets)[r["id"]] for r in members.where("id is not null").collect()}
+    links = [(r["a"], r["b"]) for r in linked.collect()]
+    assert len(links) == len(pairs) > 90 and {frozenset([of[a], of[b]]) for a, b in links} == pairs
+    assert jaccard_join.link_counts(empty, "doc_id", "text", written).count() == 0
+
+
 @pytest.mark.parametrize("most", [4000, 1])
 def test_repeated_passages(spark, docs, empty, most):
     data = [(x or "").encode() for _, x, *_ in _rows()]
