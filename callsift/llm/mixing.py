@@ -117,7 +117,7 @@ def _slot(block: Column, path: Column) -> Column:
     return F.aggregate(path, block.cast("long"), up)
 
 
-def _before(counts: DataFrame, cell: str, group: list[str], to: str) -> DataFrame:
+def running_before(counts: DataFrame, cell: str, group: list[str], to: str) -> DataFrame:
     """For each (group, cell) the rows of earlier cells, in two levels of sums.
 
     Cells are numbers from 0. Windows hold ``_WIDTH`` cells, or one row for each
@@ -175,7 +175,7 @@ def schedule(
         .drop("_m_source")
     )
     counts = keyed.groupBy("_m_index", "_m_cell").agg(F.count("*").alias("n"))
-    before = _before(counts, "_m_cell", ["_m_index"], "_m_before")
+    before = running_before(counts, "_m_cell", ["_m_index"], "_m_before")
     within = Window.partitionBy("_m_index", "_m_cell").orderBy("_m_order", F.xxhash64(row))
     block, units = F.col("_m_block"), F.col("_m_units")
     # The whole blocks that its source is off at most, and one.
@@ -203,7 +203,7 @@ def positions(scheduled: DataFrame, period: int = PERIOD) -> DataFrame:
     within = Window.partitionBy("_m_cell").orderBy("slot", "in_block")
     return (
         cell.withColumn("_m_at", F.row_number().over(within))
-        .join(_before(counts, "_m_cell", [], "_m_before"), "_m_cell")
+        .join(running_before(counts, "_m_cell", [], "_m_before"), "_m_cell")
         .withColumn("position", F.col("_m_before") + F.col("_m_at") - 1)
         .drop("_m_cell", "_m_at", "_m_before")
     )

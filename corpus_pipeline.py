@@ -46,17 +46,36 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix, so that a reader meets sources by weight."""
+    """All documents in the order of the mix: the order of part files and of rows in each.
+
+    A plain reader deals files by size; ``token_ids`` takes each row's place from them.
+    """
     docs = docs.select(*COLUMNS)
     weights = mixing.power_weights(docs, "source", MIX_EXPONENT)
     return mixing.schedule(docs, "doc_id", "source", weights).orderBy("slot", "in_block").select(*COLUMNS)
 
 
+def with_places(docs: DataFrame) -> DataFrame:
+    """Documents read from Parquet files with ``position``: their gapless place, from 0.
+
+    Files follow one another by the numbers in their names, part and then file of the
+    part; within a file rows keep their order.
+    """
+    name = F.col("_metadata.file_name")
+    part, nth = (F.regexp_extract(name, p, 1) for p in (r"^part-(\d+)", r"-c(\d+)\."))
+    number = part.cast("bigint") * 2**20 + F.coalesce(nth.try_cast("bigint"), F.lit(0))
+    placed = docs.select(*COLUMNS, number.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counts = docs.select(number.alias("_file")).groupBy("_file").agg(F.count("*").alias("n"))
+    before = mixing.running_before(counts, "_file", [], "_before")
+    # As many rows as there are files.
+    return placed.join(F.broadcast(before), "_file").select(*COLUMNS, (F.col("_before") + F.col("_row")).alias("position"))
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and a digest of what they decode to."""
+    """Token ids of every document, a digest of what they decode to, and its place in the mix."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = docs.select(
-        "doc_id", "lang", "source", "n_chars", byte_bpe.encode("text", path, public_tokenizers.PATTERN).alias("ids")
+    ids = with_places(docs).select(
+        "doc_id", "lang", "source", "n_chars", "position", byte_bpe.encode("text", path, public_tokenizers.PATTERN).alias("ids")
     )
     return ids.select("*", byte_bpe.decode("ids", path).alias("_bytes")).select(
         "doc_id",
@@ -66,6 +85,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
         F.sha2("_bytes", 256).alias("decoded_sha256"),
+        "position",
     )
 
 

@@ -323,3 +323,17 @@ def test_pipeline_stages(spark, docs, empty, tmp_path):
 def test_mixed_stage_keeps_all_rows_in_order(spark, docs, tmp_path):
     mixed = corpus_pipeline.mixed_sources(spark, docs, str(tmp_path))
     assert sorted(map(str, mixed.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_result_tells_the_place_in_the_mix(spark, docs, tmp_path):
+    many = docs.where("doc_id is not null").withColumn("n_chars", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(40))))
+    many = many.withColumns({"doc_id": F.col("doc_id") * 100 + F.col("n_chars"), "text": F.lit("a b"), "source": F.concat(F.lit("s"), F.col("doc_id") % 3)})
+    mixed = corpus_pipeline.mixed_sources(spark, many, str(tmp_path)).collect()
+    for folder, most in (("whole", 0), ("split", 7)):  # files of 1 to 7 rows, or of uneven sizes
+        path = str(tmp_path / folder)
+        ordered = spark.createDataFrame(mixed, SCHEMA).coalesce(1).select("*", F.monotonically_increasing_id().alias("at"))
+        cells = ordered.repartitionByRange(5, F.sqrt("at")).sortWithinPartitions("at").drop("at")
+        cells.write.option("maxRecordsPerFile", most).parquet(path)
+        found = corpus_pipeline.token_ids(spark, spark.read.parquet(path), "").orderBy("position").collect()
+        assert [r["position"] for r in found] == list(range(len(mixed)))
+        assert [r["doc_id"] for r in found] == [r["doc_id"] for r in mixed]
