@@ -434,12 +434,25 @@ def link(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILAR
 
 
 def one_of_each(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest id.
+    """``docs`` with one row of each component: that with the smallest id.
 
-    Documents without words all stay, as do rows with a null id; of rows that share
-    the smallest id all stay.
+    Among rows of that id, and if all ids are null, it is the one with the smallest
+    hash of its text, and of equal ids and texts the first by all columns. Documents
+    without words are in no group and all stay.
     """
-    linked = link(docs.select(key, text), key, text, save, similarity)
-    kept = linked.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("_kept")).distinct()
-    gone = linked.where("id is not null").select("id").distinct().join(kept, F.col("id") == F.col("_kept"), "left_anti")
-    return docs.join(gone.withColumnRenamed("id", "_gone"), F.col(f"`{key}`") == F.col("_gone"), "left_anti")
+    unit = F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text"))
+    named = docs.select(unit.alias("_unit"), F.col(f"`{text}`").alias("_text"))
+    linked = link(named, "_unit", "_text", save, similarity).where("cls is not null")
+    times = linked.groupBy("id", "component_id").agg(F.count("*").alias("k"))
+    # Of the units that stay those with several rows are kept apart, as one row each.
+    again = F.col("id") == F.col("component_id")
+    marked = save(times.where(~again | (F.col("k") > 1)).select(F.col("id").alias("_marked"), again.alias("_again")), "marked")
+    units = docs.select(*[F.col(f"`{c}`") for c in docs.columns], unit.alias("_unit"))
+    same = F.col("_unit").eqNullSafe(F.col("_marked"))
+    kept = units.join(marked, same, "left_anti").drop("_unit")
+    repeated = marked.where("_again")
+    if repeated.isEmpty():
+        return kept
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    ones = units.join(repeated, same).groupBy("_unit").agg(F.min(row).alias("_row")).select("_row.*")
+    return kept.unionByName(ones)

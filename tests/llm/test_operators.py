@@ -202,6 +202,20 @@ def test_jaccard_components(spark, docs, empty):
     assert jaccard_join.link(empty, "doc_id", "text", written).count() == 0
 
 
+def test_one_row_of_each_group_also_of_repeated_and_null_ids(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    near, c = a.replace("a30", "other"), " ".join(f"c{k}" for k in range(60))
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (1, near, "x"), (2, near, "x"), (None, a, "x")]  # one group
+    rows += [(None, b, "x"), (None, b, "x"), (None, b + " more", "x")]  # of null ids only
+    rows += [(1, c, "x"), (3, "", "x"), (3, "", "x"), (None, None, "x")]  # alone, and without words
+    docs = spark.createDataFrame([(k, x, s, s, None) for k, x, s in rows], SCHEMA)
+    kept = jaccard_join.one_of_each(docs, "doc_id", "text", written).collect()
+    found = collections.Counter((r["doc_id"], r["text"]) for r in kept)
+    assert found[1, a] + found[1, near] == 1 and (2, near) not in found and (None, a) not in found
+    assert found[None, b] + found[None, b + " more"] == 1
+    assert (found[1, c], found[3, ""], found[None, None], len(kept)) == (1, 2, 1, 6)
+
+
 def test_all_jaccard_links(spark, empty):
     def shingles(x):
         words = WORD.findall((x or "").encode().lower())
