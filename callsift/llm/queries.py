@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import byte_bpe, decision_list, doc_stats, jaccard_join, mixing, quality_qda, scaled_sketch, sharding, suffix_dedup, token_file, warc
+from callsift.llm import byte_bpe, decision_list, doc_stats, jaccard_join, mixing, quality_qda, scaled_sketch, sharding, suffix_dedup, token_alignment, token_file, warc
 from callsift.sources.shared_dir import new_folder, written
 
 #: Sources are mixed by their number of rows to this power.
@@ -195,6 +195,15 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.col("crc").alias("ids_crc32"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens under two tokenizers, aligned, with corpus-wide link counts."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    blocks = written(token_alignment.blocks(docs, "doc_id", "text", *paths), "op12-blocks")
+    counts = written(token_alignment.pair_counts(blocks), "op12-pairs")
+    return token_alignment.link_figures(blocks, counts, "doc_id")
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -208,5 +217,6 @@ REGISTRY = {
         op8_quality_rules,
         op9_scaled_sketch,
         op10_token_file,
+        op12_token_alignment,
     )
 }
