@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import byte_bpe, decision_list, doc_stats, jaccard_join, mixing, quality_qda, scaled_sketch, sharding, suffix_dedup, token_alignment, token_file, warc
+from callsift.llm import byte_bpe, collision_search, decision_list, doc_stats, jaccard_join, mixing, multi_index, quality_qda, scaled_sketch, sharding, suffix_dedup, token_alignment, token_file, vector_rows, warc
 from callsift.sources.shared_dir import new_folder, written
 
 #: Sources are mixed by their number of rows to this power.
@@ -195,6 +195,22 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.col("crc").alias("ids_crc32"))
 
 
+#: Components of embeddings become whole numbers of this many parts.
+PARTS = 256
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for each anchor and each of its first positives."""
+    table = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    fine = vector_rows.finite("embedding")
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * PARTS))
+    rows = table.where(fine).select("vec_id", label.alias("label"), whole.alias("vector"))
+    rows = written(multi_index.usable(rows, "vec_id", "vector", "label"), "op11-rows")
+    found = multi_index.hard_negatives(rows, F.col("id") % 100 == 0, written)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens under two tokenizers, aligned, with corpus-wide link counts."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -204,6 +220,17 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.link_figures(blocks, counts, "doc_id")
 
 
+#: Neighbours of a query.
+NEIGHBOURS = 20
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest rows of every twentieth embedding."""
+    table = _table(spark, sf_dir, "embeddings")
+    found = collision_search.nearest(table, "vec_id", "embedding", F.col("vec_id") % 20 == 0, NEIGHBOURS, written)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -217,6 +244,8 @@ REGISTRY = {
         op8_quality_rules,
         op9_scaled_sketch,
         op10_token_file,
+        op11_hard_negatives,
         op12_token_alignment,
+        op13_nearest,
     )
 }
