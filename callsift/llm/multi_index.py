@@ -191,7 +191,7 @@ def indexed(rows: DataFrame, write) -> tuple[DataFrame, Index, list[tuple[int, i
     rows = rows.where(F.size("vector") == d)
     count = rows.count()
     chosen = rows.where(F.pmod(F.xxhash64("row", F.lit(2)), F.lit(parts(count, SAMPLE))) == 0)
-    sample = np.array([x["vector"] for x in chosen.select("vector").orderBy("vector").collect()], np.float64).reshape(-1, d)
+    sample = np.array([x["vector"] for x in chosen.select("vector").orderBy("vector").collect()], np.float64).reshape(-1, max(d, 1))
     cut = d // 2
     books = codebook(sample[:, :cut]), codebook(sample[:, cut:])
 
