@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,42 +212,154 @@ def test_low_budget_warnings_and_texts(spark):
     assert got[10].cumulative_reward == pytest.approx(paid + 0.5)
 
 
-def test_stream_meter_equals_batch_over_many_batches(spark, small, tmp_path):
+def _events_in_files(spark, small, source, cuts):
     events = inputs.table(spark, small, "events")
-    source = str(tmp_path / "events")
-    for lo, hi in [(0, 300), (300, 350), (350, 1000)]:
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
         part = events.where((F.col("event_id") >= lo) & (F.col("event_id") < hi))
         part.coalesce(1).write.mode("append").parquet(source)
-    stream = (
-        spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(source)
-    )
+    return events.schema
+
+
+def _file_stream(spark, schema, source):
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    return reader.option("recursiveFileLookup", "true").parquet(source)
+
+
+def test_stream_meter_equals_batch_over_many_batches(spark, small, tmp_path):
+    source = str(tmp_path / "events")
+    schema = _events_in_files(spark, small, source, [0, 300, 350, 1000])
+    stream = _file_stream(spark, schema, source)
     metered = meter.meter_stream(inputs.as_actions(stream), *inputs.ORDER)
-    got = spark.read.parquet(sinks.drain_to_parquet(metered, "meter"))
+    output, _ = sinks.drain_with_late(metered, "meter")
     batch = rp.replay(inputs.actions(spark, small), order=inputs.ORDER, force_submit=False)
     columns = ["episode_id", "step", "remaining", "exhausted", "done"]
-    assert sorted(got.where(~F.col("late")).select(columns).collect()) == sorted(
-        batch.select(columns).collect()
-    )
+    got = sinks.metered(spark, output, late=False).select(columns)
+    assert sorted(got.collect()) == sorted(batch.select(columns).collect())
+    # The session's own choice of a state store is left as it was.
+    assert "RocksDB" not in (spark.conf.get(sinks._STORE, None) or "")
+
+
+def test_stream_meter_merges_pieces_of_one_hot_episode(spark, tmp_path):
+    """Most rows are one episode's; pieces and chunks are far smaller than it."""
+    rng = random.Random(6)
+    rows = [
+        (0 if k % 10 else k, k // 3, k % 3, "get_transcript_length", *[None] * 7, 5_000)
+        for k in range(3_000)
+    ]
+    rows += [(0, 10_000 + k, 0, "read_transcript_chunk", None, None, None, *[None] * 4, 5_000) for k in range(500)]
+    rng.shuffle(rows)
+    schema = ACTION.replace("seq long", "seq long, tie long")
+    source = str(tmp_path / "hot")
+    spark.createDataFrame(rows[:2_000], schema).coalesce(1).write.parquet(f"{source}/0")
+    stream = _file_stream(spark, schema, source)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "64")
+    chunk, meter.CHUNK_ROWS = meter.CHUNK_ROWS, 16
+    try:
+        output, _ = sinks.drain_with_late(meter.meter_stream(stream, "seq", "tie"), "hot")
+    finally:
+        spark.conf.set(limit, before)
+        meter.CHUNK_ROWS = chunk
+    actions = spark.createDataFrame(rows[:2_000], schema)
+    batch = rp.replay(actions, order=("seq", "tie"), force_submit=False)
+    columns = ["episode_id", "step", "remaining", "exhausted", "done"]
+    got = sinks.metered(spark, output, late=False).select(columns).collect()
+    assert sorted(got) == sorted(batch.select(columns).collect())
+    assert sinks.metered(spark, output, late=True).count() == 0
+
+
+class _Map:
+    """What the meter needs of a map state."""
+
+    def __init__(self):
+        self.values = {}
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.values[key] = value
+
+    def getValue(self, key):  # noqa: N802
+        return self.values[key]
+
+    def removeKey(self, key):  # noqa: N802
+        del self.values[key]
+
+
+def test_runs_are_merged_in_order(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(meter, "CHUNK_ROWS", 7)
+    rng = random.Random(9)
+    for pieces in ([], [5], [30, 1, 44], [7, 7, 14, 200]):
+        processor = meter.BudgetMeter(1, None)
+        processor._runs = _Map()
+        frames = [
+            pd.DataFrame(
+                {
+                    "major": [rng.randrange(20) for _ in range(n)],
+                    "minor": [rng.randrange(4) for _ in range(n)],
+                    "cost": [1] * n,
+                    "total_budget": [99] * n,
+                    "action_type": ["x"] * n,
+                }
+            )
+            for n in pieces
+        ]
+        keys = sorted((a, b) for f in frames for a, b in zip(f["major"], f["minor"], strict=True))
+        out = list(processor._in_order(iter(frames)))
+        assert [(a, b) for f in out for a, b in zip(f["major"], f["minor"], strict=True)] == keys
+        assert not processor._runs.values
+        assert all(len(f) <= 7 * len(pieces) or len(pieces) == 1 for f in out)
+
+
+def _one_action(seq, name, episode=1):
+    return (episode, seq, 0, name, *[None] * 7, 10)
 
 
 def test_stream_meter_sets_late_rows_apart(spark, tmp_path):
     source = str(tmp_path / "late")
     schema = ACTION.replace("seq long", "seq long, tie long")
-    row = lambda seq, name: (1, seq, 0, name, *[None] * 7, 10)
-    for i, batch in enumerate(
-        [[row(5, "get_call_metadata")], [row(4, "analyze_turn"), row(6, "noop")]]
-    ):
+    batches = [
+        [_one_action(5, "get_call_metadata")],
+        [_one_action(4, "analyze_turn"), _one_action(6, "noop")],
+    ]
+    for i, batch in enumerate(batches):
         spark.createDataFrame(batch, schema).coalesce(1).write.parquet(f"{source}/{i}")
-    stream = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", 1)
-        .option("recursiveFileLookup", "true")
-        .parquet(source)
-    )
-    metered = meter.meter_stream(stream, "seq", "tie")
-    got = spark.read.parquet(sinks.drain_to_parquet(metered, "late")).orderBy("major")
-    assert [(r.major, r.step, r.remaining, r.late) for r in got.collect()] == [
-        (4, None, None, True), (5, 1, 75, False), (6, 2, 70, False),
+    metered = meter.meter_stream(_file_stream(spark, schema, source), "seq", "tie")
+    output, _ = sinks.drain_with_late(metered, "late")
+    late = sinks.metered(spark, output, late=True).collect()
+    assert [(r.major, r.step, r.remaining) for r in late] == [(4, None, None)]
+    got = sinks.metered(spark, output, late=False).orderBy("major").collect()
+    assert [(r.major, r.step, r.remaining, r.late) for r in got] == [
+        (5, 1, 75, False), (6, 2, 70, False),
+    ]
+
+
+def test_stream_meter_forgets_ended_and_closes_idle_episodes(spark, tmp_path):
+    source = str(tmp_path / "idle")
+    schema = ACTION.replace("seq long", "seq long, tie long")
+
+    def feed(k, *rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.parquet(f"{source}/{k}")
+
+    def run(output=None):
+        stream = _file_stream(spark, schema, source)
+        metered = meter.meter_stream(stream, "seq", "tie", ended_seconds=1, idle_seconds=1)
+        return sinks.drain_with_late(metered, "idle", output)
+
+    ended = [_one_action(1, "submit_report", e) for e in range(20, 40)]
+    feed(0, _one_action(1, "get_call_metadata", 7), *ended)
+    output, query = run()
+    held = query.recentProgress[0]["stateOperators"][0]["numRowsTotal"]
+    time.sleep(2.5)
+    feed(1, _one_action(9, "noop", 8))
+    _, query = run(output)
+    time.sleep(2.5)
+    feed(2, _one_action(9, "noop", 9))
+    _, query = run(output)
+    left = query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+    assert left < held
+    rows = sinks.metered(spark, output, late=False).where("episode_id = 7").orderBy("step").collect()
+    assert [(r.major, r.action_type, r.step, r.remaining, r.done) for r in rows] == [
+        (1, "get_call_metadata", 1, 75, False), (None, "submit_report", 2, 75, True),
     ]
