@@ -166,33 +166,48 @@ def reward_cents() -> Column:
 # --- Tool arguments as JSON ---------------------------------------------------
 
 
-def _whole_number(raw: Column, number: Column, switch: Column) -> Column:
+def _whole_number(kind: Column, raw: Column) -> Column:
     """A whole number from a bare number, a bare switch or a string of digits."""
     digits = F.when(raw.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(raw).try_cast("int"))
     return (
-        F.when(raw.isin("", "null", "None"), None)
-        .when(number.isNotNull(), number.try_cast("int"))
-        .when(switch.isNotNull(), switch.cast("int"))
-        .otherwise(digits)
+        F.when(kind == "STRING", digits)
+        .when(kind == "BOOLEAN", (raw == "true").cast("int"))
+        .when(kind.rlike(_NUMBER), raw.try_cast("double").try_cast("int"))
     )
 
 
-def _switch(raw: Column) -> Column:
-    return F.when(~raw.isin("", "null"), F.lower(raw).isin("true", "1", "yes"))
+def _switch(kind: Column, raw: Column) -> Column:
+    fraction = kind.rlike("^(DECIMAL|DOUBLE)")
+    known = F.lower(raw).isin("true", "1", "yes")
+    return F.when(~raw.isin("", "null"), known & ~fraction)
+
+
+_NUMBER = "^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"
 
 
 def coerce_tool_args(calls: DataFrame) -> DataFrame:
-    """(…, fn_name, args) to typed action columns; unusable values become null."""
-    fields = F.from_json("args", "map<string,string>")
-    # Only bare values are read as numbers and switches; quoted ones stay strings.
-    numbers = F.from_json("args", ", ".join(f"{f} double" for f in _INT_FIELDS))
-    switches = F.from_json("args", ", ".join(f"{f} boolean" for f in _INT_FIELDS))
-    typed = {f: _whole_number(fields[f], numbers[f], switches[f]) for f in _INT_FIELDS}
-    typed |= {f: fields[f] for f in _TEXT_FIELDS}
-    typed["compliance_pass"] = _switch(fields["compliance_pass"])
+    """(…, fn_name, args) to typed action columns; unusable values become null.
+
+    The text is parsed once, to a variant, whose values keep their types: only bare
+    values are numbers and switches, quoted ones stay strings. Malformed text, and an
+    object that gives a name twice, has no arguments.
+    """
     kept = [c for c in calls.columns if c not in ("fn_name", "args")]
-    return calls.select(
-        *kept,
+    parsed = calls.select(
+        F.struct(*kept).alias("kept"), "fn_name", F.try_parse_json("args").alias("given")
+    )
+
+    def raw(field: str) -> Column:
+        return F.try_variant_get("given", f"$.{field}", "string")
+
+    def kind(field: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get("given", f"$.{field}", "variant"))
+
+    typed = {f: _whole_number(kind(f), raw(f)) for f in _INT_FIELDS}
+    typed |= {f: raw(f) for f in _TEXT_FIELDS}
+    typed["compliance_pass"] = _switch(kind("compliance_pass"), raw("compliance_pass"))
+    return parsed.select(
+        "kept.*",
         F.col("fn_name").alias("action_type"),
         *[typed[f].alias(f) for f in fv.ACTION_FIELDS],
     )

@@ -717,7 +717,7 @@ def stream_budget_meter(spark: SparkSession, folder: str) -> DataFrame:
     # A micro-batch takes whole files of about this many bytes.
     stream = (
         spark.readStream.schema(schema)
-        .option("maxBytesPerTrigger", "8g")
+        .option("maxBytesPerTrigger", 8 << 30)
         .parquet(f"{folder}/events*.parquet")
     )
     metered = meter.meter_stream(inputs.as_actions(stream), *inputs.ORDER)

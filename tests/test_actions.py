@@ -95,6 +95,10 @@ ARGUMENTS = [
     ('{"compliance_pass": "null"}', {}),
     ('{"compliance_pass": null}', {}),
     ('{"violation_type": "x", "other": 1}', {"violation_type": "x"}),
+    ('{"violation_type": 7, "turn_index": 1e1}', {"violation_type": "7", "turn_index": 10}),
+    ('{"compliance_pass": 1.0}', {"compliance_pass": False}),
+    ('{"turn_index": 99999999999, "start_turn": [1], "end_turn": {"a": 2}}', {}),
+    ("[1, 2]", {}),
     ('{"turn_index": 3', {}),
     ("", {}),
     (None, {}),
