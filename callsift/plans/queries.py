@@ -668,17 +668,12 @@ def emit_run_log(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_run_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Emitted lines in text files, each with whole logs, read and parsed back."""
+    """Emitted lines as one log of many files, read and parsed back where they stand."""
     path = new_folder(spark, "log")
-    log = F.floor(F.col("episode_id") / 16)
-    (
-        emit_run_log(spark, folder)
-        .repartition(log)
-        .sortWithinPartitions("episode_id", "line_no")
-        .select("line")
-        .write.text(path)
-    )
-    parsed = runlog.parse_run_log(runlog.read_log_lines(spark, path))
+    lines = emit_run_log(spark, folder)
+    ordered = lines.orderBy("episode_id", "line_no").select("line")
+    ordered.write.text(path)
+    parsed = runlog.parse_log_files(spark, path, one_log=True)
     return parsed.drop("source", "episode", "chunk", "pos")
 
 

@@ -8,6 +8,11 @@ position of a record's first turn. A call in a single record may leave them out.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callsift.operators.scan import BROADCAST_ROWS
+from callsift.sources.json_array import read_array
+from callsift.sources.shared_dir import written
+from callsift.sources.splits import read_pieces
+
 CALL_SCHEMA = """
     id string, part int, parts int, first int, difficulty string,
     metadata struct<department string, call_reason string,
@@ -25,32 +30,45 @@ CALL_SCHEMA = """
 
 
 def read_calls(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Records of a JSON array (``multiline``) or of JSON lines.
+    """Records of JSON arrays (``multiline``) or of JSON lines; both are read in parallel.
 
     Of records with the same id the last one in file order is kept, with the other
-    parts that it counts in ``parts``. Prefer JSON lines for large corpora: only they
-    can be split within a file.
+    parts that it counts in ``parts``. Which these are is told from ids and places alone;
+    transcripts are parsed afterwards, where they stand, and of current records only.
+    Records without id, and text that is no record, are left out.
     """
-    raw = spark.read.schema(CALL_SCHEMA).json(path, multiLine=multiline)
-    place = F.struct(
-        F.col("_metadata.file_path"),
-        F.col("_metadata.file_block_start"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    placed = raw.select(
-        F.struct("*").alias("call"),
-        place.alias("place"),
-        F.col("id"),
-        F.coalesce("part", F.lit(0)).alias("part"),
+    if multiline:
+        records = read_array(spark, path)
+    else:
+        lines = read_pieces(spark, path).where(F.trim("value") != "")
+        records = lines.select("source", "chunk", F.col("place").alias("nth"), F.col("value").alias("text"))
+    head = F.from_json("text", "id string, part int, parts int").alias("head")
+    named = records.select(*_PLACE, head).where("head.id IS NOT NULL")
+    places = written(
+        named.select(*_PLACE, "head.id", F.coalesce("head.part", F.lit(0)).alias("part"), "head.parts"),
+        "call-places",
     )
-    newest = placed.groupBy("id").agg(
-        F.coalesce(F.max_by("call.parts", "place"), F.lit(1)).alias("parts")
-    )
-    last = placed.groupBy("id", "part").agg(F.max_by("call", "place").alias("call"))
-    current = last.join(newest, "id").where(
-        F.col("part") < F.col("parts")
+    superseded = written(_superseded(places), "superseded-calls")
+    if superseded.count() <= BROADCAST_ROWS:
+        superseded = F.broadcast(superseded)
+    current = records.join(superseded, _PLACE, "left_anti")
+    call = current.select(F.from_json("text", CALL_SCHEMA).alias("call")).where("call.id IS NOT NULL")
+    part = F.coalesce("call.part", F.lit(0)).alias("part")
+    return call.select("call.id", part, *[f"call.{c}" for c in _FIELDS])
+
+
+_PLACE = ["source", "chunk", "nth"]
+
+
+def _superseded(places: DataFrame) -> DataFrame:
+    """Places of records that a later one replaces, or does not count as a part."""
+    place = F.struct(*_PLACE)
+    newest = places.groupBy("id").agg(
+        F.coalesce(F.max_by("parts", place), F.lit(1)).alias("counted")
     )
-    return current.select("id", "part", *[f"call.{c}" for c in _FIELDS])
+    last = places.groupBy("id", "part").agg(F.max(place).alias("last"))
+    kept = last.join(newest, "id").where(F.col("part") < F.col("counted"))
+    return places.join(kept.select("last.*"), _PLACE, "left_anti").select(*_PLACE)
 
 
 _FIELDS = ["first", "difficulty", "metadata", "turns", "ground_truth"]

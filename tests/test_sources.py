@@ -1,4 +1,7 @@
+import contextlib
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +9,7 @@ from pyspark.sql import functions as F
 from callsift.operators import grading
 from callsift.operators import replay as rp
 from callsift.plans import inputs
-from callsift.sources import corpus, results, runlog, shared_dir
+from callsift.sources import corpus, json_array, results, runlog, shared_dir
 
 
 def test_written_tables_go_to_the_configured_folder(spark):
@@ -135,7 +138,7 @@ def test_log_survives_text_files(spark, small, tmp_path):
         .select("line")
         .write.text(path)
     )
-    parsed = runlog.parse_run_log(runlog.read_log_lines(spark, path))
+    parsed = runlog.parse_log_files(spark, path)
     assert parsed.where("_corrupt IS NOT NULL").count() == 0
     got = parsed.where("kind = 'STEP'").select(
         F.col("task").cast("long").alias("episode_id"), "step", "done", "error"
@@ -160,7 +163,7 @@ CONSOLE = """noise before
 
 def test_console_log_with_lost_start_and_cut_lines(spark, tmp_path):
     (tmp_path / "a.log").write_text(CONSOLE)
-    parsed = runlog.parse_run_log(runlog.read_log_lines(spark, str(tmp_path)))
+    parsed = runlog.parse_log_files(spark, str(tmp_path))
     rows = parsed.orderBy("pos").collect()
     assert [(r.kind, r.episode, r.task) for r in rows] == [
         ("", 0, None), ("STEP", 0, None), ("STEP", 0, None), ("END", 0, None),
@@ -176,6 +179,127 @@ def test_console_log_with_lost_start_and_cut_lines(spark, tmp_path):
     )
 
 
+@contextlib.contextmanager
+def _settings(spark, **values):
+    names = {k.replace("__", "."): str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _split(size, batch):
+    return {
+        "spark__sql__files__maxPartitionBytes": size,
+        "spark__sql__files__openCostInBytes": 1,
+        "spark__sql__execution__arrow__maxRecordsPerBatch": batch,
+    }
+
+
+def test_log_lines_in_any_splits(spark, tmp_path):
+    """Starts lost, doubled and late; logs without ends; a file of one long episode."""
+    rng = random.Random(4)
+    kinds = ["[START] task=t{} env=e model=m", "[STEP] step={} action=a() reward=0.00 done=false error=null", "[END] success=true steps={} rewards=0.00", "noise {}"]
+    logs = {}
+    for name, weights, n in (("a", (3, 9, 3, 1), 400), ("b", (1, 30, 0, 1), 300), ("c", (1, 60, 1, 1), 500), ("d", (0, 1, 0, 0), 1)):
+        lines = [rng.choices(kinds, weights)[0].format(k) for k in range(n)]
+        (tmp_path / f"{name}.log").write_text("\n".join(lines) + "\n")
+        logs[name] = lines
+
+    def numbered(lines):
+        episodes, tasks, at = [], {}, 0
+        for line in lines:
+            episodes.append(at)
+            if line.startswith("[START] "):
+                tasks[at] = line.split("task=")[1].split(" ")[0]
+            at += line.startswith("[END] ")
+        return [(x, e, tasks.get(e)) for x, e in zip(lines, episodes, strict=True)]
+
+    apart = {name: numbered(lines) for name, lines in logs.items()}
+    together = numbered([x for name in sorted(logs) for x in logs[name]])
+    for size, batch in ((700, 5), (700, 10_000), (5_000, 50), ("128m", 10_000)):
+        with _settings(spark, **_split(size, batch)):
+            rows = runlog.read_log_lines(spark, str(tmp_path)).orderBy("source", "chunk", "pos").collect()
+            for name, expected in apart.items():
+                got = [(r.line, r.episode, r.task) for r in rows if r.source.endswith(f"/{name}.log")]
+                assert got == expected
+            if size == 700:
+                assert len({(r.source, r.chunk) for r in rows}) > 20
+            one = runlog.read_log_lines(spark, str(tmp_path), one_log=True).collect()
+            assert sorted((r.line, r.episode, str(r.task)) for r in one) == sorted((x, e, str(t)) for x, e, t in together)
+
+
+def test_parsed_lines_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "a.log").write_text(CONSOLE)
+    plan = runlog.parse_log_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert not re.search(r"Exchange (hash|range|single)|SortMergeJoin|Window", plan)
+
+
+def test_beyond_few_splits_rows_come_back_in_order(spark, tmp_path, monkeypatch):
+    from callsift.sources import splits
+
+    monkeypatch.setattr(splits, "BROADCAST_ROWS", 0)
+    (tmp_path / "a.log").write_text(CONSOLE * 40)
+    with _settings(spark, **_split(900, 7)):
+        many = runlog.read_log_lines(spark, str(tmp_path)).collect()
+    monkeypatch.undo()
+    assert sorted(map(str, many)) != []
+    with _settings(spark, **_split(900, 7)):
+        few = runlog.read_log_lines(spark, str(tmp_path)).collect()
+    assert sorted(map(str, many)) == sorted(map(str, few))
+
+
+def _json_value(rng, depth):
+    kind = rng.randint(0, 6)
+    if kind == 0:
+        return {_json_text(rng, 3): _json_value(rng, depth - 1) if depth else 1 for _ in range(rng.randint(0, 3))}
+    if kind == 1:
+        return [_json_value(rng, depth - 1) if depth else 2 for _ in range(rng.randint(0, 3))]
+    return _json_text(rng, rng.randint(0, 12))
+
+
+def _json_text(rng, n):
+    return "".join(rng.choice('ab"\\{}[]é\n ,:🙂') for _ in range(n))
+
+
+def test_json_arrays_in_any_splits(spark, tmp_path):
+    """Braces and quotes in strings, escapes, records over many splits, odd elements."""
+    rng = random.Random(3)
+    expected = []
+    for f, n in enumerate((0, 1, 250)):
+        records = [{"id": k, "x": _json_value(rng, 3), "s": "}" * rng.randint(0, 3) + '\\"{'} for k in range(n)]
+        if f == 2:
+            records[7]["big"] = [{"k": "}" * 9} for _ in range(300)]
+        expected += records
+        odd = [3, "x{", None, [1, [2]]] if f == 2 else []
+        text = json.dumps([*odd, *records, *odd], ensure_ascii=bool(f % 2), indent=2 if f == 1 else None)
+        (tmp_path / f"{f}.json").write_text(text)
+    for size, batch in ((1_500, 7), (1_500, 10_000), ("128m", 10_000)):
+        with _settings(spark, **_split(size, batch)):
+            rows = json_array.read_array(spark, str(tmp_path)).orderBy("source", "chunk", "nth").collect()
+        assert [json.loads(r.text) for r in rows] == expected
+        if size == 1_500:
+            assert len({r.chunk for r in rows}) > 5
+
+
+def test_calls_of_an_array_keep_the_last_version(spark, tmp_path):
+    turn = {"speaker": "agent", "text": 'a "}" b'}
+    calls = [{"id": f"c{k % 40}", "turns": [turn] * (k + 1), "difficulty": None} for k in range(60)] + [{"turns": []}]
+    (tmp_path / "calls.json").write_text(json.dumps(calls))
+    with _settings(spark, **_split(2_000, 16)):
+        read = corpus.read_calls(spark, str(tmp_path))
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        got = {r["id"]: len(r["turns"]) for r in read.collect()}
+    assert got == {f"c{k}": (k + 41 if k < 20 else k + 1) for k in range(40)}
+    # Transcripts meet no aggregation; only the pieces of cut records are gathered.
+    assert "max_by" not in plan
+
+
 def test_a_shorter_later_call_replaces_all_parts_of_an_earlier_one(spark, tmp_path):
     import json
 
