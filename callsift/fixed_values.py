@@ -200,6 +200,8 @@ TASKS = [
 SCREEN_DISCLOSURE = (
     r"call may be recorded|call is being recorded|recorded for quality"
 )
+COLLECTIONS = "Collections"
+SCREEN_DEBT_DISCLOSURE = r"this is an attempt to collect a debt"
 SCREEN_SUPERVISOR_REQUEST = (
     r"i want to speak to a supervisor|let me talk to your manager|get me someone else"
 )
@@ -214,6 +216,9 @@ SCREEN_COMMITMENT = (
 )
 SCREEN_HEDGE = r"typically|usually|you might expect|submit the request for review"
 SCREEN_CONFUSED = r"hello\?|are you still there"
+SCREEN_HOLD_ASKED = r"may i place you on a brief hold"
+SCREEN_CUSTOMER_PAUSE = r"let me grab my account number"
+SCREEN_APOLOGY = r"sorry about that"
 SCREEN_FULL_SSN = r"give me your social security number|your full social security number"
 SCREEN_LAST_FOUR = r"last four"
 SCREEN_DISCOUNT = (

@@ -18,7 +18,9 @@ def screen_hold_gaps(
     """Silences that may be an unannounced hold, with a severity.
 
     Medium if the customer's turn after the silence shows confusion or the
-    silence is long; low if it is short and draws no complaint.
+    silence is long; low if it is short and draws no complaint. A silence is no
+    candidate if the customer asked for it in the turn before, or if the agent asked
+    for a hold there. An agent who comes back with an apology points to a hold.
     """
     gap = F.col("silence_gap_before_seconds")
     customer_now = F.when(F.col("speaker") == "customer", F.col("text"))
@@ -26,14 +28,22 @@ def screen_hold_gaps(
     reply = F.lower(F.coalesce(customer_now, customer_next, F.lit("")))
     confused = reply.rlike(fv.SCREEN_CONFUSED)
     long = gap >= fv.HOLD_GAP_SECONDS
+    earlier = F.lower("before_text")
+    agreed = F.coalesce(
+        (F.col("before_speaker") == "customer") & earlier.rlike(fv.SCREEN_CUSTOMER_PAUSE)
+        | (F.col("before_speaker") == "agent") & earlier.rlike(fv.SCREEN_HOLD_ASKED),
+        F.lit(False),
+    )
+    apologised = (F.col("speaker") == "agent") & _phrase(fv.SCREEN_APOLOGY)
     return (
         turn_context(turns)
-        .where(gap >= threshold)
+        .where((gap >= threshold) & ~agreed)
         .select(
             "call_id",
             "pos",
             gap.alias("gap_seconds"),
             confused.alias("customer_confused"),
+            apologised.alias("agent_apologised"),
             F.when(confused | long, "medium").otherwise("low").alias("severity"),
         )
     )
@@ -43,19 +53,22 @@ def _phrase(pattern: str) -> Column:
     return F.lower("text").rlike(pattern)
 
 
-def screen_rubric(turns: DataFrame) -> DataFrame:
+def screen_rubric(turns: DataFrame, calls: DataFrame) -> DataFrame:
     """Per call: the first turn of every phrase screen, null if none.
 
+    ``calls`` holds (call_id, department). A Collections call also lacks its disclosure
+    if the agent's first turn does not tell of the debt; that is null for others.
     Everything is a minimum or a count, so a long call is summed up before it
     is shuffled.
     """
     agent = F.col("speaker") == "agent"
     customer = F.col("speaker") == "customer"
-    # The agent's first turn carries its disclosure bit in the lowest digit.
+    # The agent's first turn carries what it lacks in its lowest bits.
     opening = F.when(
         agent,
-        F.col("pos").cast("long") * 2
-        + F.when(_phrase(fv.SCREEN_DISCLOSURE), 0).otherwise(1),
+        F.col("pos").cast("long") * 4
+        + F.when(_phrase(fv.SCREEN_DISCLOSURE), 0).otherwise(1)
+        + F.when(_phrase(fv.SCREEN_DEBT_DISCLOSURE), 0).otherwise(2),
     )
 
     def first(condition: Column) -> Column:
@@ -77,9 +90,12 @@ def screen_rubric(turns: DataFrame) -> DataFrame:
             agent & _phrase(fv.SCREEN_DISCOUNT) & ~_phrase(fv.SCREEN_DISCOUNT_OK)
         ).alias("discount_pos"),
     )
-    return found.select(
+    lacks = F.col("opening") % 4
+    collecting = F.col("department") == fv.COLLECTIONS
+    return found.join(calls.select("call_id", "department"), "call_id", "left").select(
         "call_id",
-        (F.col("opening") % 2 == 1).alias("disclosure_missing"),
+        (lacks % 2 == 1).alias("disclosure_missing"),
+        F.when(collecting, lacks >= 2).alias("debt_disclosure_missing"),
         "supervisor_request_pos",
         "deflection_pos",
         "commitment_pos",

@@ -37,6 +37,10 @@ PLANTS = [
     "Hello? Are you still there?",
     "Thanks Dana, the annual fee is $45.99 at 3.95%.",
     "I'm Ann, and Tom Reed is on the line, this is not Omar.",
+    "This is an attempt to collect a debt, and this call is being recorded.",
+    "Sorry about that, where were we?",
+    "May I place you on a brief hold?",
+    "One moment, let me grab my account number.",
     "",
 ]
 DIFFICULTIES = ["easy", "medium", "hard"]
@@ -110,6 +114,13 @@ def turns(spark: SparkSession, folder: str, target_rows: int | None = None) -> D
     )
 
 
+def departments(spark: SparkSession, folder: str) -> DataFrame:
+    """(call_id, department), from the conversations' ids alone."""
+    call = F.floor(F.col("conv_id") / F.lit(3)).alias("call_id")
+    ids = table(spark, folder, "conversations").select(call).distinct()
+    return ids.select("call_id", pick(DEPARTMENTS, F.col("call_id") % 4).alias("department"))
+
+
 def calls(turns_df: DataFrame) -> DataFrame:
     """Metadata per call; two of five calls carry sentiment markers."""
     call = F.col("call_id")

@@ -110,7 +110,7 @@ _cte(
          ELSE 'system' END AS speaker,
     CASE WHEN plant = '' THEN text ELSE plant || ' ' || text END AS text,
     10 + length(text) % 400 AS dur
-    FROM (SELECT *, {_pick(inputs.PLANTS, "(conv_id * 5 + turn) % 24")} AS plant
+    FROM (SELECT *, {_pick(inputs.PLANTS, "(conv_id * 5 + turn) % " + str(len(inputs.PLANTS)))} AS plant
           FROM conversations)""",
 )
 _cte(
@@ -916,14 +916,20 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["screen_hold_gaps"] = _sql(
         f"""SELECT call_id, pos, {_GAP} AS gap_seconds, {_CONFUSED} AS customer_confused,
+        speaker = 'agent' AND {_has(fv.SCREEN_APOLOGY)} AS agent_apologised,
         CASE WHEN {_CONFUSED} OR {_GAP} >= 30 THEN 'medium' ELSE 'low' END AS severity
-        FROM context WHERE {_GAP} >= 5""",
+        FROM context WHERE {_GAP} >= 5 AND NOT coalesce(CASE before_speaker
+            WHEN 'customer' THEN regexp_matches(lower(before_text), {_q(fv.SCREEN_CUSTOMER_PAUSE)})
+            WHEN 'agent' THEN regexp_matches(lower(before_text), {_q(fv.SCREEN_HOLD_ASKED)}) END, false)""",
         "context",
     )
     agent = "speaker = 'agent'"
     sql["screen_rubric"] = _sql(
         f"""SELECT call_id, NOT arg_min({_has(fv.SCREEN_DISCLOSURE)}, pos)
             FILTER (WHERE {agent}) AS disclosure_missing,
+        CASE WHEN {_pick(inputs.DEPARTMENTS, "call_id % 4")} = {_q(fv.COLLECTIONS)}
+            THEN NOT arg_min({_has(fv.SCREEN_DEBT_DISCLOSURE)}, pos)
+            FILTER (WHERE {agent}) END AS debt_disclosure_missing,
         {_first_pos(f"speaker = 'customer' AND {_has(fv.SCREEN_SUPERVISOR_REQUEST)}",
                     "supervisor_request_pos")},
         {_first_pos(f"{agent} AND {_has(fv.SCREEN_DEFLECTION)}", "deflection_pos")},

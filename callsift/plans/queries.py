@@ -348,7 +348,9 @@ def screen_hold_gaps(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def screen_rubric(spark: SparkSession, folder: str) -> DataFrame:
-    return screens.screen_rubric(inputs.turns(spark, folder))
+    return screens.screen_rubric(
+        inputs.turns(spark, folder), inputs.departments(spark, folder)
+    )
 
 
 # --- Redaction --------------------------------------------------------------------

@@ -76,9 +76,39 @@ def test_chunk_requests(spark):
     assert by_request == {1: {1, 2, 3}, 7: {5}, 8: {0, 1, 2, 3, 4}}
 
 
-def _screened(spark, said):
+def _screened(spark, said, department="Billing"):
     rows = [(1, i, i, who, text, 0.0, 0.0) for i, (who, text) in enumerate(said)]
-    return screens.screen_rubric(spark.createDataFrame(rows, TURN)).first()
+    calls = spark.createDataFrame([(1, department)], "call_id long, department string")
+    return screens.screen_rubric(spark.createDataFrame(rows, TURN), calls).first()
+
+
+def test_collections_calls_must_tell_of_the_debt(spark):
+    debt = "This is an ATTEMPT to collect a debt; the call may be recorded"
+    recorded = "This call may be recorded"
+    for department, turns, missing in (
+        ("Collections", [("customer", debt), ("agent", recorded), ("agent", debt)], (False, True)),
+        ("Collections", [("customer", "hi"), ("agent", debt)], (False, False)),
+        ("Collections", [("customer", debt)], (None, None)),
+        ("Billing", [("agent", recorded)], (False, None)),
+    ):
+        got = _screened(spark, turns, department)
+        assert (got.disclosure_missing, got.debt_disclosure_missing) == missing
+
+
+def test_holds_that_were_asked_for(spark):
+    rows = [
+        (1, 0, 0, "customer", "Let me grab my account number", 0.0, 1.0),
+        (1, 1, 1, "customer", "here it is", 50.0, 51.0),
+        (1, 2, 2, "agent", "may I place you on a brief hold?", 52.0, 53.0),
+        (1, 3, 3, "agent", "Sorry about that", 90.0, 91.0),
+        (1, 4, 4, "agent", "let me grab my account number", 92.0, 93.0),
+        (1, 5, 5, "agent", "Sorry about that", 101.0, 102.0),
+        (1, 6, 6, "customer", "sorry about that", 110.0, 111.0),
+    ]
+    got = screens.screen_hold_gaps(spark.createDataFrame(rows, TURN)).orderBy("pos")
+    assert [(r.pos, r.agent_apologised, r.severity) for r in got.collect()] == [
+        (5, True, "low"), (6, False, "low"),
+    ]
 
 
 def test_rubric_screens_and_their_exceptions(spark):
