@@ -16,6 +16,10 @@ from callsift.sources.shared_dir import written
 from callsift.sources.splits import before, read_pieces, scanned, summaries, with_states
 
 
+#: Steps whose rewards are joined at once.
+STEPS_TOGETHER = 4_096
+
+
 def action_text() -> Column:
     """``name(param=value,…)`` with the parameters a step was given."""
     shown = {
@@ -37,8 +41,8 @@ def emit_run_log(steps: DataFrame, env: str, model: str) -> DataFrame:
     """(episode_id, line_no, line) from rewarded steps: start, steps, end.
 
     Step lines are written row by row; only the rewards, a few characters a step,
-    are gathered for the end line, which names all of them. ``steps`` are read
-    twice, so a written table serves best.
+    are gathered for the end line, which names all of them, in two levels. ``steps`` are
+    read twice, so a written table serves best.
     """
     written = steps.select(
         "episode_id",
@@ -69,12 +73,19 @@ def emit_run_log(steps: DataFrame, env: str, model: str) -> DataFrame:
     lines = F.concat(
         F.coalesce(opening, F.array()), F.array(entry(F.col("step"), step_line))
     )
-    paid = F.array_sort(F.collect_list(F.struct("step", "paid")))
-    ends = written.groupBy("episode_id").agg(
-        F.array_join(F.transform(paid, lambda s: s["paid"]), ",").alias("rewards"),
+    # Rewards are joined to text in pieces, then the pieces: no buffer holds all steps.
+    pieces = written.groupBy(
+        "episode_id", F.floor(F.col("step") / STEPS_TOGETHER).alias("piece")
+    ).agg(
+        _joined("step", "paid").alias("paid"),
         F.max("step").alias("last_step"),
         F.max("final_score").alias("final_score"),
     )
+    ends = pieces.groupBy("episode_id").agg(
+        _joined("piece", "paid").alias("rewards"),
+        F.max("last_step").alias("last_step"),
+        F.max("final_score").alias("final_score"),
+    )
     success = F.lower((F.col("final_score") >= fv.SUCCESS_SCORE).cast("string"))
     end = F.format_string(fv.LOG_END, success, "last_step", "rewards")
     return written.select("episode_id", F.inline(lines)).unionByName(
@@ -83,6 +94,12 @@ def emit_run_log(steps: DataFrame, env: str, model: str) -> DataFrame:
     )
 
 
+def _joined(order: str, text: str) -> Column:
+    """Texts of a group in order, with commas between them."""
+    entries = F.array_sort(F.collect_list(F.struct(order, text)))
+    return F.array_join(F.transform(entries, lambda e: e[text]), ",")
+
+
 def read_log_lines(spark: SparkSession, path: str, one_log: bool = False) -> DataFrame:
     """Lines of log files with their episode and its task: source, chunk, pos, line, …
 
