@@ -3,9 +3,8 @@
 Both token sequences of a text are given by their end offsets in bytes. Where both end
 at the same byte the text is cut into groups. Two walkers go through the end arrays;
 the difference of their indices is the current shift (the diagonal). From a cut on the
-arrays are compared at that shift over stretches of doubling length, and the first
-difference is closed in by halving; what was equal is a run of one-to-one groups and is
-jumped as a whole. What follows a run is one irregular group: it is resolved by a small
+arrays are compared at that shift over stretches of doubling length up to the first
+difference; what was equal is a run of one-to-one groups and is jumped as a whole. What follows a run is one irregular group: it is resolved by a small
 merge of both arrays up to the next common end, which sets the new shift.
 
 Tokens are linked where their bytes overlap. How often a pair of ids is linked in the
@@ -30,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,46 +37,50 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 #: Links of a block, unless one document has more.
 BLOCK_LINKS = 1 << 21
+#: Bytes of the first stretch that is compared; an end takes four.
+_PROBE = 32
 #: A pair of ids as one number: the second id times this, plus the first.
 PAIR = 1 << 32
 
 
-def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]], list[int], list[int]]:
-    """Groups of two ascending lists of ends with the same last value.
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]], list[int], list[int]]:
+    """Groups of two ascending arrays of ends above 0 with the same last value.
 
     Gives the runs of one-to-one groups as (first a, first b, length), the irregular
     groups as (end a, end b), exclusive, and the links within irregular groups as two
     lists of indices.
     """
     runs, groups, links_a, links_b = [], [], [], []
+    of_a, of_b = (memoryview(np.ascontiguousarray(x, "<u4")) for x in (ends_a, ends_b))
+    raw_a, raw_b = of_a.tobytes(), of_b.tobytes()
+    number = int.from_bytes
     i = j = 0
-    n = len(ends_a)
+    n = len(of_a)
     while i < n:
-        first_a, first_b, width = i, j, 1
-        while i < n and ends_a[i : i + width] == ends_b[j : j + width]:
-            i, j, width = i + width, j + width, width * 2
-        if i > n:  # the last stretch reached over both ends
-            j -= i - n
-            i = n
-        elif i < n:
-            while width > 1:
-                width //= 2
-                if ends_a[i : i + width] == ends_b[j : j + width]:
-                    i, j = i + width, j + width
-        if i > first_a:
-            runs.append((first_a, first_b, i - first_a))
+        first, width, at_a, at_b = i, _PROBE, 4 * i, 4 * j
+        while i < n:
+            # Both stretches as one number each; the lowest bit that differs tells the first end that does.
+            apart = number(raw_a[at_a : at_a + width], "little") ^ number(raw_b[at_b : at_b + width], "little")
+            if apart:
+                i += ((apart & -apart).bit_length() - 1) >> 5
+                break
+            i, at_a, at_b, width = i + width // 4, at_a + width, at_b + width, 2 * width
+        i = min(i, n)
+        if i > first:
+            runs.append((first, j, i - first))
+            j += i - first
         if i == n:
             break
-        a, b = ends_a[i], ends_b[j]
+        a, b = of_a[i], of_b[j]
         while True:
             links_a.append(i)
             links_b.append(j)
             if a < b:
                 i += 1
-                a = ends_a[i]
+                a = of_a[i]
             elif b < a:
                 j += 1
-                b = ends_b[j]
+                b = of_b[j]
             else:
                 break
         i, j = i + 1, j + 1
@@ -89,7 +93,7 @@ class Aligned:
 
     def __init__(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray):
         self.a, self.b = a, b
-        runs, groups, links_a, links_b = align(np.cumsum(size_a).tolist(), np.cumsum(size_b).tolist())
+        runs, groups, links_a, links_b = align(np.cumsum(size_a), np.cumsum(size_b))
         runs = np.array(runs, np.int64).reshape(-1, 3)
         length = runs[:, 2]
         along = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
@@ -126,23 +130,48 @@ def _byte_level() -> dict[str, int]:
     return {chr(x): x for x in plain} | {chr(0x100 + k): x for k, x in enumerate(rest)}
 
 
+def _ranked(file: dict) -> bool:
+    """The merges of a tokenizer file follow one another as the ids of what they make."""
+    model, steps = file["model"], [file["normalizer"], file["pre_tokenizer"]]
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    made = [model["vocab"]["".join(x.split(" ") if isinstance(x, str) else x)] for x in model["merges"]]
+    usual = steps[0] is None and plain | steps[1] == steps[1] | plain and model["type"] == "BPE" and not model.get("dropout")
+    return usual and all(x < y for x, y in zip(made, made[1:], strict=False))
+
+
 @cache
 def byte_level(path: str) -> Vocabulary:
-    """A byte-level file of the tokenizers library; one a worker process."""
+    """A byte-level file of the tokenizers library; one a worker process.
+
+    Where the ids of merged tokens rise with the merges, a merge's rank is its id, and the
+    tiktoken library gives the same ids from the same file in a third of the time.
+    """
+    import json
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import tiktoken
     from tokenizers import Tokenizer
 
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    of = _byte_level()
+    of, added = _byte_level(), {x["content"] for x in parts["added_tokens"]}
     table = [b""] * tokenizer.get_vocab_size()
     for token, k in tokenizer.get_vocab().items():
-        table[k] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
+        table[k] = token.encode() if token in added else bytes(of[c] for c in token)
+    if _ranked(parts):
+        ranks = {x: k for k, x in enumerate(table) if x not in {t.encode() for t in added}}
+        plain = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in tokenizer.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
+        def encode(texts: list[str]) -> list[list[int]]:
+            return [plain.encode_ordinary(" " + x) for x in texts]
+
+    else:
+
+        def encode(texts: list[str]) -> list[list[int]]:
+            return [x.ids for x in tokenizer.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
 
     return Vocabulary(encode, table)
 
@@ -222,14 +251,14 @@ def groups(docs: DataFrame, key: str, text: str, first_path: str, second_path: s
 
 
 @cache
-def _written(path: str, first: bool) -> list[str]:
-    """Each id in decimal, followed by each of the signs that may stand after it."""
-    table = (byte_level(path) if first else pieces(path)).table
-    return [f"{k}{sign}" for k in range(len(table)) for sign in (",", "|" if first else ";")]
+def _written(first_path: str, second_path: str) -> list[str]:
+    """Each id in decimal with each of the signs that may follow: first the one table, then the other."""
+    sides = ((byte_level(first_path), ",|"), (pieces(second_path), ",;"))
+    return [f"{k}{sign}" for side, signs in sides for k in range(len(side.table)) for sign in signs]
 
 
-def _shown(x: Aligned, first: list[str], second: list[str]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the groups in order, their ids in decimal."""
+def _shown(x: Aligned, written: list[str], second: int) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the groups in order; ``second`` is where the second ids begin."""
     last_a, last_b = np.zeros(len(x.a), np.int64), np.zeros(len(x.b), np.int64)
     last_a[x.group_a - 1] = last_b[x.group_b - 1] = 1
     group_of_a, group_of_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
@@ -237,9 +266,8 @@ def _shown(x: Aligned, first: list[str], second: list[str]) -> str:
     at_b = np.arange(len(x.b)) + x.group_a[group_of_b]
     code = np.empty(len(x.a) + len(x.b), np.int64)
     code[at_a] = 2 * x.a + last_a
-    code[at_b] = len(first) + 2 * x.b + last_b
-    both = first + second
-    return "".join(map(both.__getitem__, code.tolist()))[:-1]
+    code[at_b] = second + 2 * x.b + last_b
+    return "".join(map(written.__getitem__, code.tolist()))[:-1]
 
 
 _BLOCK = (
@@ -265,7 +293,7 @@ def blocks(docs: DataFrame, key: str, text: str, first_path: str, second_path: s
         schema = None
         number = TaskContext.get().partitionId() << 32
         first, second = byte_level(first_path), pieces(second_path)
-        signs = _written(first_path, True), _written(second_path, False)
+        shown_as = _written(first_path, second_path)
         rows, pairs, held = [], [], 0
 
         def block() -> pa.RecordBatch:
@@ -291,7 +319,7 @@ def blocks(docs: DataFrame, key: str, text: str, first_path: str, second_path: s
                         yield block()
                         number += 1
                         rows, pairs, held = [], [], 0
-                    shown = hashlib.sha256(_shown(x, *signs).encode()).hexdigest()
+                    shown = hashlib.sha256(_shown(x, shown_as, 2 * len(first.table)).encode()).hexdigest()
                     rows.append({"key": k, "n_a": len(x.a), "n_b": len(x.b), "n_groups": len(x.group_a), "n_links": len(x.link_a), "groups_sha256": shown})
                     pairs.append(x.pairs())
                     held += len(x.link_a)
