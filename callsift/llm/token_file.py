@@ -7,7 +7,8 @@ a control byte gives four lengths, and a running sum gives the places of the byt
 
 A folder holds ``ranks.bin`` (the id of each rank, 32-bit) and data files. A file is
 a run of blocks; a block holds whole documents: a header (magic, documents, ids,
-data bytes), document ids, lengths, control bytes and data bytes. Files in order of
+data bytes), a bit a document that it has an id, document ids, lengths, control bytes
+and data bytes. Files in order of
 their names, and documents in files, ascend by document id; ids of the same value
 keep the order in which they were sorted.
 
@@ -31,7 +32,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader
 from callsift.llm.byte_bpe import Pieces
 from callsift.llm.warc import Files, FilesWriter, listed, opened
 
-MAGIC = b"RVB1"
+MAGIC = b"RVB2"
 #: Ids of a block, unless one document has more.
 BLOCK_IDS = 1 << 18
 PARTITION_BYTES = 32 << 20
@@ -61,26 +62,41 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return raw.reshape(-1).view("<u4")
 
 
-@cache
-def _library(path: str, pattern: str) -> Pieces:
-    """The tokenizers library behind the cache of pre-tokens; one a worker process."""
-    from tokenizers import Tokenizer
+class Library:
+    """The tokenizers library behind the cache of pre-tokens."""
+
+    def __init__(self, path: str, pattern: str):
+        from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+        self._tokenizer = Tokenizer.from_file(path)
+        #: Strings that the library takes for tokens of their own before it splits a text.
+        self._added = [x.content for x in self._tokenizer.get_added_tokens_decoder().values()]
+        self._pieces = Pieces(pattern, self._merge)
 
-    def merge(pieces: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+    def _merge(self, pieces: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(x.ids, "<i4").tobytes() for x in found]
 
-    return Pieces(pattern, merge)
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; texts with added tokens go to the library whole."""
+        marked = [k for k, x in enumerate(texts) if x and any(added in x for added in self._added)]
+        whole = dict(zip(marked, self._merge([texts[k] for k in marked]), strict=True))
+        rest = iter(self._pieces.encode([x for k, x in enumerate(texts) if k not in whole]))
+        return [whole[k] if k in whole else next(rest) for k in range(len(texts))]
+
+
+@cache
+def _library(path: str, pattern: str) -> Library:
+    """One a worker process."""
+    return Library(path, pattern)
 
 
 def encode(text: Column | str, path: str, pattern: str, end_id: int) -> Column:
     """Compressed little-endian ids of each text and the end id, by the tokenizers library.
 
     The library encodes each match of its own split pattern once; a text's ids are
-    those of its matches.
+    those of its matches. Added tokens of the file are found in texts as the library does
+    when loaded: their strings give their ids.
     """
 
     @F.arrow_udf("binary")
@@ -170,7 +186,8 @@ class TokenWriter(FilesWriter):
         values = np.concatenate(parts)
         control, data = pack(values)
         out.write(_HEADER.pack(MAGIC, len(keys), len(values), len(data)))
-        out.write(np.array(keys, "<i8").tobytes())
+        out.write(np.packbits([k is not None for k in keys]).tobytes())
+        out.write(np.array([k or 0 for k in keys], "<i8").tobytes())
         out.write(np.array([len(x) for x in parts], "<u8").tobytes())
         out.write(control)
         out.write(data)
@@ -201,14 +218,15 @@ class TokenReader(DataSourceReader):
                     magic, docs, n, size = _HEADER.unpack(head)
                     if magic != MAGIC:
                         raise ValueError(f"not a token file: {path}")
-                    keys = np.frombuffer(file.read(8 * docs), "<i8")
+                    known = np.unpackbits(np.frombuffer(file.read(-(-docs // 8)), np.uint8), count=docs)
+                    keys = pa.array(np.frombuffer(file.read(8 * docs), "<i8"), mask=known == 0)
                     lengths = np.frombuffer(file.read(8 * docs), "<u8").astype(np.int64)
                     values = ids[unpack(file.read(-(-n // 4)), file.read(size), n)]
                     yield _documents(int(k), place, keys, lengths, values)
                     place += docs
 
 
-def _documents(file: int, place: int, keys: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+def _documents(file: int, place: int, keys: pa.Array, lengths: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
     """The documents of a block; ids as little-endian bytes."""
     ends = np.append(0, np.cumsum(lengths))
     raw = values.astype("<u4").tobytes()
@@ -218,7 +236,7 @@ def _documents(file: int, place: int, keys: np.ndarray, lengths: np.ndarray, val
         [
             pa.array(np.full(n, file, np.int32)),
             pa.array(np.arange(place, place + n, dtype=np.int64)),
-            pa.array(keys),
+            keys,
             pa.array(lengths),
             pa.array(blobs, pa.binary()),
         ],
@@ -247,7 +265,7 @@ def write(encoded: DataFrame, key: str, column: str, folder: str, files: int) ->
     """Writes an ``encode`` column as files in ascending order of an integer key.
 
     ``encoded`` is read three times (counts, range bounds, rows), so it should be a
-    written table. A null key is stored as the smallest long.
+    written table. Null keys come first and stay null.
     """
     ids = ranked(frequencies(encoded, column))
     fs, path = opened(folder)
@@ -255,7 +273,7 @@ def write(encoded: DataFrame, key: str, column: str, folder: str, files: int) ->
     with fs.open_output_stream(posixpath.join(path, "ranks.bin"), compression=None) as out:
         out.write(ids.tobytes())
     encoded.sparkSession.dataSource.register(TokenSource)
-    keyed = encoded.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("doc_id"), F.col(column).alias("blob"))
+    keyed = encoded.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("blob"))
     ordered = keyed.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
     ordered.write.format("ranked_tokens").mode("append").save(folder)
 

@@ -229,6 +229,17 @@ def test_token_alignment(spark, tmp_path_factory, monkeypatch):
         assert collections.Counter(map(tuple, found.select(columns).collect())) == expected
 
 
+def test_both_byte_level_libraries_agree():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(FIRST)
+    library.encode_special_tokens = True
+    texts = [x for x in _texts() if x]
+    texts += [f"a{chr(c)}b {chr(c)}1 {chr(c)}{chr(c)}. " for c in range(1, 0x3000)]
+    wanted = [x.ids for x in library.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
+    assert token_alignment.byte_level(FIRST).encode(texts) == wanted
+
+
 def test_groups_give_ids_and_ends(spark):
     df = spark.createDataFrame([(1, "tokenization of naïve words"), (2, None)], "doc_id bigint, text string")
     rows = {x["doc_id"]: x for x in token_alignment.groups(df, "doc_id", "text", FIRST, SECOND).collect()}
