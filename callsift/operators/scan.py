@@ -128,8 +128,8 @@ def ordered_groups(
     quantiles of the first key in which their rows differ. The rows at a quantile
     are a cell of their own, so a burst at one instant is left alone with itself
     and cut by the next key, however far the others are spread. Cells are cut until
-    none is large. Rows alike in every key cannot be cut; more than ``target_rows``
-    of them raise an error. Groups known to be short need no ``count``.
+    none is large. Rows alike in every key are cut anywhere, as they may stand in any
+    order. Groups known to be short need no ``count``.
     """
     target = target_rows or TARGET_ROWS
     names = [_ORDER.format(i) for i in range(len(order_keys))]
@@ -140,19 +140,16 @@ def ordered_groups(
     chunks = 0
     if count and _has_large(keyed, [*keys, _CHUNK], target):
         checkpoint_root(df.sparkSession)
-        keyed = keyed.checkpoint()
+        # Rows that tie in every key may follow one another in any order: their place in
+        # the stored table cuts them too.
+        place = _ORDER.format(len(names))
+        keyed = keyed.withColumn(place, F.monotonically_increasing_id()).checkpoint()
+        names = [*names, place]
         first = True
         while True:
             # Kept in the shared folder, so that later passes do not count again.
             cells = _cells(keyed, keys, names, target, first).checkpoint()
-            found = cells.agg(
-                F.count("*"), F.count_if("_large"), F.count_if(F.col("_large") & F.col("_key").isNull())
-            ).first()
-            if found[2]:
-                raise ValueError(
-                    f"groups of {keys} hold over {target} rows that their order "
-                    "cannot tell apart"
-                )
+            found = cells.agg(F.count("*"), F.count_if("_large")).first()
             if not found[1]:
                 break
             cells = _with_cuts(keyed, keys, names, cells, found[1]).checkpoint()
