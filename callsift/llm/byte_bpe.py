@@ -6,8 +6,10 @@ bucket is not empty; finding its first set bit gives the next rank. Entries whos
 pair has changed since they were put in are skipped. A pre-token of n bytes costs
 O(n log n) at worst, so very long ones do no harm.
 
-Most pre-tokens of a corpus repeat, so results are kept by chunk (what stands
-between single spaces or line ends) in a cache of bounded size.
+Most pre-tokens of a corpus repeat. Texts are cut into chunks between single blanks or
+line ends, on their bytes; equal chunks are found by a dictionary and encoded once a
+run, and short ones are kept in a cache that is bounded in bytes. Patterns must not let
+a pre-token reach over such a cut (``chunk_starts``).
 
 Null texts are empty; empty texts have no ids. Texts of any length, ties between
 equal ranks (the leftmost pair first) and repeated rows need no special case.
@@ -22,14 +24,18 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED = 300_000
-#: Characters of text split at a time.
-TOGETHER = 4 << 20
-#: Pre-tokens of more bytes are merged one by one.
+from callsift.llm import texts as T
+
+#: Chunks of a generation of the cache.
+CACHED = 60_000
+#: Bytes of text, and chunks of it, that are looked up together.
+TOGETHER, RUN = 8 << 20, 1 << 19
+#: Pre-tokens of more bytes are merged one by one, and chunks of more bytes are not kept.
 LONG = 64
 _SHIFT = 9
 
@@ -198,92 +204,119 @@ class Merger:
         return [out[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def _chunks(text: str) -> list[str]:
-    """Parts of a text between single spaces and line ends.
-
-    A part is meant to follow a space; ``\n`` before it stands for a line end
-    instead, ``\0`` for the start of the text.
+#: White space of more than one byte in UTF-8.
+_WIDE = [chr(x).encode() for x in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_NARROW = np.zeros(256, bool)
+_NARROW[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+#: Letters, digits and other visible characters of ASCII; the apostrophe is of no kind.
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = [0 if x == "'" else 1 if x.isalpha() else 2 if x.isdigit() else 3 for x in map(chr, range(0x21, 0x7F))]
+
+
+def _spaces(data: np.ndarray) -> np.ndarray:
+    """Which bytes are part of white space."""
+    space = _NARROW[data]
+    for lead in {x[0] for x in _WIDE}:
+        at = np.flatnonzero(data == lead)
+        for x in _WIDE if len(at) else ():
+            if x[0] == lead:
+                here = at[at + len(x) <= len(data)]
+                for k in range(1, len(x)):
+                    here = here[data[here + k] == x[k]]
+                for k in range(len(x)):
+                    space[here + k] = True
+    return space
+
+
+def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the chunks of some texts begin, given as UTF-8 bytes and offsets.
+
+    Texts are cut before a single blank or line end that stands between characters
+    that are no white space, and between ASCII characters of different kinds. There a
+    pre-token ends, for patterns whose pre-tokens hold letters, digits or others, at most
+    one blank and no line end before them, and letters after an apostrophe: chunks can
+    be encoded alone.
     """
-    return ("\0" + text.replace("\n", " \n")).split(" ")
-
-
-def _alone(chunk: str) -> str | None:
-    """The text of a chunk whose pre-tokens don't depend on what stands around it."""
-    core = chunk[1:] if chunk[:1] in ("\n", "\0") else chunk
-    if not core or core[0].isspace() or core[-1].isspace():
-        return None
-    return chunk if chunk[0] == "\n" else core if chunk[0] == "\0" else " " + chunk
-
-
-class _Known(dict):
-    """Ids of chunks; a chunk that is not known is noted and stands for itself."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: set[str] = set()
-
-    def __missing__(self, chunk: str) -> str:
-        self.new.add(chunk)
-        return chunk
+    first = np.zeros(len(data), bool)
+    if len(data) > 2:
+        space = _spaces(data)
+        middle = data[1:-1]
+        first[1:-1] = ((middle == 0x20) | (middle == 0x0A)) & ~space[:-2] & ~space[2:]
+        kind = _KIND[data]
+        first[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    first[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(first)
 
 
 class Pieces:
-    """Ids of whole texts, put together from those of their pre-tokens.
+    """Ids of whole texts, put together from those of their chunks.
 
-    ``merge`` turns a list of pre-tokens into their ids, as bytes.
+    ``merge`` turns a list of pre-tokens into their ids, as bytes. Each different chunk
+    of a run of chunks is looked up once. The cache has two generations of ``cached``
+    chunks and those of one run, of ``LONG`` bytes at most: when the younger one is full it
+    becomes the older one, whose chunks go unless they are met again.
     """
 
     def __init__(self, pattern: str, merge, cached: int = CACHED):
         self._find = regex.compile(pattern).findall
         self._merge, self._cached = merge, cached
-        self._pieces: dict[str, bytes] = {}
-        self._chunks = _Known()
-
-    def _learn(self, found: list[list[str]]) -> None:
-        new = list({x for some in found for x in some}.difference(self._pieces))
-        self._pieces.update(zip(new, self._merge(new), strict=True))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        self._now: dict[bytes, bytes] = {}
+        self._was: dict[bytes, bytes] = {}
+
+    def learn(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks that are not known."""
+        found = [self._find(x.decode()) for x in chunks]
+        pieces = list({x for some in found for x in some})
+        of = dict(zip(pieces, self._merge(pieces), strict=True)).__getitem__
+        return [of(some[0]) if len(some) == 1 else b"".join(map(of, some)) for some in found]
+
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of each of some different chunks."""
+        found = list(map(self._now.get, chunks))
+        missed = [k for k, x in enumerate(found) if x is None]
+        for k in missed:
+            found[k] = self._was.get(chunks[k])
+        new = [k for k in missed if found[k] is None]
+        if new:
+            for k, ids in zip(new, self.learn([chunks[k] for k in new]), strict=True):
+                found[k] = ids
+        if len(self._now) > self._cached:
+            self._was, self._now = self._now, {}
+        self._now.update((chunks[k], found[k]) for k in missed if len(chunks[k]) <= LONG)
+        return found
+
+    def _run(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a run of chunks, and how many each has."""
+        coded = chunks.dictionary_encode()
+        found = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        which = coded.indices.to_numpy()
+        each = size[which]
+        ends = np.cumsum(each, dtype=np.int32)
+        shift = (np.cumsum(size, dtype=np.int32) - size)[which] - (ends - each)
+        return np.frombuffer(b"".join(found), "<i4")[np.repeat(shift, each) + np.arange(ends[-1], dtype=np.int32)], each
+
+    def flat(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For slices of the texts, one after another: all ids, and how many each text has."""
+        for some in T.slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", TOGETHER):
+            data, offsets = T.flat(some.column(0))
+            starts = chunk_starts(data, offsets)
+            ends = np.append(starts, len(data)).astype(np.int32)
+            chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+            runs = [self._run(chunks.slice(a, RUN)) for a in range(0, len(starts), RUN)]
+            before = np.append(0, np.cumsum(np.concatenate([np.empty(0, np.int64), *[n for _, n in runs]])))
+            yield (
+                np.concatenate([np.empty(0, "<i4"), *[ids for ids, _ in runs]]),
+                np.diff(before[np.searchsorted(starts, offsets)]),
+            )
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         out: list[bytes] = []
-        some: list[str] = []
-        held = 0
-        for x in texts:
-            some.append(x or "")
-            held += len(some[-1])
-            if held >= TOGETHER:
-                out += self._together(some)
-                some, held = [], 0
-        return out + self._together(some)
-
-    def _together(self, texts: list[str]) -> list[bytes]:
-        if len(self._pieces) > self._cached:
-            self._pieces.clear()
-        if len(self._chunks) > self._cached:
-            self._chunks.clear()
-        known = self._chunks.__getitem__
-        found = [list(map(known, _chunks(x))) if x and "\0" not in x else [] for x in texts]
-        alone = [(chunk, text) for chunk in self._chunks.new if (text := _alone(chunk)) is not None]
-        self._chunks.new = set()
-        pieces = [self._find(text) for _, text in alone]
-        self._learn(pieces)
-        of = self._pieces.__getitem__
-        for (chunk, _), some in zip(alone, pieces, strict=True):
-            self._chunks[chunk] = of(some[0]) if len(some) == 1 else b"".join(map(of, some))
-        return [self._text(x, some) for x, some in zip(texts, found, strict=True)]
-
-    def _text(self, text: str, found: list[bytes | str]) -> bytes:
-        """Joins what was found; a string stands for a chunk that was new then."""
-        try:
-            if found or not text:
-                return b"".join(found)
-        except TypeError:
-            found = [x if x.__class__ is bytes else self._chunks.get(x) for x in found]
-            if None not in found:
-                return b"".join(found)
-        pieces = self._find(text)  # some chunk doesn't stand alone
-        self._learn([pieces])
-        return b"".join(map(self._pieces.__getitem__, pieces))
+        for ids, sizes in self.flat(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())):
+            raw, ends = ids.tobytes(), (4 * np.cumsum(sizes)).tolist()
+            out += [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return out
 
 
 class Encoder:
@@ -305,9 +338,11 @@ class Encoder:
             out[k] = ids
         return out
 
-    def encode(self, texts: list[str | None]) -> pa.Array:
+    def encode(self, texts: list[str | None] | pa.Array) -> pa.Array:
         """A list of ids for each text."""
-        return lists(self.pieces.encode(texts))
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        found = [*self.pieces.flat(texts)]
+        return lists([ids for ids, _ in found], [n for _, n in found])
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -316,11 +351,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
-def lists(parts: list[bytes]) -> pa.Array:
-    """Lists of 32-bit integers from their bytes."""
-    ends = np.zeros(len(parts) + 1, np.int32)
-    np.cumsum([len(x) // 4 for x in parts], out=ends[1:])
-    values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))])
+def lists(ids: list[np.ndarray], sizes: list[np.ndarray]) -> pa.Array:
+    """Lists of 32-bit integers from all values and the lengths of the lists, both in parts."""
+    ends = np.append(0, np.cumsum(np.concatenate([np.empty(0, np.int64), *sizes]))).astype(np.int32)
+    values = pa.array(np.concatenate([np.empty(0, np.int32), *ids]), pa.int32())
     return pa.ListArray.from_arrays(pa.array(ends), values)
 
 
@@ -340,6 +374,11 @@ def _tokens(path: str) -> list[bytes]:
     return table
 
 
+def list_sizes(values: pa.Array) -> np.ndarray:
+    """Length of each list; null has none."""
+    return pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def encode(text: Column | str, path: str, pattern: str) -> Column:
     """Ids of a text column, by the rank file at ``path``: ``array<int>``.
 
@@ -350,7 +389,7 @@ def encode(text: Column | str, path: str, pattern: str) -> Column:
     def encoded(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path, pattern)
         for texts in parts:
-            yield encoder.encode(texts.to_pylist())
+            yield encoder.encode(texts)
 
     return encoded(text)
 
@@ -362,10 +401,11 @@ def decode(ids: Column | str, path: str) -> Column:
     def decoded(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = _tokens(path).__getitem__
         for lists_ in parts:
+            values, ends = lists_.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(list_sizes(lists_)))
             found = []
-            for one in lists_:
-                values = one.values
-                found.append(b"".join(map(of, values.to_numpy(zero_copy_only=False).tolist())) if values is not None else b"")
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                # Some ids at a time, as each is a Python integer for a moment.
+                found.append(b"".join([b"".join(map(of, values[k : min(k + RUN, b)].tolist())) for k in range(a, b, RUN)]))
             yield pa.array(found, pa.binary())
 
     return decoded(ids)

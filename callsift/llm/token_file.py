@@ -24,6 +24,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,26 +63,67 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return raw.reshape(-1).view("<u4")
 
 
-class Library:
-    """The tokenizers library behind the cache of pre-tokens."""
+#: Bytes of new chunks that the library gets as one text.
+_TOGETHER = 16 << 10
+
+
+class Library(Pieces):
+    """The tokenizers library behind the cache of chunks.
+
+    New chunks are put together to texts, as the library works on each call and each result
+    far longer than on a chunk. The ids of a chunk are told by the bytes of tokens.
+    """
 
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
 
+        super().__init__(pattern, None)
         self._tokenizer = Tokenizer.from_file(path)
+        added = self._tokenizer.get_added_tokens_decoder()
         #: Strings that the library takes for tokens of their own before it splits a text.
-        self._added = [x.content for x in self._tokenizer.get_added_tokens_decoder().values()]
-        self._pieces = Pieces(pattern, self._merge)
-
-    def _merge(self, pieces: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        self._added = [x.content for x in added.values()]
+        tokens = self._tokenizer.get_vocab(with_added_tokens=False)
+        self._size = np.zeros(max(tokens.values(), default=-1) + 1, np.int64)
+        for token, k in tokens.items():
+            self._size[k] = len(token)  # a character stands for each byte
+
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<i4").tobytes() for x in found]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def learn(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks; those that begin and end plainly are encoded after one another."""
+        out: list[bytes | None] = [None] * len(chunks)
+        plain = [k for k, x in enumerate(chunks) if len(x) > 1 and x[0] == 0x20 and 0x20 < x[1] < 0x7F and 0x20 < x[-1] < 0x7F]
+        ends = np.cumsum([len(chunks[k]) for k in plain])
+        cuts = [0, *np.flatnonzero(np.diff(ends // _TOGETHER)) + 1, len(plain)]
+        groups = [plain[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
+        texts = [b"".join([chunks[k] for k in some]).decode() for some in groups]
+        for some, text, found in zip(groups, texts, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<i4")
+            at = np.cumsum(self._size[ids])
+            ends = np.cumsum([len(chunks[k]) for k in some])
+            last = np.searchsorted(at, ends)
+            # Where tokens don't end with the chunks, each chunk is encoded alone.
+            if any(x in text for x in self._added) or last[-1] != len(ids) - 1 or (at[last] != ends).any():
+                continue
+            raw, stops = ids.tobytes(), (4 * (last + 1)).tolist()
+            for k, a, b in zip(some, [0, *stops], stops, strict=False):
+                out[k] = raw[a:b]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, ids in zip(rest, self._alone([chunks[k].decode() for k in rest]), strict=True):
+            out[k] = ids
+        return out
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Ids of each text; texts with added tokens go to the library whole."""
-        marked = [k for k, x in enumerate(texts) if x and any(added in x for added in self._added)]
-        whole = dict(zip(marked, self._merge([texts[k] for k in marked]), strict=True))
-        rest = iter(self._pieces.encode([x for k, x in enumerate(texts) if k not in whole]))
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        marks = [pc.fill_null(pc.match_substring(texts, x), False).to_numpy(zero_copy_only=False) for x in self._added]
+        marked = np.flatnonzero(np.logical_or.reduce(marks)) if marks else np.empty(0, np.int64)
+        if not len(marked):
+            return super().encode(texts)
+        whole = dict(zip(marked.tolist(), self._alone(texts.take(pa.array(marked)).to_pylist()), strict=True))
+        rest = iter(super().encode(texts.filter(pa.array(~np.isin(np.arange(len(texts)), marked)))))
         return [whole[k] if k in whole else next(rest) for k in range(len(texts))]
 
 
@@ -94,8 +136,8 @@ def _library(path: str, pattern: str) -> Library:
 def encode(text: Column | str, path: str, pattern: str, end_id: int) -> Column:
     """Compressed little-endian ids of each text and the end id, by the tokenizers library.
 
-    The library encodes each match of its own split pattern once; a text's ids are
-    those of its matches. Added tokens of the file are found in texts as the library does
+    The library encodes each different chunk of a batch; a text's ids are those of its
+    chunks. Added tokens of the file are found in texts as the library does
     when loaded: their strings give their ids.
     """
 
@@ -108,7 +150,7 @@ def encode(text: Column | str, path: str, pattern: str, end_id: int) -> Column:
         small = zstandard.ZstdCompressor(level=3)
         for texts in parts:
             out = []
-            for ids in library.encode(texts.to_pylist()):
+            for ids in library.encode(texts):
                 values = np.append(np.frombuffer(ids, "<i4"), last).astype("<u4")
                 narrow = values.astype("<u2") if not len(values) or values.max() <= 0xFFFF else values
                 out.append(bytes([narrow.itemsize]) + small.compress(narrow.tobytes()))
@@ -123,18 +165,26 @@ def unfold(blob: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if blob[0] == 2 else "<u4").astype(np.uint32)
 
 
+def _added(total: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
+    """Counts of ids with those of some more."""
+    here = np.bincount(np.concatenate([np.empty(0, np.uint32), *parts]), minlength=len(total))
+    here[: len(total)] += total
+    return here
+
+
 def frequencies(encoded: DataFrame, column: str) -> DataFrame:
     """(id, n): how often each id stands in all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                ids = unfold(blob)
-                if len(ids):
-                    here = np.bincount(ids, minlength=len(total))
-                    here[: len(total)] += total
-                    total = here
+            some, held = [], 0
+            for blob in batch.column(0):
+                some.append(unfold(blob.as_py()))
+                held += len(some[-1])
+                if held >= BLOCK_IDS:
+                    total, some, held = _added(total, some), [], 0
+            total = _added(total, some)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 

@@ -39,6 +39,23 @@ def test_bpe_equals_the_library(encoder):
         assert library.encode_ordinary(x or "") == ids.as_py()
 
 
+def test_bpe_of_wide_blanks_and_mixed_kinds(encoder):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
+    rng = random.Random(11)
+    alphabet = "ab1' '\n.(\x85\xa0\u1680\u2003\u202f\u3000\u3001éÁ中😀'st"
+    some = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 80))) for _ in range(4000)]
+    for x, ids in zip(some, encoder.encode(some), strict=True):
+        assert library.encode_ordinary(x) == ids.as_py(), repr(x)
+
+
+def test_a_text_of_twenty_megabytes(encoder):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(5000)]
+    x = " ".join(rng.choice(words) for _ in range(3_600_000))
+    assert len(x) > 20_000_000 and library.encode_ordinary(x) == encoder.encode(["", x, "a"])[1].as_py()
+
+
 def test_one_by_one_and_together_agree(encoder):
     pieces = [x.encode() for x in ("the", "ababababab", "ééé", "aaaaaaaaaaa", "q", " hello", "antidisestablishment")]
     together = encoder._short.merge([x for x in pieces if x not in encoder.ranks])
