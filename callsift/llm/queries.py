@@ -11,6 +11,8 @@ from callsift.sources.shared_dir import new_folder, written
 
 #: Sources are mixed by their number of rows to this power.
 MIX_EXPONENT = 0.7
+#: Slots of the mix that one window numbers the rows of.
+MIX_CELL = 64
 #: From this score on a document is predicted to be good.
 QUALITY_CUT = 0.3
 
@@ -27,7 +29,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its place in the mix of all sources."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
     weights = mixing.power_weights(docs, "source", MIX_EXPONENT)
-    return mixing.positions(mixing.schedule(docs, "doc_id", "source", weights))
+    mixed = mixing.schedule(docs, "doc_id", "source", weights, mixing.BLOCK_ROWS)
+    return mixing.positions(mixed, MIX_CELL)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,6 +84,7 @@ def test_mix_stays_within_a_block(spark):
     [2000.0] + [1.0] * 1500,  # more sources than a period has slots
     [0.37 * 0.8**k for k in range(24)],
     [3.0, 2.9, 1.0, 1e-3, 1e-4],
+    [0.0007, 0.0142, 1.0, 2.0, 0.9836],
 ])
 def test_mix_keeps_to_the_real_weights(spark, shares):
     total, slots = sum(shares), 12_000
@@ -91,7 +92,8 @@ def test_mix_keeps_to_the_real_weights(spark, shares):
     df = spark.createDataFrame(rows, "s int, n int").select("s", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
     df = df.withColumn("id", F.col("s") * 100_000 + F.col("i"))
     weights = spark.createDataFrame(list(enumerate(shares)), "source int, weight double")
-    off = {r["source"]: r["off"] for r in mixing.quotas(weights).collect()}
+    units = {r["source"]: r["units"] for r in mixing.quotas(weights).collect()}
+    whole = sum(units.values())
     found = mixing.schedule(df, "id", "s", weights).orderBy("slot").collect()
     assert len(found) == sum(n for _, n in rows) and all(r["release"] <= r["slot"] < r["deadline"] for r in found)
     assert [r["slot"] for r in found[:slots]] == list(range(slots))
@@ -99,8 +101,33 @@ def test_mix_keeps_to_the_real_weights(spark, shares):
     for r in found[:slots]:  # a source is furthest off just before and just after its own blocks
         w = shares[r["s"]] / total
         most[r["s"]] = max(most[r["s"]], abs(r["block"] - r["slot"] * w), abs(r["block"] + 1 - (r["slot"] + 1) * w))
-    assert max(off.values()) < 2
-    assert all(most[s] <= off[s] + 1e-6 for s in most)
+        assert abs(r["block"] * whole - r["slot"] * units[r["s"]]) < whole  # exactly, by the whole parts that are scheduled
+        assert abs((r["block"] + 1) * whole - (r["slot"] + 1) * units[r["s"]]) < whole
+    assert max(most.values()) < 1 + 1e-6
+
+
+def test_mix_goes_by_earliest_deadlines(spark):
+    """Against a plain scheduler, with blocks of several rows and sources that run out."""
+    rng = random.Random(6)
+    shares, counts = [5.0, 1.0, 0.25, 3.0], [900, 400, 3, 50]
+    rows = [(s * 1000 + k, f"s{s}") for s, n in enumerate(counts) for k in range(n)]
+    rng.shuffle(rows)
+    weights = spark.createDataFrame([(f"s{s}", w) for s, w in enumerate(shares)], "source string, weight double")
+    units = {r["index"]: r["units"] for r in mixing.quotas(weights).collect()}
+    total = sum(units.values())
+    want, done, slot = [], [0] * 4, 0
+    left = [-(-n // 7) for n in counts]
+    while any(left):
+        open_ = [s for s in range(4) if left[s]]
+        slot = max(slot, min(done[s] * total // units[s] for s in open_))
+        due, s = min((-(-(done[s] + 1) * total // units[s]), s) for s in open_ if done[s] * total // units[s] <= slot)
+        want.append((f"s{s}", done[s], slot, done[s] * total // units[s], due))
+        done[s], left[s], slot = done[s] + 1, left[s] - 1, slot + 1
+    found = mixing.schedule(spark.createDataFrame(rows, "id bigint, s string"), "id", "s", weights, block_rows=7)
+    got = found.groupBy("s", "block", "slot", "release", "deadline").agg(F.count("*").alias("n")).orderBy("slot").collect()
+    assert [(r["s"], r["block"], r["slot"], r["release"], r["deadline"]) for r in got] == want
+    assert sum(r["n"] for r in got) == len(rows) and all(r["n"] <= 7 for r in got)
+    assert found.select("slot", "in_block").distinct().count() == len(rows)
 
 
 def test_mix_of_weights_that_are_none(spark):
