@@ -52,7 +52,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     docs = docs.select(*COLUMNS)
     weights = mixing.power_weights(docs, "source", MIX_EXPONENT)
-    return mixing.schedule(docs, "doc_id", "source", weights).orderBy("slot", "in_block").select(*COLUMNS)
+    return mixing.schedule(docs, "doc_id", "source", weights, mixing.BLOCK_ROWS).orderBy("slot", "in_block").select(*COLUMNS)
 
 
 def with_places(docs: DataFrame) -> DataFrame:
