@@ -10,15 +10,17 @@ the filters are intersected before a pair is verified.
 * The first order puts rare tokens first, so that tokens of frequent passages hardly
   ever reach a prefix. Its counts cover all documents and are kept in a table of
   fixed size by hash; any order gives the same links.
-* Tokens of a prefix that no other class has bound what a class can share, and so the
-  sizes of its partners; rows of a token without a partner in reach are dropped.
-* The other orders are by seeded hashes. Their prefixes are short arrays beside each
-  class, checked before the sets themselves are intersected.
-* Links are wanted as connected components. First the classes of a token are tested
-  against a few hubs; what is then in one component needs no more tests. In the end
-  every pair that could still join two components is tested, so no link between
-  components is missed, and a large group of near copies costs a few tests a class
-  instead of one a pair.
+* Tokens of a prefix that no other class of a fitting size has are dropped. They bound
+  what a class can share, and so the sizes of its partners.
+* The other orders put rare tokens first too, by bands of their counts and seeded
+  hashes, so each takes other tokens of a passage into the prefix. Candidates must meet
+  under all of them, within the still shorter prefixes that the sizes of the two sets
+  allow; only of pairs that do are the sets fetched and intersected.
+* Links are wanted as connected components. First each class is tested against the hub
+  it shares most prefix tokens with, then against a few more hubs if they are still in
+  other components. In the end every pair that could still join two components is
+  tested, so no link between components is missed, and a large group of near copies
+  costs a few tests a class instead of one a pair.
 
 Words are ``[^\\x20\\x09-\\x0D]+``, ASCII letters in lower case; shingles are told by
 64-bit hashes. Documents without words, null and empty texts link with nothing.
@@ -39,16 +41,18 @@ from callsift.llm import texts as T
 
 WIDTH = 5
 SIMILARITY = 0.75
-#: Seeds of the orders beside the first.
-ORDERS = (0x51ED270B, 0x2545F491)
+#: Steps of ``token_counts`` in a doubling of a count.
+STEPS = 1 << 10
+#: Seeds of the orders, and how many steps of the count are a band. The first one lists candidates.
+ORDERS = ((0, 1), (0x51ED270B, STEPS), (0x2545F491, 2 * STEPS))
 #: Orders by hash that tokens take their hubs from.
 HUB_ORDERS = 8
 #: Rows (two numbers each) of a table that may be broadcast, once they are counted.
 BROADCAST_ROWS = 100_000
 #: The table of token counts has so many cells, in blocks of ``_BLOCK``.
-CELLS = 1 << 21
+CELLS = 1 << 22
 _BLOCK = 1 << 11
-_SEEN = 1 << 20
+_SEEN = 1 << 16
 
 
 def prefix_length(n: int, t: Fraction) -> int:
@@ -66,11 +70,17 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
 
 
+def _first(tokens: np.ndarray, counts: np.ndarray, order: tuple[int, int], p: int) -> np.ndarray:
+    """Where the first ``p`` of some tokens under an order are, in that order."""
+    seed, band = order
+    return np.lexsort((T.mix(tokens ^ np.uint64(seed)), counts[_cells(tokens)] // band))[:p]
+
+
 def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     """A row (id, n, cls) for each document, and rows (block, counts) of token counts."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, small = np.zeros(CELLS, np.int64), zstandard.ZstdCompressor()
+        counts, small = np.zeros(CELLS, np.int32), zstandard.ZstdCompressor()
         kind = None
         names = ["id", "n", "cls", "block", "counts"]
         for batch in batches:
@@ -88,10 +98,10 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
                 )
         if kind is None or not counts.any():
             return
-        blocks = counts.astype("<i8").reshape(-1, _BLOCK)
+        blocks = counts.astype("<i4", copy=False).reshape(-1, _BLOCK)
         used = np.flatnonzero(blocks.any(axis=1))
         none = pa.nulls(len(used))
-        packed = [small.compress(np.minimum(blocks[k], 2**31 - 1).astype("<i4").tobytes()) for k in used]
+        packed = [small.compress(blocks[k].tobytes()) for k in used]
         yield pa.RecordBatch.from_arrays(
             [none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())],
             names,
@@ -103,7 +113,7 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def token_counts(described: DataFrame) -> np.ndarray:
-    """How many sets have a token of each cell: a table of fixed size."""
+    """How many sets have a token of each cell, in steps of its logarithm: a table of fixed size."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, total, large = None, np.zeros(_BLOCK, np.int64), zstandard.ZstdDecompressor()
@@ -112,14 +122,14 @@ def token_counts(described: DataFrame) -> np.ndarray:
                 block = k
                 total += np.frombuffer(large.decompress(raw), "<i4")
         if block is not None:
-            packed = np.minimum(total, 2**31 - 1).astype("<i4").tobytes()
+            packed = (np.log2(total + 1.0) * STEPS).astype("<u2").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed], pa.binary())], ["block", "counts"])
 
     blocks = described.where("block is not null").select("block", "counts")
     summed = blocks.groupBy("block").applyInArrow(add, "block int, counts binary")
-    out = np.zeros((CELLS // _BLOCK, _BLOCK), np.int32)
+    out = np.zeros((CELLS // _BLOCK, _BLOCK), np.uint16)
     for row in summed.collect():  # CELLS numbers at most
-        out[row["block"]] = np.frombuffer(row["counts"], "<i4")
+        out[row["block"]] = np.frombuffer(row["counts"], "<u2")
     return out.reshape(-1)
 
 
@@ -128,12 +138,12 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray, t: Fraction) -> Dat
 
     ``last`` is the count of the last one, by which prefixes end sooner or later.
 
-    A task leaves out classes it has seen already, so copies hardly repeat rows.
+    A task leaves out classes it has seen lately, so copies hardly repeat rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = shared.value, set()
+        counts, seen = shared.value, np.zeros(_SEEN, np.int64)
         for batch in batches:
             for some in T.slices(batch, "text"):
                 token, cls, size, last = [np.empty(0, np.uint64)], [], [], []
@@ -141,16 +151,12 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray, t: Fraction) -> Dat
                     if not len(tokens):
                         continue
                     name = class_of(tokens)
-                    if name in seen:
+                    if seen[name % _SEEN] == name:
                         continue
-                    if len(seen) >= _SEEN:
-                        seen.clear()
-                    seen.add(name)
-                    p = prefix_length(len(tokens), t)
-                    count = counts[_cells(tokens)]
-                    order = np.lexsort((tokens, count))[:p]
-                    token.append(tokens[order])
-                    last.append(count[order[-1]])
+                    seen[name % _SEEN] = name
+                    first = tokens[_first(tokens, counts, ORDERS[0], prefix_length(len(tokens), t))]
+                    token.append(first)
+                    last.append(counts[_cells(first[-1:])][0])
                     cls.append(name)
                     size.append(len(tokens))
                 each = [len(x) for x in token[1:]]
@@ -167,66 +173,56 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray, t: Fraction) -> Dat
     return docs.select(F.col(text).alias("text")).mapInArrow(find, "token bigint, cls bigint, n bigint, last int")
 
 
-def profiles(docs: DataFrame, t: Fraction) -> DataFrame:
-    """(cls, tokens, p0, p1, ...): sets and their prefixes under the other orders.
+def profiles(docs: DataFrame, counts: np.ndarray, t: Fraction) -> DataFrame:
+    """(cls, tokens, n, p0, p1, ...): sets and their prefixes under all orders, in order.
 
     ``docs`` has the columns cls and text; a class may come more than once. A prefix holds 32 bits of each token, which
     can only let more pairs pass.
     """
     names = [f"p{k}" for k in range(len(ORDERS))]
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
         for batch in batches:
             for some in T.slices(batch, "text"):
                 expected = some.column("cls").to_pylist()
-                cls, sets, parts = [], [], [[] for _ in ORDERS]
+                cls, sets, size, parts = [], [], [], [[] for _ in ORDERS]
                 for want, tokens in zip(expected, T.shingle_sets(some.column("text"), WIDTH), strict=True):
                     if not len(tokens) or class_of(tokens) != want:
                         continue
                     cls.append(want)
                     sets.append(tokens.view(np.int64))
+                    size.append(len(tokens))
                     p = prefix_length(len(tokens), t)
-                    for out, seed in zip(parts, ORDERS, strict=True):
-                        placed = np.sort(T.mix(tokens ^ np.uint64(seed)))[:p]
-                        out.append((placed & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
+                    for out, order in zip(parts, ORDERS, strict=True):
+                        first = tokens[_first(tokens, counts, order, p)]
+                        out.append((first & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
                 columns = [pa.array(x, pa.list_(pa.int32())) for x in parts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cls, pa.int64()), pa.array(sets, pa.list_(pa.int64())), *columns], ["cls", "tokens", *names]
+                    [pa.array(cls, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(size, pa.int64()), *columns],
+                    ["cls", "tokens", "n", *names],
                 )
 
-    schema = "cls bigint, tokens array<bigint>, " + ", ".join(f"{x} array<int>" for x in names)
+    schema = "cls bigint, tokens array<bigint>, n bigint, " + ", ".join(f"{x} array<int>" for x in names)
     return docs.select("cls", "text").mapInArrow(find, schema)
 
 
-def _in_reach(rows: DataFrame, t: Fraction) -> DataFrame:
-    """The rows (token, cls, n, last) whose token has a class that may be similar to theirs.
+def _sized(rows: DataFrame, t: Fraction) -> DataFrame:
+    """The rows (token, cls, n, last) with ``most``, the largest size of a similar set.
 
-    ``rows`` holds the prefix tokens that stand in two prefixes or more. Of two
+    ``rows`` holds the prefix tokens that stand in another prefix of a fitting size too. Of two
     classes, take that whose prefix ends first in the order: what it shares with the
     other one among its prefix stands in both prefixes. So it shares n minus its
     tokens that are in no other prefix at most, and as similar sets share t / (1 + t)
-    of their sizes together, that bounds the other's size (``most``). Sizes at a token
-    are summed up in bands of a few hundredths.
+    of their sizes together, that bounds the other's size.
     """
     num, den = t.numerator, t.denominator
     least = F.ceil(F.col("n") * num / den)
     room = least - 1 + F.col("shared")  # n - prefix + shared
     held = rows.groupBy("cls").agg(F.count("*").alias("shared"))
     most = F.floor(room * (num + den) / num).cast("bigint") - F.col("n")
-    sized = rows.join(held, "cls").select("token", "cls", "n", "last", most.alias("most"))
-    band = F.floor(F.log(F.col("n").cast("double")) * 20).cast("int")
-    bands = sized.groupBy("token", band.alias("band")).agg(F.max("most").alias("reach"))
-    listed = bands.groupBy("token").agg(F.collect_list(F.struct("band", "reach")).alias("bands"))
-
-    def of(size: Column) -> Column:
-        return F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) * 20)
-
-    low, high = of(least), of(F.floor(F.col("n") * den / num) + 1)
-    within = of(F.least(F.col("most"), F.floor(F.col("n") * den / num)) + 1)
-    fits = F.exists(
-        "bands", lambda x: x["band"].between(low, within) | (x["band"].between(low, high) & (x["reach"] >= F.col("n")))
-    )
-    return sized.join(listed, "token").where(fits).select("token", "cls", "n", "last", "most")
+    return rows.join(_counted(held), "cls").select("token", "cls", "n", "last", most.alias("most"))
 
 
 def _pair_fits(a: str, b: str, t: Fraction) -> Column:
@@ -258,13 +254,43 @@ def _counted(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def _sides(profile: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """These columns of a profile for the left and for the right class of a pair."""
+    return tuple(profile.select(F.col("cls").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in "ab")
+
+
+_PREFIXES = ["n", *[f"p{k}" for k in range(len(ORDERS))]]
+
+
+def _meet(t: Fraction) -> Column:
+    """Whether the prefixes of a pair share a token under every order.
+
+    Of sets with a_n and b_n tokens that must share ``least``, all but least - 1 make
+    the prefix.
+    """
+    num, den = t.numerator, t.denominator
+    least = F.ceil((F.col("a_n") + F.col("b_n")) * num / (num + den)).cast("bigint")
+
+    def prefix(side: str, k: int) -> Column:
+        return F.slice(f"{side}_p{k}", 1, F.greatest(F.col(f"{side}_n") - least + 1, F.lit(0)).cast("int"))
+
+    met = F.lit(True)
+    for k in range(len(ORDERS)):
+        met = met & F.arrays_overlap(prefix("a", k), prefix("b", k))
+    return met
+
+
+def filtered(pairs: DataFrame, profile: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs (a, b) whose prefixes meet under all orders."""
+    left, right = _sides(profile, _PREFIXES)
+    return _counted(pairs).join(left, "a").join(right, "b").where(_meet(t)).select("a", "b")
+
+
 def verified(pairs: DataFrame, profile: DataFrame, t: Fraction) -> DataFrame:
-    """The pairs (a, b) that are similar: prefixes of all orders meet, then the sets do."""
-    left = profile.select(F.col("cls").alias("a"), *[F.col(c).alias(f"a_{c}") for c in profile.columns if c != "cls"])
-    right = profile.select(F.col("cls").alias("b"), *[F.col(c).alias(f"b_{c}") for c in profile.columns if c != "cls"])
+    """The pairs (a, b) that are similar, by their whole sets."""
+    left, right = _sides(profile, ["tokens"])
+    right = right.join(_counted(pairs.select("b").distinct()), "b", "left_semi")
     both = left.join(_counted(pairs), "a").join(right, "b")
-    for k in range(len(ORDERS)):
-        both = both.where(F.arrays_overlap(f"a_p{k}", f"b_p{k}"))
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     counted = both.select("a", "b", shared.alias("shared"), (F.size("a_tokens") + F.size("b_tokens")).alias("sum"))
     similar = F.col("shared") * t.denominator >= (F.col("sum") - F.col("shared")) * t.numerator
@@ -313,28 +339,31 @@ def _relabelled(labels: DataFrame, links: DataFrame, save) -> DataFrame:
     return save(joined.select("cls", "size", "copies", F.coalesce("root", "comp").alias("comp")), "labels")
 
 
-def _hub_pairs(rows: DataFrame, t: Fraction) -> DataFrame:
-    """Each class with the hubs of each of its tokens.
+def _hub_pairs(rows: DataFrame, t: Fraction, nearest: bool) -> DataFrame:
+    """Each class with the hubs of each of its tokens, as far as they are in other components.
 
-    One is the class with the most copies, the other the first one in an order by
+    With ``nearest`` it is one hub a class: that of most of its tokens. Of a token's hubs one is the class with the most copies, the other the first one in an order by
     hash. Tokens use a few such orders, so the classes of a large group of near
     copies, which share most tokens, meet a few hubs each.
     """
     weights = [F.col("copies"), F.xxhash64(F.pmod("token", F.lit(HUB_ORDERS)), "cls")]
     hubs = rows.groupBy("token").agg(
-        F.array(*[F.max(F.struct(w.alias("weight"), "cls", "size")) for w in weights]).alias("hubs")
+        F.array(*[F.max(F.struct(w.alias("weight"), "cls", "size", "comp")) for w in weights]).alias("hubs")
     )
     pairs = rows.join(hubs.select("token", F.explode("hubs").alias("hub")), "token")
-    pairs = pairs.withColumn("other", F.col("hub.size")).where((F.col("cls") != F.col("hub.cls")) & _pair_fits("size", "other", t))
-    return pairs.select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct()
+    pairs = pairs.withColumn("other", F.col("hub.size")).where((F.col("comp") != F.col("hub.comp")) & _pair_fits("size", "other", t))
+    if nearest:
+        met = pairs.groupBy("cls", F.col("hub.cls").alias("hub")).agg(F.count("*").alias("k"))
+        pairs = met.groupBy("cls").agg(F.max(F.struct("k", "hub"))["hub"].alias("hub")).select("cls", F.struct(F.col("hub").alias("cls")).alias("hub"))
+    return pairs.select(F.col("cls").alias("a"), F.col("hub.cls").alias("b")).distinct()
 
 
-def _open_pairs(rows: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
-    """Every pair of different components that share a token and may be similar.
+def _open_classes(rows: DataFrame, t: Fraction) -> DataFrame:
+    """(a, sa, other): each class with every other component it may still have a link into.
 
-    Of two components at a token, the classes of one are paired with all members of
-    the other; the largest one at the token is always the other. Classes that no set
-    there can match, by the ranges of their sizes, are left out before.
+    Of two components at a token, the classes of one look for links among the members
+    of the other; the largest one at the token is always the other. Classes that no
+    set there can match, by the ranges of their sizes, are left out.
     """
     at = rows.groupBy("token", "comp").agg(
         F.count("*").alias("k"), *[f(f"size.{x}").alias(f"{x}_{f.__name__}") for x in ("n", "last", "most") for f in (F.min, F.max)]
@@ -345,23 +374,36 @@ def _open_pairs(rows: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
     others = at.join(main, "token").withColumnRenamed("comp", "other").drop("k")
     open_ = (F.col("other") == F.col("main")) | (F.col("comp") < F.col("other"))
     wanted = apart.join(others, "token").where(open_ & (F.col("comp") != F.col("other")) & _reaches("size", t))
-    wanted = wanted.select(F.col("cls").alias("a"), F.col("size").alias("sa"), "other")
+    return wanted.select(F.col("cls").alias("a"), F.col("size").alias("sa"), "other").distinct()
+
+
+def _open_pairs(wanted: DataFrame, labels: DataFrame, profile: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs of such classes and members of those components that pass every filter.
+
+    Sizes and the prefixes of all orders are compared within the join, so that
+    only pairs for verification leave it.
+    """
+    left, right = _sides(profile, _PREFIXES)
     members = labels.select(F.col("cls").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("other"))
-    pairs = wanted.distinct().join(members, "other").where(_pair_fits("sa", "sb", t))
+    members = members.join(right, "b")
+    pairs = _counted(wanted).join(left, "a").join(members, "other").where(_pair_fits("sa", "sb", t) & _meet(t))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _prepared(docs: DataFrame, key: str, text: str, save, t: Fraction) -> tuple:
     """Sets, their classes, labels of the classes that may have links, prefix tokens, and
-    a function that returns which of some pairs of classes are similar."""
+    functions that return the profiles of some classes and which of some pairs are similar."""
     described = save(classes(docs, key, text), "sets")
     sets = described.where("block is null").select("id", "n", "cls")
-    rows = prefixes(docs, text, token_counts(described), t).repartition("token")
-    token = Window.partitionBy("token")
+    counts = token_counts(described)
+    rows = prefixes(docs, text, counts, t).repartition("token")
     rows = rows.groupBy("token", "cls", "n", "last").agg(F.count("*").alias("_k"))
-    rows = rows.withColumn("low", F.min("cls").over(token)).withColumn("high", F.max("cls").over(token))
-    rows = save(rows.where("low <> high").select("token", "cls", "n", "last"), "shared-tokens")
-    rows = save(_in_reach(rows, t), "near-tokens")
+    # Of all sizes at a token the next smaller and the next larger one fit first.
+    by_size = Window.partitionBy("token").orderBy("n")
+    fits = [_sizes_fit(F.col("n"), f("n").over(by_size), t) for f in (F.lag, F.lead)]
+    rows = rows.withColumn("_fits", F.coalesce(fits[0], F.lit(False)) | F.coalesce(fits[1], F.lit(False)))
+    rows = save(rows.where("_fits").select("token", "cls", "n", "last"), "shared-tokens")
+    rows = save(_sized(rows, t), "sized-tokens")
 
     grouped = sets.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     size = F.struct("n", "last", "most")
@@ -370,14 +412,17 @@ def _prepared(docs: DataFrame, key: str, text: str, save, t: Fraction) -> tuple:
     narrow = rows.select("token", "cls", size.alias("size"))
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
 
+    def profiled(named: DataFrame) -> DataFrame:
+        wanted = _counted(save(named.distinct().join(used, "cls").select("cls", F.col("id").alias("_id")), "wanted"))
+        return save(profiles(texts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))), counts, t), "profiles")
+
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = save(pairs, "pairs")
-        named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-        wanted = _counted(save(named.join(used, "cls").select("cls", F.col("id").alias("_id")), "wanted"))
-        profile = save(profiles(texts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))), t), "profiles")
-        return save(verified(pairs, profile, t).distinct(), "links")
+        profile = profiled(pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))))
+        close = save(filtered(pairs, profile, t), "candidates")
+        return save(verified(close, profile, t).distinct(), "links")
 
-    return sets, grouped, used.drop("id"), narrow, linked
+    return sets, grouped, used.drop("id"), narrow, profiled, linked
 
 
 def similar_classes(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -388,7 +433,7 @@ def similar_classes(docs: DataFrame, key: str, text: str, save, similarity: floa
     large group of near copies costs as many tests as it has pairs of classes.
     """
     t = Fraction(similarity).limit_denominator(1000)
-    sets, _, _, narrow, linked = _prepared(docs, key, text, save, t)
+    sets, _, _, narrow, _, linked = _prepared(docs, key, text, save, t)
     left = narrow.select("token", F.col("cls").alias("a"), F.col("size").alias("sa"))
     right = narrow.select("token", F.col("cls").alias("b"), F.col("size").alias("sb"))
     pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & _pair_fits("sa", "sb", t))
@@ -415,12 +460,22 @@ def link(docs: DataFrame, key: str, text: str, save, similarity: float = SIMILAR
     need are tested; ``similar_classes`` has them all.
     """
     t = Fraction(similarity).limit_denominator(1000)
-    sets, grouped, labels, narrow, linked = _prepared(docs, key, text, save, t)
+    sets, grouped, labels, narrow, profiled, linked = _prepared(docs, key, text, save, t)
+
+    def placed() -> DataFrame:
+        return narrow.join(_counted(labels.select("cls", "copies", "comp")), "cls")
 
-    for pairs_of in (_hub_pairs, lambda rows, t: _open_pairs(rows, labels, t)):
-        found = linked(pairs_of(narrow.join(labels.select("cls", "copies", "comp"), "cls"), t))
+    for nearest in (True, False):
+        found = linked(_hub_pairs(placed(), t, nearest))
         if not found.isEmpty():
             labels = _relabelled(labels, found, save)
+    wanted = save(_open_classes(placed(), t), "open-classes")
+    inside = labels.join(wanted.select(F.col("other").alias("comp")).distinct(), "comp", "left_semi").select("cls")
+    profile = profiled(wanted.select(F.col("a").alias("cls")).unionByName(inside))
+    pairs = save(_open_pairs(wanted, labels, profile, t), "open-pairs")
+    found = save(verified(pairs, profile, t).distinct(), "links")
+    if not found.isEmpty():
+        labels = _relabelled(labels, found, save)
 
     least = grouped.join(labels.select("cls", "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     roots = least.groupBy("comp").agg(F.min("id").alias("component_id"))
