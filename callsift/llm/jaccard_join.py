@@ -400,8 +400,8 @@ def _prepared(docs: DataFrame, key: str, text: str, save, t: Fraction) -> tuple:
     rows = rows.groupBy("token", "cls", "n", "last").agg(F.count("*").alias("_k"))
     # Of all sizes at a token the next smaller and the next larger one fit first.
     by_size = Window.partitionBy("token").orderBy("n")
-    fits = [_sizes_fit(F.col("n"), f("n").over(by_size), t) for f in (F.lag, F.lead)]
-    rows = rows.withColumn("_fits", F.coalesce(fits[0], F.lit(False)) | F.coalesce(fits[1], F.lit(False)))
+    smaller, larger = (_sizes_fit(F.col("n"), f("n", 1, 0).over(by_size), t) for f in (F.lag, F.lead))  # no set has size 0
+    rows = rows.withColumn("_fits", smaller | larger)
     rows = save(rows.where("_fits").select("token", "cls", "n", "last"), "shared-tokens")
     rows = save(_sized(rows, t), "sized-tokens")
 
