@@ -280,9 +280,10 @@ class Pieces:
         if new:
             for k, ids in zip(new, self.learn([chunks[k] for k in new]), strict=True):
                 found[k] = ids
-        if len(self._now) > self._cached:
+        fresh = [(chunks[k], found[k]) for k in missed if len(chunks[k]) <= LONG][: self._cached]
+        if len(self._now) + len(fresh) > self._cached:
             self._was, self._now = self._now, {}
-        self._now.update((chunks[k], found[k]) for k in missed if len(chunks[k]) <= LONG)
+        self._now.update(fresh)
         return found
 
     def _run(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -401,11 +402,33 @@ def decode(ids: Column | str, path: str) -> Column:
     def decoded(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = _tokens(path).__getitem__
         for lists_ in parts:
-            values, ends = lists_.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(list_sizes(lists_)))
-            found = []
-            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                # Some ids at a time, as each is a Python integer for a moment.
-                found.append(b"".join([b"".join(map(of, values[k : min(k + RUN, b)].tolist())) for k in range(a, b, RUN)]))
-            yield pa.array(found, pa.binary())
+            yield _decoded(lists_, of)
 
     return decoded(ids)
+
+
+def _decoded(lists_: pa.Array, of) -> pa.Array:
+    """The bytes of each list of ids, by ``of`` from an id to its bytes."""
+    values, ends = lists_.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(list_sizes(lists_)))
+    found = []
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        # Some ids at a time, as each is a Python integer for a moment.
+        found.append(b"".join([b"".join(map(of, values[k : min(k + RUN, b)].tolist())) for k in range(a, b, RUN)]))
+    return pa.array(found, pa.binary())
+
+
+def round_trip(text: Column | str, path: str, pattern: str) -> Column:
+    """``encode`` and then ``decode`` in one worker: ``struct<ids array<int>, bytes binary>``.
+
+    The same as the two columns one after another, without a second Python worker on
+    each core that holds a table of the ranks of its own.
+    """
+
+    @F.arrow_udf("ids array<int>, bytes binary")
+    def both(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, of = _encoder(path, pattern), _tokens(path).__getitem__
+        for texts in parts:
+            ids = encoder.encode(texts)
+            yield pa.StructArray.from_arrays([ids, _decoded(ids, of)], ["ids", "bytes"])
+
+    return both(text)

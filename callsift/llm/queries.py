@@ -111,8 +111,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to ids and decoded again, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents")
-    ids = docs.select("doc_id", byte_bpe.encode("text", path, public_tokenizers.PATTERN).alias("ids"))
-    return ids.select("doc_id", "ids", byte_bpe.decode("ids", path).alias("bytes")).select(
+    ids = docs.select("doc_id", byte_bpe.round_trip("text", path, public_tokenizers.PATTERN).alias("both"))
+    return ids.select("doc_id", "both.ids", "both.bytes").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

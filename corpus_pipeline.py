@@ -75,9 +75,9 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, a digest of what they decode to, and its place in the mix."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = with_places(docs).select(
-        "doc_id", "lang", "source", "n_chars", "position", byte_bpe.encode("text", path, public_tokenizers.PATTERN).alias("ids")
+        "doc_id", "lang", "source", "n_chars", "position", byte_bpe.round_trip("text", path, public_tokenizers.PATTERN).alias("_both")
     )
-    return ids.select("*", byte_bpe.decode("ids", path).alias("_bytes")).select(
+    return ids.select("*", "_both.ids", F.col("_both.bytes").alias("_bytes")).select(
         "doc_id",
         "lang",
         "source",

@@ -311,6 +311,18 @@ def test_bytes_round_trip(spark, docs, empty):
             assert bytes(row["back"]) == (row["text"] or "").encode()
 
 
+def test_round_trip_in_one_worker_equals_encode_then_decode(spark, docs, empty):
+    for df in (_clash(docs, "ids"), _clash(empty, "ids")):
+        both = df.select("text", byte_bpe.round_trip("text", RANKS, public_tokenizers.PATTERN).alias("both"))
+        ids = df.select(byte_bpe.encode("text", RANKS, public_tokenizers.PATTERN).alias("ids"))
+        apart = sorted(tuple(r["ids"]) for r in ids.collect())
+        rows = both.select("text", "both.ids", "both.bytes").collect()
+        assert sorted(tuple(r["ids"]) for r in rows) == apart
+        assert all(bytes(r["bytes"]) == (r["text"] or "").encode() for r in rows)
+    plan = both.select("both.*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_sketches(spark, docs, empty):
     text = F.coalesce("text", F.lit(""))
     kept = docs.select("doc_id", text.alias("text"), scaled_sketch.sketch(text).alias("s"))

@@ -69,6 +69,13 @@ def test_cache_bound_changes_nothing(encoder):
     assert [small.encode([x])[0] for x in some] == encoder.pieces.encode(some)
 
 
+def test_cache_stays_within_its_bound_after_a_run_of_new_chunks(encoder):
+    small = byte_bpe.Pieces(public_tokenizers.PATTERN, encoder._merge, cached=3)
+    some = _mess(200)
+    assert small.encode(some) == encoder.pieces.encode(some)
+    assert len(small._now) <= 3 and len(small._was) <= 3
+
+
 def test_pieces_equal_whole_texts_of_the_tokenizers_library():
     from tokenizers import Tokenizer
 
