@@ -65,6 +65,10 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 #: Bytes of new chunks that the library gets as one text.
 _TOGETHER = 16 << 10
+#: Chunks of a generation of the cache. The library takes far longer for a chunk than a
+#: lookup, and a worker's texts bring new words for long: two generations of this many
+#: chunks of at most ``byte_bpe.LONG`` bytes stay near 120 MB a worker.
+CACHED = 300_000
 
 
 class Library(Pieces):
@@ -77,7 +81,7 @@ class Library(Pieces):
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
 
-        super().__init__(pattern, None)
+        super().__init__(pattern, None, CACHED)
         self._tokenizer = Tokenizer.from_file(path)
         added = self._tokenizer.get_added_tokens_decoder()
         #: Strings that the library takes for tokens of their own before it splits a text.

@@ -86,6 +86,17 @@ def test_pieces_equal_whole_texts_of_the_tokenizers_library():
         assert whole.encode(x, add_special_tokens=False).ids == np.frombuffer(ids, "<i4").tolist()
 
 
+def test_library_keeps_a_run_of_more_new_chunks_than_the_encoder_does():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = token_file.Library(path, public_tokenizers.PATTERN)
+    words = " ".join("".join(chr(97 + k // 26**j % 26) for j in range(4)) for k in range(100_000))
+    first = library.encode([words])
+    learned = []
+    library.learn = lambda chunks: learned.append(len(chunks)) or token_file.Library.learn(library, chunks)
+    assert library.encode([words]) == first
+    assert not learned
+
+
 @pytest.mark.parametrize("top", [1, 200, 70_000, 2**24 + 5, 2**32 - 1])
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 1001])
 def test_packed_values_come_back(top, n):
