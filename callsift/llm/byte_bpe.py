@@ -391,6 +391,7 @@ def encode(text: Column | str, path: str, pattern: str) -> Column:
         encoder = _encoder(path, pattern)
         for texts in parts:
             yield encoder.encode(texts)
+        T.give_back()
 
     return encoded(text)
 
@@ -403,6 +404,7 @@ def decode(ids: Column | str, path: str) -> Column:
         of = _tokens(path).__getitem__
         for lists_ in parts:
             yield _decoded(lists_, of)
+        T.give_back()
 
     return decoded(ids)
 
@@ -426,9 +428,18 @@ def round_trip(text: Column | str, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("ids array<int>, bytes binary")
     def both(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, of = _encoder(path, pattern), _tokens(path).__getitem__
-        for texts in parts:
-            ids = encoder.encode(texts)
-            yield pa.StructArray.from_arrays([ids, _decoded(ids, of)], ["ids", "bytes"])
+        yield from trips(parts, path, pattern)
 
     return both(text)
+
+
+def trips(parts: Iterator[pa.Array], path: str, pattern: str) -> Iterator[pa.StructArray]:
+    """``round_trip`` for batches of texts; when they end, the worker gives back its free memory.
+
+    The encoder and its cache stay for the next task.
+    """
+    encoder, of = _encoder(path, pattern), _tokens(path).__getitem__
+    for texts in parts:
+        ids = encoder.encode(texts)
+        yield pa.StructArray.from_arrays([ids, _decoded(ids, of)], ["ids", "bytes"])
+    T.give_back()

@@ -128,15 +128,21 @@ def describe(text: Column | str) -> Column:
 
     @F.arrow_udf(", ".join(f"{x} bigint" for x in COUNTS))
     def described(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in parts:
-            batch = pa.RecordBatch.from_arrays([texts], ["text"])
-            found = [counts(x.column(0)) for x in T.slices(batch, "text")] or [counts(texts)]
-            columns = [pa.array(np.concatenate([x[c] for x in found]).astype(np.int64)) for c in COUNTS]
-            yield pa.StructArray.from_arrays(columns, list(COUNTS))
+        yield from counted(parts)
 
     return described(text)
 
 
+def counted(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """``describe`` for batches of texts; when they end, the worker gives back its free memory."""
+    for texts in parts:
+        batch = pa.RecordBatch.from_arrays([texts], ["text"])
+        found = [counts(x.column(0)) for x in T.slices(batch, "text")] or [counts(texts)]
+        columns = [pa.array(np.concatenate([x[c] for x in found]).astype(np.int64)) for c in COUNTS]
+        yield pa.StructArray.from_arrays(columns, list(COUNTS))
+    T.give_back()
+
+
 def shares(stats: str = "") -> dict[str, Column]:
     """Ratios of the counts, by name; all are 0 for a document without words."""
     at = f"{stats}." if stats else ""

@@ -109,7 +109,7 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(describe, f"id {kind}, n bigint, cls bigint, block int, counts binary")
+    return rows.mapInArrow(lambda b: T.giving_back(describe(b)), f"id {kind}, n bigint, cls bigint, block int, counts binary")
 
 
 def token_counts(described: DataFrame) -> np.ndarray:
@@ -170,7 +170,7 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray, t: Fraction) -> Dat
                     ["token", "cls", "n", "last"],
                 )
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(find, "token bigint, cls bigint, n bigint, last int")
+    return docs.select(F.col(text).alias("text")).mapInArrow(lambda b: T.giving_back(find(b)), "token bigint, cls bigint, n bigint, last int")
 
 
 def profiles(docs: DataFrame, counts: np.ndarray, t: Fraction) -> DataFrame:
@@ -205,7 +205,7 @@ def profiles(docs: DataFrame, counts: np.ndarray, t: Fraction) -> DataFrame:
                 )
 
     schema = "cls bigint, tokens array<bigint>, n bigint, " + ", ".join(f"{x} array<int>" for x in names)
-    return docs.select("cls", "text").mapInArrow(find, schema)
+    return docs.select("cls", "text").mapInArrow(lambda b: T.giving_back(find(b)), schema)
 
 
 def _sized(rows: DataFrame, t: Fraction) -> DataFrame:

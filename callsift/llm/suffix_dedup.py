@@ -337,7 +337,7 @@ def find_runs(rows: DataFrame, length: int, gram: int) -> DataFrame:
                     ["id", "text_hash", "start", "windows", "key", "content", "repeats"],
                 )
 
-    return rows.mapInArrow(find, f"id {dict(rows.dtypes)['id']}, {_RUN}")
+    return rows.mapInArrow(lambda b: T.giving_back(find(b)), f"id {dict(rows.dtypes)['id']}, {_RUN}")
 
 
 def _compare(length: int):
@@ -404,7 +404,7 @@ def _dealt_by_window(large: DataFrame, length: int) -> DataFrame:
                     ["key", "content", "first", "value"],
                 )
 
-    every = large.select("key", "content", "bytes").mapInArrow(windows, "key bigint, content bigint, first int, value bigint")
+    every = large.select("key", "content", "bytes").mapInArrow(lambda b: T.giving_back(windows(b)), "key bigint, content bigint, first int, value bigint")
     twice = every.groupBy("key", "value").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     span = F.struct(F.col("first"), (F.col("first") + 1).alias("stop"))
     return every.join(twice, ["key", "value"]).groupBy("key", "content").agg(F.collect_list(span).alias("spans"))
@@ -442,7 +442,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, save, length: int = LEN
     )
     small = compared.where(F.col("kinds") <= most).repartition("key").sortWithinPartitions("key")
     schema = "key bigint, content bigint, spans array<struct<first:int,stop:int>>"
-    by_bytes = small.select("key", "content", "bytes").mapInArrow(_compare(length), schema)
+    by_bytes = small.select("key", "content", "bytes").mapInArrow(lambda b, compare=_compare(length): T.giving_back(compare(b)), schema)
     by_hash = _dealt_by_window(compared.where(F.col("kinds") > most), length)
     partly = by_bytes.unionByName(by_hash).join(whole.select("key", "content"), ["key", "content"], "left_anti")
     marks = whole.unionByName(partly)
@@ -485,6 +485,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str, save, length: int = LEN
                 kept.append(b"".join(x[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                 removed.append([{"first": a, "stop": b} for a, b in gone])
             yield pa.StructArray.from_arrays([pa.array(kept, pa.binary()), pa.array(removed, kind)], ["kept", "removed"])
+        T.give_back()
 
     out = joined_.select(*[F.col(f"a.`{c}`") for c in names], cut(F.coalesce(F.col(f"a.`{text}`"), F.lit("")), F.col("b.spans")).alias("_cut"))
     return out.select(*[F.col(f"`{c}`") for c in names], "_cut.kept", "_cut.removed")
@@ -497,5 +498,6 @@ def as_text(kept: Column | str) -> Column:
     def decoded(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for some in parts:
             yield pa.array([(x or b"").decode("utf-8", "ignore") for x in some.to_pylist()], pa.string())
+        T.give_back()
 
     return decoded(kept)

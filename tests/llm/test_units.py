@@ -201,4 +201,29 @@ def test_rules_tell_junk_from_prose():
     assert decision_list.learn_rules({"x": np.zeros(0)}, np.zeros(0, bool)) == []
 
 
+def test_workers_give_back_free_memory_when_a_tasks_batches_end(monkeypatch):
+    """Pipeline stages share Python workers; each hands back what it keeps free once its rows end."""
+    given: list[int] = []
+    seen: list[int] = []
+    monkeypatch.setattr(texts, "give_back", lambda: given.append(len(seen)))
+    parts = [pa.array(["a b c a b c x", None]), pa.array(["", "Hello world 123 \u00e9"])]
+
+    def watched():
+        for x in parts:
+            seen.append(1)
+            yield x
+
+    described = list(doc_stats.counted(watched()))
+    assert given == [2]
+    for got, texts_ in zip(described, parts, strict=True):
+        assert got.field("n_words").to_pylist() == doc_stats.counts(texts_)["n_words"].tolist()
+    seen.clear()
+    trips = list(byte_bpe.trips(watched(), RANKS, public_tokenizers.PATTERN))
+    assert given == [2, 2]
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+    for got, texts_ in zip(trips, parts, strict=True):
+        assert got.field("ids").to_pylist() == [library.encode(x or "") for x in texts_.to_pylist()]
+        assert got.field("bytes").to_pylist() == [(x or "").encode() for x in texts_.to_pylist()]
+
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
